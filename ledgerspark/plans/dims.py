@@ -39,7 +39,8 @@ def product_dim(
 
     A line matches by its own accounting id or by one of its ledger codes, which
     carry the prefix already. ``ord`` ranks a product's rows, ``ord1`` the rows of
-    one hierarchy path. Equal rows are kept: each one has its own rank.
+    one hierarchy path. Equal rows are kept: each one has its own rank, in the
+    same order in both.
     """
     line_codes = explode_left(lines, "arr_equivalencia_contable", "er").select(
         "id_ramo",
@@ -65,10 +66,9 @@ def product_dim(
         "id_ramo",
         "des_ramo",
     )
-    columns = matched.columns
 
     def ranked(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
-        rest = [c for c in columns if c not in (*keys, *order)]
+        rest = [c for c in df.columns if c not in (*keys, *order)]
         return rank_within(df, keys, [*order, *rest], name, hot_rows)
 
     by_product = ranked(matched, ["id_producto"], ["id_ramo_contable", "id_ramo"], "ord")
@@ -153,13 +153,12 @@ def line_map(
     )
     if not with_rank:
         return pairs.distinct()
-    columns = ["id_ramo", "des_ramo", "id_ramo_contable", "des_ramo_erp", "des_ramo_contable", "codcia"]
 
     def ranked(df: DataFrame, key: str, name: str) -> DataFrame:
-        order = ["id_ramo"] + [c for c in columns if c not in (key, "id_ramo")]
+        order = ["id_ramo"] + [c for c in df.columns if c not in (key, "id_ramo")]
         return rank_within(df, [key], order, name, hot_rows)
 
-    by_code = ranked(pairs.select(columns), "id_ramo_contable", "ord")
+    by_code = ranked(pairs, "id_ramo_contable", "ord")
     return ranked(by_code, "des_ramo_contable", "ord2")
 
 
