@@ -46,8 +46,9 @@ NOW = "2024-02-03 00:00:00"
 
 
 def _cascade_parts(t: Tables) -> tuple[DataFrame, DataFrame]:
-    base = cascade.premium_base(S.premium(t), S.existing_policies(t), START, END)
-    return base, cascade.group_totals(base, S.ranked_products(t), START, END)
+    return cascade.cascade_parts(
+        S.premium(t), S.existing_policies(t), S.ranked_products(t), START, END
+    )
 
 
 @query

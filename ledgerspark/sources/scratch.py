@@ -21,17 +21,22 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="ledgerspark-")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerspark-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def stable(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared folder, so that later reads agree."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """``df`` computed once, written to the shared folder and read back.
+
+    Later reads agree with each other, survive the loss of executors, and take
+    only the columns they need. The folder can go when the application ends.
+    """
+    path = scratch_path(df.sparkSession, "stable")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """New folder name under the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/{application}/{name}-{uuid.uuid4().hex}"
