@@ -1,0 +1,326 @@
+from datetime import date
+from decimal import Decimal as D
+from random import Random
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+
+from ledgerspark.catalogue.queries import QUERIES
+from ledgerspark.plans import absence, allocate, cascade, dims, facts
+from ledgerspark.plans.premium import direct_premium, months_before
+
+PREMIUM = (
+    "periodo date, des_cuenta_agrupador_1 string, des_cuenta_agrupador_2 string, "
+    "des_concepto_cuenta string, id_origen string, id_ramo_contable string, id_producto string, "
+    "id_poliza string, id_certificado string, id_moneda string, "
+    "mnt_moneda decimal(18,2), mnt_usd decimal(18,2)"
+)
+PRODUCT = "id_producto string, " + ", ".join(f"{n} string" for n in dims.GROUPINGS) + ", ord int"
+
+
+def movement(month, line, product, policy, certificate, currency, amount, usd=None):
+    labels = ("Primas", "Primas", "Directo", "Directo")
+    return (date(2024, month, 1), *labels, line, product, policy, certificate, currency,
+            D(amount), D(amount if usd is None else usd))
+
+
+def sample(spark, seed=3, count=400):
+    rng = Random(seed)
+    moves = [
+        movement(rng.randint(1, 6), rng.choice(["L1", "L2", None]), f"p{rng.randint(0, 9)}",
+                 f"pol{rng.randint(0, 30)}", rng.choice([None, "1", "2"]),
+                 rng.choice(["SOL", "USD", None]), rng.choice([-5, 0, 3, 8]), rng.choice([-2, 1, 4]))
+        for _ in range(count)
+    ]
+    products = [
+        (f"p{i}", f"a{i % 2}", None if i % 5 == 0 else "b", f"c{i % 3}", None, f"e{i}", 1 + i // 9)
+        for i in range(10)
+    ]
+    policies = [(f"pol{i}",) for i in range(25)] * 2
+    return (
+        spark.createDataFrame(moves, PREMIUM),
+        spark.createDataFrame(policies, "id_poliza string"),
+        spark.createDataFrame(products, PRODUCT),
+    )
+
+
+START, END = date(2024, 3, 1), date(2024, 5, 1)
+
+
+def test_cascade_equals_windows_over_the_rows(spark, rows):
+    premium, policies, product = sample(spark)
+    out = cascade.cascade_totals(premium, policies, product, START, END)
+    base = cascade.premium_base(premium, policies, START, END)
+    spine = spark.sql("SELECT explode(sequence(DATE'2024-03-01', DATE'2024-05-01', INTERVAL 1 MONTH)) AS periodo_trim")
+    joined = base.join(
+        spine, base.periodo.between(F.add_months("periodo_trim", -2), F.col("periodo_trim"))
+    ).join(product.where("ord = 1").drop("ord"), "id_producto")
+    for level in cascade.LEVELS:
+        keys = ["periodo_trim", *(["periodo"] if level % 2 else []), *cascade.level_keys(level)]
+        measure = "mnt_moneda" if level <= 2 else "mnt_usd"
+        total = F.sum(measure).over(Window.partitionBy(*keys)).cast(cascade.TOTAL_TYPE)
+        joined = joined.withColumn(f"porc_nivel_{level}", total)
+    assert out.count() > 100
+    assert rows(out) == rows(joined.select(*out.columns))
+
+
+def test_cascade_invariants(spark):
+    premium, policies, product = sample(spark, seed=5)
+    out = cascade.cascade_totals(premium, policies, product, START, END)
+    # The window total is the sum of the month totals of the same group.
+    months = out.select("periodo_trim", "periodo", "agrupacion_n1", "agrupacion_n2",
+                        "porc_nivel_13", "porc_nivel_14").distinct()
+    sums = months.groupBy("periodo_trim", "agrupacion_n1", "agrupacion_n2", "porc_nivel_14").agg(
+        F.sum("porc_nivel_13").alias("s")
+    )
+    assert sums.where(F.col("s") != F.col("porc_nivel_14")).count() == 0
+    assert out.where((F.col("periodo") > F.col("periodo_trim"))
+                     | (F.col("periodo") < F.add_months("periodo_trim", -2))).count() == 0
+
+
+def test_cancelled_certificate_stays_with_zero(spark):
+    premium = spark.createDataFrame(
+        [movement(3, "L", "p1", "pol1", "1", "USD", 10), movement(3, "L", "p1", "pol1", "1", "USD", -10),
+         movement(3, "L", "p1", "pol1", "2", "USD", 0)], PREMIUM)
+    policies = spark.createDataFrame([("pol1",)], "id_poliza string")
+    product = spark.createDataFrame([("p1", "a", "b", "c", "d", "e", 1)], PRODUCT)
+    out = cascade.cascade_base(cascade.cascade_totals(premium, policies, product, START, START)).collect()
+    assert len(out) == 1 and out[0].id_certificado == "1"
+    assert out[0].porc_nivel_14 == 0 and out[0].nivel_base is None and out[0].total_base is None
+
+
+def test_allocation_adds_up_and_degrades(spark):
+    premium, policies, product = sample(spark, seed=9, count=3000)
+    base, totals = cascade.cascade_parts(premium, policies, product, START, END)
+    keys = "id_monto string, monto decimal(18,2), periodo_trim date, periodo date, " + ", ".join(
+        f"{k} string" for k in cascade.HIERARCHY)
+    march = (date(2024, 3, 1), date(2024, 3, 1))
+    amounts = spark.createDataFrame([
+        ("fine", D("100.01"), *march, "a1", "b", "c1", None, "e1", "L1", "p1", "USD"),
+        ("other currency", D("-33.33"), *march, "a1", "b", "c1", None, "e1", "L1", "p1", "EUR"),
+        ("null line", D("7.77"), *march, "a1", "b", "c1", None, "e1", None, "p1", None),
+        ("coarse", D("10.00"), *march, "a1", "b", "zz", "zz", "zz", "zz", "zz", "zz"),
+        ("nowhere", D("5.00"), *march, "a9", "b", "c", "d", "e", "L1", "p1", "USD"),
+    ], keys)
+    out = allocate.allocate(amounts, base, totals)
+    sums = {r.id_monto: r.s for r in out.groupBy("id_monto").agg(F.sum("asignado").alias("s")).collect()}
+    assert sums == {r.id_monto: r.monto for r in amounts.collect()}
+    levels = {r.id_monto: r.nivel for r in out.select("id_monto", "nivel").distinct().collect()}
+    assert levels["nowhere"] is None and levels["fine"] == 1
+    assert levels["other currency"] == 3 and levels["coarse"] == 13
+    assert out.where("id_monto = 'nowhere'").count() == 1
+
+
+ARRAYS = ("id_producto string, nom_producto string, "
+          "producto_origen array<struct<id_origen:string,cod_producto:string>>, "
+          "producto_jerarquia array<struct<nom_riesgo:string,agrupacion_n1:string,agrupacion_n2:string,"
+          "agrupacion_n3:string,agrupacion_n4:string,agrupacion_n5:string,id_ramo_contable:string>>, "
+          "arr_equivalencia_contable array<struct<id_companhia:string,id_origen:string,"
+          "cod_producto_contable:string,ind_contable_principal:string,ind_tecnico_principal:string>>")
+LINES = ("id_ramo string, des_ramo string, id_ramo_contable string, des_ramo_contable string, "
+         "arr_equivalencia_contable array<struct<cod_ramo_contable:string,des_ramo_erp:string,"
+         "des_ramo_contable:string,id_companhia:string,ind_tecnico_principal:string,"
+         "ind_contable_principal:string>>")
+
+
+def product_rows(spark):
+    path = ("VIDA", "a", "b", "c", "d", "e")
+    return spark.createDataFrame([
+        ("1", "one", [("AX", "x1"), ("BX", "y1")], [(*path, "10"), (*path, "20"), ("SALUD", *path[1:], "10")],
+         [("01", "ERP_LEGADO", "L1", "SI", "SI"), ("01", "ERP_NUEVO", "N1", "SI", "NO"),
+          ("02", "ERP_NUEVO", "M1", "NO", "SI")]),
+        ("2", "two", [], [(*path, "10")], []),
+        ("3", "three", None, None, None),
+        ("4", "four", [("AX", "x4")], [(*path, None)], None),
+    ], ARRAYS)
+
+
+def line_rows(spark):
+    return spark.createDataFrame([
+        ("r1", "R1", "10", "D10", [("S20", "E1", "DC", "01", "SI", "SI"), ("T9", "E2", "DC", "01", "NO", "SI")]),
+        ("r2", "R2", "20", "D20", [("S20", "E3", "DX", "01", "SI", "NO")]),
+        ("r3", "R3", "99", "D99", None),
+    ], LINES)
+
+
+def test_product_dim_ranks_keep_duplicates(spark):
+    out = dims.product_dim(product_rows(spark), line_rows(spark))
+    got = sorted((r.id_ramo_contable, r.id_ramo, r.ord) for r in out.collect())
+    # Line r1 matches "10" through both of its elements and "20" through one code.
+    assert got == [("10", "r1", 1), ("10", "r1", 2), ("20", "r1", 3), ("20", "r2", 4)]
+    assert sorted(r.ord1 for r in out.collect()) == [1, 2, 3, 4]
+    assert dims.principal(out).count() == 1
+    hot = dims.product_dim(product_rows(spark), line_rows(spark), hot_rows=1)
+    assert sorted(map(tuple, hot.collect())) == sorted(map(tuple, out.collect()))
+
+
+def test_product_without_line_and_ledger(spark, rows):
+    products = product_rows(spark)
+    no_line = dims.product_dim_no_line(products).select("id_producto", "id_ramo_contable", "ord")
+    assert rows(no_line) == [("1", "10", 1), ("1", "20", 2), ("4", None, 1)]
+    assert rows(dims.product_to_ledger(products)) == [("1", "01", "L1", "N1")]
+    assert rows(dims.ledger_to_product(products)) == [("L1", "1", "01"), ("M1", "1", "02")]
+
+
+def test_line_maps(spark, rows):
+    lines = line_rows(spark)
+    back = dims.line_ledger_to_technical(lines).select("id_ramo_contable", "id_ramo")
+    assert rows(back) == [("S20", "r1"), ("S20", "r2")]
+    there = dims.line_technical_to_ledger(lines).select("id_ramo", "id_ramo_contable", "ord", "ord2")
+    assert rows(there) == [("r1", "S20", 1, 1), ("r1", "T9", 1, 2)]
+
+
+def production(spark, *moves):
+    schema = ("periodo date, fec_procesamiento date, ram_id_ramo_tecnico string, id_producto string, "
+              "cod_producto_origen string, pol_id_poliza string, cer_id_certificado string, "
+              "tip_registro_primas string, pol_id_moneda_origen string, ind_acumulado string, "
+              "tc_a_sol decimal(18,6), mnt_prima_np_usd decimal(18,2), mnt_derecho_emision_usd decimal(18,2)")
+    base = dict(periodo=date(2024, 3, 1), proc=date(2024, 3, 15), ramo="r1", prod="1", origin="o",
+                pol="P", cert="1", kind="EMISION", cur="SOL", flag="PRODUCCION", rate="3.337",
+                amount="1.50", fee="0.00")
+    rows = []
+    for change in moves:
+        m = {**base, **change}
+        rows.append((m["periodo"], m["proc"], m["ramo"], m["prod"], m["origin"], m["pol"], m["cert"],
+                     m["kind"], m["cur"], m["flag"], D(m["rate"]), D(m["amount"]), D(m["fee"])))
+    return spark.createDataFrame(rows, schema)
+
+
+def load(spark, moves, **options):
+    products, lines = product_rows(spark), line_rows(spark)
+    policies = spark.createDataFrame(
+        [(date(2024, 5, 1), "P", "1", "OP", "C", "T"), (date(2024, 5, 1), "P", None, "XX", "C", "T")],
+        "periodo date, id_poliza string, id_certificado string, id_poliza_origen string, "
+        "id_contratante string, id_titular string")
+    return direct_premium(
+        production(spark, *moves), dims.product_dim_no_line(products), dims.product_to_ledger(products),
+        dims.line_technical_to_ledger(lines), policies, date(2024, 3, 1), date(2024, 5, 1), **options,
+    ).collect()
+
+
+def test_premium_rounds_each_row_and_repeats_per_ledger_line(spark):
+    # 3.337 * 1.50 = 5.0055: rounded before it is added.
+    out = load(spark, [{}, {}])
+    assert sorted(r.id_ramo_contable for r in out) == ["S20", "T9"]
+    assert {(r.mnt_moneda, r.mnt_usd) for r in out} == {(D("10.02"), D("3.00"))}
+    assert {r.id_primas for r in out} == {"2024-03-01PrimasPrimasDirector11DirectooP1OPEMISIONSOL"}
+    # Each ledger code has its own first line, so both remain here.
+    assert len(load(spark, [{}], principal_only=True)) == 2
+
+
+def test_premium_filters_switch_and_missing_values(spark):
+    moves = [
+        dict(periodo=date(2024, 4, 1), cur="USD"), dict(periodo=date(2023, 4, 1), cur=None, cert=None),
+        dict(periodo=date(2023, 3, 1)), dict(periodo=date(2024, 6, 1)), dict(kind="ASIENTOS MANUALES"),
+        dict(flag="OTRO"), dict(ramo="AX-ASME"), dict(ramo=None), dict(prod="2"),
+    ]
+    out = [r for r in load(spark, moves) if r.id_ramo_contable == "S20"]
+    new, old = sorted(out, key=lambda r: r.periodo, reverse=True)
+    assert (new.id_producto_erp, new.mnt_moneda) == ("N1", D("1.50"))
+    assert (old.id_producto_erp, old.id_certificado, old.num_poliza_origen) == ("L1", "0", "0")
+    assert old.id_primas is None and old.mnt_moneda == D("1.50")
+
+
+def test_premium_months_with_missing_id_merge(spark):
+    out = load(spark, [dict(cur=None), dict(cur=None, proc=date(2024, 4, 2)), dict(proc=date(2024, 4, 2)), {}])
+    usd = sorted((r.id_primas is None, r.mnt_usd) for r in out if r.id_ramo_contable == "S20")
+    assert usd == [(False, D("1.50")), (False, D("1.50")), (True, D("3.00"))]
+
+
+def test_months_before():
+    assert months_before(date(2024, 3, 31), 3) == date(2023, 12, 1)
+    assert cascade.last_day(date(2024, 2, 1)) == date(2024, 2, 29)
+
+
+def test_fx_rates_default_zero(spark, rows):
+    df = spark.createDataFrame(
+        [(date(2024, 1, 1), "SOL", "USD", "M", D("0.27")), (date(2024, 1, 2), "USD", "SOL", "M", D("3.7")),
+         (date(2024, 1, 2), "SOL", "USD", "D", D("9")), (date(2024, 1, 3), "SOL", "USD", "M", None)],
+        "fec_tasa date, id_moneda_origen string, id_moneda_fin string, tip_tasa_cambio string, "
+        "val_tasa_cambio decimal(18,6)")
+    got = {r[0].day: (r[1], r[2]) for r in dims.fx_rates(df).collect()}
+    assert got == {1: (D("0.27"), D(0)), 2: (D(0), D("3.7")), 3: (None, D(0))}
+
+
+def test_financial_rows_second_arm_has_no_period(spark, rows):
+    df = spark.createDataFrame([
+        (1, date(2024, 1, 1), "vida", "x", "y"), (2, date(2020, 1, 1), "Vida", "x", "y"),
+        (3, date(2020, 1, 1), "Vida", "Siniestros sin recuperos", " sin ajuste "),
+        (4, date(2024, 1, 1), "Salud", "Siniestros sin recuperos", "sin ajuste"),
+        (5, date(2020, 1, 1), "Vida-Ajuste", "Siniestros sin recuperos", "sin ajuste"),
+    ], "id int, periodo date, des_riesgo_negocio string, tip_concepto_financiero string, tip_distribucion string")
+    kept = df.where(facts.financial_rows(date(2024, 1, 1), date(2024, 2, 1))).select("id")
+    assert rows(kept) == [(1,), (3,)]
+
+
+def test_current_policies_period_and_first_holder(spark):
+    data = {c: "v" for c in dims.POLICY_COLUMNS}
+    dates = [c for c in dims.POLICY_COLUMNS if c.startswith("fec") or c == "periodo"]
+    schema = ", ".join(f"{c} {'date' if c in dates else 'string'}" for c in dims.POLICY_COLUMNS)
+
+    def policy(month, pol, cert, holder):
+        row = {**data, **{c: None for c in dates}, "periodo": date(2024, month, 1), "id_poliza": pol,
+               "id_certificado": cert, "id_titular": holder, "id_producto": "1"}
+        return tuple(row[c] for c in dims.POLICY_COLUMNS)
+
+    policies = spark.createDataFrame([
+        policy(3, "P", "1", "b"), policy(3, "P", "1", None), policy(3, "P", None, "z"),
+        policy(2, "P", "1", "a"), policy(3, "0", "1", "a"), policy(3, None, "1", "a"),
+    ], schema)
+    journal = spark.createDataFrame([("202403", "P", 7)], "dsc_periodo string, id_poliza string, id_equivalencia_canal long")
+    channel = spark.createDataFrame(
+        [("7", *["301" if c == "id_subcanal_equivalente" else c for c in dims.CHANNEL_COLUMNS])],
+        ["id_equivalencia_canal", *dims.CHANNEL_COLUMNS])
+    product = dims.product_dim(product_rows(spark), line_rows(spark))
+    out = dims.current_policies(policies, product, journal, channel, date(2024, 3, 1)).collect()
+    assert sorted((r.id_certificado or "", r.id_titular) for r in out) == [("", "z"), ("1", None)]
+    assert {r.des_segmentacion_01 for r in out} == {"v"} and len(out[0]) == 37
+
+
+def test_employee_master_links(spark, rows):
+    from datetime import datetime
+
+    day = datetime(2024, 5, 1)
+    tables = {
+        "empleado": ("emp_id int, emp_apellido string, emp_nombre string, emp_num_documento int",
+                     [(1, "A", None, 11), (2, "B", "b", 12), (3, "C", "c", 13), (4, "D", "d", 14)]),
+        "empleado_cuenta": ("emp_id int, cue_id int, car_id int, ecu_fechadesde timestamp, "
+                            "ecu_fechahasta timestamp, anulado int, sar_id int",
+                            [(1, 1, 1, datetime(2020, 1, 1), None, 0, 1), (1, 2, 2, day, None, 0, None),
+                             (1, 1, 1, datetime(2025, 1, 1), None, 1, 1)]),
+        "cuenta": ("cue_id int, cue_nombre string, anulado int", [(1, "c1", 0), (2, "c2", 0)]),
+        "subarea": ("sar_id int, sar_nombre string, anulado int", [(1, "s1", 0)]),
+        "empleado_erp": ("emp_id int, id_personal_erp int, eis_fechaHasta timestamp, eis_anulado int",
+                         [(1, 101, None, 0), (2, 102, None, 0), (2, 202, None, 0), (3, 103, day, 0),
+                          (4, 104, None, 1)]),
+        "empleado_servicio": ("emp_id int, srv_id int, empsrv_fechadesde timestamp, anulado int", [(2, 5, day, 0)]),
+        "servicios": ("srv_id int, srv_nombre string, anulado int", [(5, "v5", 0)]),
+        "cargo": ("car_id int, car_nombre string, anulado int", [(2, "g2", 1)]),
+        "ausentismo": ("emp_id int, aus_fechadesde timestamp, aus_fechacontrol timestamp, anulado int",
+                       [(1, day, None, 0), (1, day, None, 0), (1, day, day, 0), (1, day, None, 1),
+                        (1, datetime(2023, 5, 1), None, 0), (2, datetime(2024, 6, 1), None, 0), (3, day, None, 0)]),
+    }
+    tables = {k: spark.createDataFrame(data, schema) for k, (schema, data) in tables.items()}
+    master = absence.employee_master(tables)
+    assert rows(master) == [
+        (101, 1, "A", 11, "c2", None, None, None),
+        (102, 2, "B b", 12, None, None, "v5", None), (202, 2, "B b", 12, None, None, "v5", None)]
+    counts = absence.open_absences(tables["ausentismo"], date(2024, 9, 1))
+    assert rows(counts) == [(1, 2024, 5, 2), (2, 2024, 6, 1), (3, 2024, 5, 1)]
+    out = absence.absence_calendar(master, counts)
+    assert out.columns == ["emp_id", "id_personal_erp", "nombre_completo", "emp_num_documento", "Cuenta",
+                           "Sub_Cuenta", "Servicio", "Cargo", "Anio", "Mes", "cuenta_ausentismo"]
+    # The same as a semi join, then a right join without the unmatched rows.
+    semi = counts.join(master, "emp_id", "left_semi")
+    right = master.join(semi, "emp_id", "right").where(F.col("id_personal_erp").isNotNull())
+    assert rows(out) == rows(right)
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ("publish_roundtrip", "stream_sync")])
+def test_no_nested_loops_and_no_python(spark, name):
+    df = QUERIES[name](spark, "/root/testdata/sf0.001")
+    text = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
+        assert node not in text
