@@ -16,6 +16,8 @@ def local_session(cpus: int = 8, **conf: str) -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # The JVM never compiles methods above this size; Spark then splits them.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -324,3 +324,29 @@ def test_no_nested_loops_and_no_python(spark, name):
     text = df._jdf.queryExecution().executedPlan().toString()
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
         assert node not in text
+
+
+def test_technical_result_run_twice_gives_the_same(spark, rows, tmp_path):
+    from ledgerspark.params import Params
+    from ledgerspark.plans.technical_result import run_technical_result
+    from ledgerspark.schemas import SOURCES, schema_of
+    from ledgerspark.sources.tables import read_table
+
+    policy = {c: None for c in dims.POLICY_COLUMNS}
+    policy.update(periodo=date(2024, 5, 1), id_poliza="P", id_certificado="1", id_producto="1")
+    sources = {name: spark.createDataFrame([], schema_of(name)) for name in SOURCES}
+    sources.update(
+        producto=product_rows(spark), ramo=line_rows(spark),
+        poliza=spark.createDataFrame([tuple(policy.values())], schema_of("poliza")),
+        produccion=production(spark, {}, dict(periodo=date(2024, 5, 1)), dict(pol="unknown")),
+    )
+    for name, df in sources.items():
+        df.write.parquet(f"{tmp_path}/in/{name}")
+        sources[name] = read_table(spark, f"{tmp_path}/in/{name}", schema_of(name))
+    params = Params(date(2024, 3, 1), date(2024, 5, 1), date(2024, 5, 1))
+    first = rows(run_technical_result(sources, params, f"{tmp_path}/out"))
+    again = run_technical_result(sources, params, f"{tmp_path}/out")
+    assert rows(again) == first
+    # March falls in three windows and May in one, for each of two ledger lines.
+    assert len(first) == 8 and {r.id_poliza for r in again.collect()} == {"P"}
+    assert {r.porc_nivel_14 for r in again.where("periodo_trim = DATE'2024-05-01'").collect()} == {D("6.00")}
