@@ -47,11 +47,9 @@ DISPATCHED = "DISPATCHED"
 
 # Defaults.
 ERP_CUT_MONTH = date(2024, 4, 1)
-BUSINESS_TIME_ZONE = "America/Lima"
 RUN_PREFIX = "tmp_oppo"
 WINDOW_MONTHS_BACK = 2
 PREMIUM_MONTHS_BACK = 11
 LEDGER_MAX_AGE_DAYS = 7
 LEDGER_FALLBACK_DAYS = 1
 SNAPSHOT_SHIFT_HOURS = 5
-YEARS_OF_CHOICE = 2
