@@ -1,0 +1,121 @@
+"""Queries over the test tables, one per operator, and the SQL each must agree with where SQL can say it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerspark.llm import chat, rules
+from ledgerspark.llm.common import table
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"),
+    )
+    formatted = chat.format_conversations(rows.unionByName(probe))
+    back = chat.read_back(formatted)
+    trained = F.array_join(F.transform(F.filter("turns", lambda t: t["loss"]), lambda t: t["text"]), "")
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(
+            t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
+        trained.alias("trained"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    ).select(
+        "conv_id", "n_turns", "turns_sha256",
+        F.length("trained").cast("long").alias("loss_chars"),
+        F.sha2("trained", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+QUERIES = {
+    "op3_quality_rules": op3_quality_rules,
+    "op9_chat_formatting": op9_chat_formatting,
+}
+
+ORACLES = {
+    "op9_chat_formatting": """
+        WITH rows AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'
+        ), texts AS (
+            SELECT *, replace(replace(replace(text, '\\', '\\0'), '</turn>', '\\1'), '### ', '\\2') AS safe,
+                replace(replace(replace(replace(role, '\\', '\\0'), '</turn>', '\\1'), '### ', '\\2'),
+                    ': ', '\\3') AS safe_role
+            FROM rows
+        ), whole AS (
+            SELECT conv_id, count(*) AS n_turns,
+                string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+                coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, ''
+                    ORDER BY turn, role, text), '') AS trained,
+                sum(length('### ' || safe_role || ': ' || safe || '</turn>' || chr(10))) AS formatted_chars
+            FROM texts GROUP BY conv_id
+        )
+        SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(trained) AS loss_chars,
+            sha256(trained) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
+        FROM whole
+    """,
+    "op3_quality_rules": """
+        WITH texts AS (
+            SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text,
+                regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+        ), lines AS (
+            SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM (
+                SELECT r, unnest(string_split(text, chr(10))) AS line FROM texts)
+            WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY r
+        ), windows AS (
+            SELECT r, i, w FROM (
+                SELECT r, unnest(range(1, len(words) - 1)) AS i,
+                    unnest(list_transform(range(1, len(words) - 1), lambda i: words[i:i + 2])) AS w
+                FROM texts WHERE len(words) > 2)
+        ), found AS (
+            SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, w) > 1
+        ), repeats AS (
+            SELECT r, count(DISTINCT i + k) AS n_repeat_words
+            FROM found, (VALUES (0), (1), (2)) AS s(k) GROUP BY r
+        ), counted AS (
+            SELECT doc_id, source, len(words) AS n_words,
+                CAST(length(regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+                CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+            FROM texts LEFT JOIN lines USING (r) LEFT JOIN repeats USING (r)
+        ), ruled AS (
+            SELECT *, n_words < 50 AS short, 100 * n_repeat_words > 50 * n_words AS repeats,
+                100 * n_symbols > 10 * word_chars AS symbols, 100 * n_dup_lines > 30 * n_words AS lines
+            FROM counted
+        ), hosts AS (
+            SELECT source, rule, count(*) AS n, sum(CAST(failed AS BIGINT)) AS failed
+            FROM ruled UNPIVOT (failed FOR rule IN (short, repeats, symbols, lines)) GROUP BY source, rule
+        ), prior AS (
+            SELECT rule, avg(failed / n) AS mean, var_samp(failed / n) AS var FROM hosts GROUP BY rule
+        ), strength AS (
+            SELECT rule, mean, least(greatest(CASE WHEN coalesce(var, 0) = 0 THEN 1000
+                ELSE mean * (1 - mean) / var - 1 END, 1), 1000) AS strength FROM prior
+        ), bad AS (
+            SELECT source, max(CASE WHEN rule = 'short' THEN b END) AS short_bad,
+                max(CASE WHEN rule = 'repeats' THEN b END) AS repeats_bad,
+                max(CASE WHEN rule = 'symbols' THEN b END) AS symbols_bad,
+                max(CASE WHEN rule = 'lines' THEN b END) AS lines_bad
+            FROM (SELECT source, rule, (failed + mean * strength) / (n + strength) > 0.5 AS b
+                FROM hosts JOIN strength USING (rule)) GROUP BY source
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+            short OR repeats AS base_failed,
+            NOT (short OR repeats)
+                AND NOT (short_bad AND n_words < 80) AND NOT (repeats_bad AND 100 * n_repeat_words > 30 * n_words)
+                AND NOT (symbols_bad AND 100 * n_symbols > 5 * word_chars)
+                AND NOT (lines_bad AND n_dup_lines >= 1) AS kept
+        FROM ruled JOIN bad ON ruled.source IS NOT DISTINCT FROM bad.source
+    """,
+}
