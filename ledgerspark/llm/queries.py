@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import chat, rules
+from ledgerspark.llm import chat, rules, simhash
 from ledgerspark.llm.common import table
 
 
@@ -38,9 +38,14 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op9_chat_formatting": op9_chat_formatting,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLES = {
