@@ -5,10 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import chat, rules, simhash
+from ledgerspark.llm import chat, pieces, prefix, rules, simhash
 from ledgerspark.llm.common import table
 
 
+PIECE_MODEL = "piece_bpe_32k.model"
+
+
+def op1_prefix_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+def op4_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoding_digests(table(spark, sf_dir, "documents"), pieces.tokenizer_path(PIECE_MODEL))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -43,6 +54,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_prefix_fingerprints": op1_prefix_fingerprints,
+    "op4_piece_encoding": op4_piece_encoding,
     "op3_quality_rules": op3_quality_rules,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_simhash": op10_simhash,
