@@ -304,6 +304,16 @@ class PieceModel:
                         ",".join([c.written for c in cuts]),
                         self._without_lead("".join([c.plain for c in cuts]), ids[:1].tolist()))
 
+    def count(self, text: str) -> int:
+        """Number of ids of ``encode``."""
+        normal = text.replace(" ", SPACE) if self.charsmap is None and not self.squeeze else None
+        if normal is None:
+            normal = self.normalise(text).text
+        elif normal and self.dummy:
+            normal = SPACE + normal
+        stretches = self.cuts.findall(normal) if self.cuts else [normal] * bool(normal)
+        return sum([self.cut(s).ids.size for s in stretches])
+
     # decoding
 
     def _without_lead(self, text: str, ids) -> str:
@@ -367,14 +377,14 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
-def _shared_model(docs: DataFrame, path: str):
+def shared_model(docs: DataFrame, path: str):
     with open(path, "rb") as file:
         return docs.sparkSession.sparkContext.broadcast(file.read())
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, ids, begins, ends (original byte spans, end exclusive), decoded per row of ``docs``."""
-    shared = _shared_model(docs, path)
+    shared = shared_model(docs, path)
     numbers = T.ArrayType(T.IntegerType())
     schema = T.StructType([docs.schema["doc_id"], T.StructField("ids", numbers), T.StructField("begins", numbers),
                            T.StructField("ends", numbers), T.StructField("decoded", T.StringType())])
@@ -397,7 +407,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
 def encoding_digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and covered_bytes, the original bytes that the
     spans of all pieces cover."""
-    shared = _shared_model(docs, path)
+    shared = shared_model(docs, path)
     schema = T.StructType([docs.schema["doc_id"], T.StructField("n_tokens", T.LongType()),
                            T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType()),
                            T.StructField("covered_bytes", T.LongType())])

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import chat, pieces, prefix, rules, simhash
+from ledgerspark.llm import chat, packing, pieces, prefix, rules, simhash, warc
 from ledgerspark.llm.common import table
+from ledgerspark.sources.scratch import scratch_path
 
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -24,6 +25,16 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), pieces.tokenizer_path(PIECE_MODEL))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = warc.Archive(scratch_path(spark, "warc"))
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"), archive)
+    return warc.read_archives(manifest, archive)
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.range(2).select(
@@ -57,11 +68,26 @@ QUERIES = {
     "op1_prefix_fingerprints": op1_prefix_fingerprints,
     "op4_piece_encoding": op4_piece_encoding,
     "op3_quality_rules": op3_quality_rules,
+    "op5_packing": op5_packing,
+    "op7_warc": op7_warc,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_simhash": op10_simhash,
 }
 
 ORACLES = {
+    "op7_warc": """
+        WITH rows AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                sha1(coalesce(html, '')) AS payload_digest FROM pages
+        ), kept AS (
+            SELECT payload_digest, max(page_id) AS kept FROM rows WHERE payload_bytes >= 1000
+            GROUP BY payload_digest
+        )
+        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+            CASE WHEN kept IS NULL OR kept = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN kept <> page_id THEN kept END AS refers_to
+        FROM rows LEFT JOIN kept USING (payload_digest)
+    """,
     "op9_chat_formatting": """
         WITH rows AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
