@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import chat, packing, pieces, prefix, rules, simhash, warc
+from ledgerspark.llm import chat, packing, pieces, prefix, rules, simhash, suffix, warc
 from ledgerspark.llm.common import table
 from ledgerspark.sources.scratch import scratch_path
 
@@ -29,6 +29,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), pieces.tokenizer_path(PIECE_MODEL))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.passage_digests(table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = warc.Archive(scratch_path(spark, "warc"))
     manifest = warc.write_archives(table(spark, sf_dir, "pages"), archive)
@@ -69,6 +73,7 @@ QUERIES = {
     "op4_piece_encoding": op4_piece_encoding,
     "op3_quality_rules": op3_quality_rules,
     "op5_packing": op5_packing,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_warc": op7_warc,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_simhash": op10_simhash,
