@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import chat, packing, pieces, prefix, rules, simhash, suffix, warc
+from ledgerspark.llm import chat, cotrain, packing, pieces, prefix, rules, simhash, suffix, warc
 from ledgerspark.llm.common import table
 from ledgerspark.sources.scratch import scratch_path
 
@@ -39,6 +39,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(manifest, archive)
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotrain.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.range(2).select(
@@ -75,6 +79,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_warc": op7_warc,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_simhash": op10_simhash,
 }
