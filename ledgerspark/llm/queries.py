@@ -5,18 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import chat, cotrain, packing, pieces, prefix, rules, simhash, suffix, warc
+from ledgerspark.llm import chat, cotrain, lm, packing, pieces, prefix, rules, simhash, suffix, warc
 from ledgerspark.llm.common import table
 from ledgerspark.sources.scratch import scratch_path
 
 
 PIECE_MODEL = "piece_bpe_32k.model"
+BYTE_RANKS = "byte_bpe_50k.tiktoken"
 
 
 def op1_prefix_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"), pieces.tokenizer_path(BYTE_RANKS))
+
+
 def op4_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoding_digests(table(spark, sf_dir, "documents"), pieces.tokenizer_path(PIECE_MODEL))
 
@@ -74,8 +79,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_prefix_fingerprints": op1_prefix_fingerprints,
-    "op4_piece_encoding": op4_piece_encoding,
+    "op2_language_model": op2_language_model,
     "op3_quality_rules": op3_quality_rules,
+    "op4_piece_encoding": op4_piece_encoding,
     "op5_packing": op5_packing,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_warc": op7_warc,
