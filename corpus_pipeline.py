@@ -1,6 +1,16 @@
-"""Corpus pipeline: documents through quality, near-duplicate, passage and packing stages.
+"""Corpus pipeline: from documents to token batches in five stages.
 
-Each stage takes (spark, docs, sf_dir); its result is written and read again before the next.
+Each stage takes (spark, docs, sf_dir) and works on all its predecessor kept; its result
+is written and read again as the next one's docs. All but the last return the columns
+of documents:
+
+1. quality rules: documents that fail the rules, or their host's stricter form, go;
+2. quality classifier: documents judged bad or toxic go; labels come from ``sf_dir``;
+3. SimHash near-dedup: of each group the document with the smallest doc_id stays;
+4. suffix-array dedup: of passages of 400 bytes and more only the first copy stays;
+5. packing: the documents left are dealt to length buckets and token batches.
+
+Nulls, ties, repeated rows, empty tables and extra columns: as the operators say.
 """
 
 from __future__ import annotations
@@ -9,26 +19,48 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspark.llm import rules
+from ledgerspark.llm import cotrain, packing, pieces, rules, simhash, suffix
+from ledgerspark.llm.common import table
+from ledgerspark.llm.queries import PIECE_MODEL
 from ledgerspark.sources.scratch import stable
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules and their host's verdict keep."""
     return rules.filter_documents(docs)
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return cotrain.filter_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.keep_one(docs)
+
+
+def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return suffix.drop_passages(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, pieces.tokenizer_path(PIECE_MODEL))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality_rules),
+    ("quality classifier", quality_classifier),
+    ("simhash near-dedup", near_dedup),
+    ("suffix-array dedup", passage_dedup),
+    ("packing", pack),
 ]
 
-ORACLE_SQL = None  # a trained classifier, component search and bucket planning are not SQL
+#: A trained classifier, component search, suffix arrays and bucket planning are not SQL.
+ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for position, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if position < len(STAGES) - 1:
