@@ -319,6 +319,11 @@ CUSTOMER_LINES = f"""linea AS (
          'E' || c_nationkey AS des_ramo_erp, 'D' || c_mktsegment AS des_ramo_contable, '01' AS codcia,
          c_acctbal, c_mktsegment FROM customer)"""
 
+# One complete message for each eligible order, whatever came between.
+SENT_ONCE = f"""SELECT {txt('o_orderkey')} AS order_id, CAST(1 AS BIGINT) AS messages, CAST(1 AS BIGINT) AS ids,
+       count(*) AS n_items, 'DISPATCHED' AS status
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderstatus IN ('F', 'O') GROUP BY o_orderkey"""
+
 ORACLES: dict[str, str] = {
     "cascade_totals": f"""{CASCADE}
 SELECT periodo_trim, periodo, {', '.join(KEYS)}, id_poliza, id_certificado, mnt_moneda, mnt_usd, {LEVEL_NAMES}
@@ -495,5 +500,7 @@ WHERE status = 'PROCESSING' AND ts < TIMESTAMP '2024-01-30 20:00:00'""",
 SELECT periodo, id_moneda, count(*) AS filas, CAST(sum(mnt_usd) AS DECIMAL(38,2)) AS mnt_usd
 FROM premium GROUP BY ALL""",
     "stream_sync": f"""SELECT {txt('o_orderkey')} AS order_id, CAST(1 AS BIGINT) AS messages, 'DISPATCHED' AS status
-FROM orders WHERE o_orderstatus IN ('F', 'O')""",
+FROM orders WHERE o_orderstatus IN ('F', 'O') AND EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""",
+    "stream_changes": SENT_ONCE,
+    "sync_retry": SENT_ONCE,
 }

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from contextlib import suppress
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -418,3 +419,72 @@ def stream_sync(t: Tables) -> DataFrame:
     )
     status = orders.current_status(cycle.read_log(spark, store)).select("order_id", "status")
     return sent.join(status, "order_id")
+
+
+def _sent(spark: SparkSession, store: cycle.Store) -> DataFrame:
+    """Messages, their different ids and their items by order."""
+    n_items = F.get_json_object("message", "$.data.items")
+    return spark.read.parquet(store.messages).groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("messages"),
+        F.countDistinct("correlation_id").alias("ids"),
+        F.sum(F.json_array_length(n_items)).cast("long").alias("n_items"),
+    )
+
+
+@query
+def stream_changes(t: Tables) -> DataFrame:
+    """Three files of arrivals: some orders are ineligible at first, all come again, items come late."""
+    spark = t.spark
+    path = scratch_path(spark, "changes")
+    store, arrived, items_at = cycle.Store(f"{path}/store"), f"{path}/arrived", f"{path}/items"
+    rows, items = S.sync_orders(t), S.sync_items(t)
+    late = F.col("order_id").cast("long") % 5 == 0
+    draft = F.when(F.col("order_id").cast("long") % 3 == 0, "DRAFT").otherwise(F.col("BusinessStatus"))
+    items.where(~late).write.parquet(items_at)
+
+    def arrive(df: DataFrame) -> None:
+        df.coalesce(1).write.mode("append").parquet(arrived)
+        source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(arrived)
+        cycle.order_stream(
+            source, lambda: spark.read.schema(items.schema).parquet(items_at), store, "orders", ["F", "O"], None,
+            f"{path}/checkpoint",
+        ).awaitTermination()
+
+    arrive(rows.withColumn("BusinessStatus", draft))
+    arrive(rows)
+    items.where(late).write.mode("append").parquet(items_at)
+    arrive(rows.where(late))
+    status = orders.current_status(cycle.read_log(spark, store)).select("order_id", "status")
+    return _sent(spark, store).join(status, "order_id")
+
+
+@query
+def sync_retry(t: Tables) -> DataFrame:
+    """A publisher that breaks before it sends, then settling that breaks after it sent; each is run again."""
+    spark = t.spark
+    path = scratch_path(spark, "retry")
+    store = cycle.Store(f"{path}/store")
+    rows, items = S.sync_orders(t), S.sync_items(t)
+    start = datetime(2024, 2, 1, tzinfo=timezone.utc)
+
+    def attempt(publisher, fails_after: int | None) -> None:
+        calls = iter(range(99))
+
+        def clock() -> datetime:
+            if next(calls) == fails_after:
+                raise RuntimeError("clock")
+            return start
+
+        with suppress(RuntimeError):
+            cycle.run_cycle(
+                rows, items, store, "orders", "r1", start, ["F", "O"], None, publisher, clock=clock
+            )
+
+    def broken(messages: DataFrame) -> DataFrame:
+        raise RuntimeError("broker")
+
+    attempt(broken, None)
+    attempt(None, 0)  # sends, then cannot settle
+    attempt(None, None)
+    status = orders.current_status(cycle.read_log(spark, store)).select("order_id", "status")
+    return _sent(spark, store).join(status, "order_id")

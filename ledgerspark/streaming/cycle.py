@@ -4,6 +4,19 @@ There is one writer per store: exclusion between overlapping runs comes from the
 claim rows, and two writers claiming at once would need a table format with
 atomic commits. Every write replaces a partition named after the run, so a
 micro-batch that is run again leaves one copy of its rows.
+
+What a cycle reads does not grow with the log. A run's own rows are read from its
+own partition. Orders that moved but are not dispatched are in ``state``, the ids of
+dispatched ones in ``dispatched`` by the month of the order, of which only the months
+of the orders at hand are read; both are brought up to date when a run ends. A run that
+did not get there is named in ``open_runs`` and is finished by the next cycle. The
+small tables that change (inbox, state, open runs) have two slots: a new version goes
+to the older slot, so the newest complete one can always be read.
+
+A run is rolled back only before its publisher was entered. After that its messages
+may have gone out: what the publisher reported is stored first and settled from
+there, and what it did not report stays PROCESSING for ``orphans`` or for a repeat of
+the same run, which sends the same correlation ids.
 """
 
 from __future__ import annotations
@@ -12,43 +25,52 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from ledgerspark.constants import DISPATCHED, PROCESSING
 from ledgerspark.sources.publish import drop_partition, read_or_empty, replace_partition
 from ledgerspark.streaming import orders as O
 
 Publisher = Callable[[DataFrame], DataFrame]
+Items = DataFrame | Callable[[], DataFrame]
 CLAIMS, SETTLED, ROLLED_BACK = "1_claims", "2_settled", "3_rolled_back"
 
+KINDS = {"string": T.StringType(), "int": T.IntegerType(), "long": T.LongType(), "boolean": T.BooleanType(),
+         "timestamp": T.TimestampType()}
 
-@dataclass(frozen=True)
-class Store:
-    """Folders of the log, the shared staging table, the messages and the inbox."""
 
-    path: str
+def columns(listed: str) -> StructType:
+    """Schema of "name type, ..." without a session."""
+    return StructType([T.StructField(n, KINDS[k]) for n, k in (c.split() for c in listed.split(","))])
 
-    @property
-    def log(self) -> str:
-        return f"{self.path}/log"
 
-    @property
-    def staging(self) -> str:
-        return f"{self.path}/staging"
+RUN_LOG = columns(f"{O.LOG_SCHEMA}, step string")
+DETAILS = columns("order_id string, month string, first_run_ts timestamp")
+STATE = columns(f"{O.LOG_SCHEMA}, first_run_ts timestamp, month string")
+OPEN_RUNS = columns("run string")
+OUTCOMES = columns(f"{O.OUTCOME_SCHEMA}, parts int")
 
-    @property
-    def messages(self) -> str:
-        return f"{self.path}/messages"
 
-    @property
-    def inbox(self) -> str:
-        return f"{self.path}/inbox"
+@dataclass(frozen=True)
+class Store:
+    """Folders of the log, the staging table, the messages, the inbox and the compacted state."""
+
+    path: str
+
+    def __getattr__(self, name: str) -> str:
+        if name not in ("log", "staging", "messages", "inbox", "details", "outcomes", "sending", "open_runs", "state",
+                        "dispatched"):
+            raise AttributeError(name)
+        return f"{self.path}/{name}"
 
 
 def read_log(spark: SparkSession, store: Store) -> DataFrame:
-    schema = StructType.fromDDL(f"{O.LOG_SCHEMA}, run_id string, step string")
+    """The whole history, for reports."""
+    schema = columns(f"{O.LOG_SCHEMA}, run_id string, step string")
     return read_or_empty(spark, store.log, schema)
 
 
@@ -58,6 +80,11 @@ def append_log(transitions: DataFrame, store: Store, flow: str, run_id: str, ste
     replace_partition(rows, store.log, ["run_id", "step"])
 
 
+def read_run(spark: SparkSession, store: Store, key: str) -> DataFrame:
+    """A run's own transitions; ``key`` is flow and run id."""
+    return read_or_empty(spark, f"{store.log}/run_id={key}", RUN_LOG).drop("step")
+
+
 def write_staging(staged: DataFrame, store: Store, flow: str, run_id: str) -> None:
     """Rows of one flow and run in the shared staging table."""
     rows = staged.withColumn("flow", F.lit(flow)).withColumn("run_id", F.lit(run_id))
@@ -65,11 +92,7 @@ def write_staging(staged: DataFrame, store: Store, flow: str, run_id: str) -> No
 
 
 def read_staging(spark: SparkSession, store: Store, flow: str, run_id: str) -> DataFrame:
-    own = (F.col("flow") == flow) & (F.col("run_id").cast("string") == run_id)
-    df = spark.read.option("basePath", store.staging).parquet(
-        f"{store.staging}/flow={flow}/run_id={run_id}"
-    )
-    return df.where(own).drop("flow", "run_id")
+    return spark.read.parquet(f"{store.staging}/flow={flow}/run_id={run_id}")
 
 
 def cleanup(spark: SparkSession, store: Store, flow: str, run_id: str) -> None:
@@ -87,14 +110,113 @@ def to_message_table(store: Store, flow: str, run_id: str) -> Publisher:
         rows = messages.withColumn("flow", F.lit(flow)).withColumn("run_id", F.lit(run_id))
         replace_partition(rows, store.messages, ["flow", "run_id"])
         sent = messages.sparkSession.read.parquet(f"{store.messages}/flow={flow}/run_id={run_id}")
-        return sent.select("order_id", F.lit(True).alias("ok"), F.lit(None).cast("string").alias("reason"))
+        return sent.select("order_id", "part", F.lit(True).alias("ok"), F.lit(None).cast("string").alias("reason"))
 
     return publish
 
 
+def _mark(spark: SparkSession, path: str, key: str) -> None:
+    spark.range(1).select(F.lit(True).alias("there")).write.mode("overwrite").parquet(f"{path}/run={key}")
+
+
+def _marked(spark: SparkSession, path: str, key: str) -> bool:
+    return not read_or_empty(spark, f"{path}/run={key}", columns("there boolean")).isEmpty()
+
+
+def month_of(created: str) -> Column:
+    return F.coalesce(F.date_format(created, "yyyy-MM"), F.lit("none"))
+
+
+def _load(spark: SparkSession, path: str, schema: StructType, before: str | None = None) -> tuple[DataFrame, str, int]:
+    """Rows of the newest version of a table (below ``before`` if given), its name and its slot."""
+    named = StructType([*schema.fields, *columns("_there boolean, _version string, _slot int").fields])
+    rows = read_or_empty(spark, path, named)
+    known = rows if before is None else rows.where(F.col("_version") < before)
+    newest = known.agg(F.max(F.struct("_version", "_slot")).alias("n")).first().n
+    if newest is None:
+        return spark.createDataFrame([], schema), "", 1
+    held = spark.read.schema(StructType(named.fields[:-1])).parquet(f"{path}/_slot={newest['_slot']}")
+    return held.where("_there").select(*schema.names), newest["_version"], newest["_slot"]
+
+
+def _save(df: DataFrame, path: str, version: str, beside: int) -> str:
+    """Write a version to the slot that is not ``beside``; one more row names it even if ``df`` is empty."""
+    rows = df.withColumn("_there", F.lit(True))
+    name = df.sparkSession.range(1).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields], F.lit(False).alias("_there"))
+    target = f"{path}/_slot={1 - beside}"
+    rows.unionByName(name).withColumn("_version", F.lit(version)).write.mode("overwrite").parquet(target)
+    return target
+
+
+def read_state(spark: SparkSession, store: Store) -> DataFrame:
+    """Last transition of each order that has one and is not dispatched."""
+    return _load(spark, store.state, STATE)[0]
+
+
+def without_dispatched(orders: DataFrame, store: Store) -> DataFrame:
+    """Orders that were not dispatched; only the months of ``orders`` are looked up."""
+    spark = orders.sparkSession
+    known = read_or_empty(spark, store.dispatched, columns("order_id string, month string"))
+    dated = orders.withColumn("_month", month_of("created_at"))
+    months = [r[0] for r in dated.select("_month").distinct().collect()]  # as many as there are months
+    known = known.where(F.col("month").isin(months)).select("order_id", F.col("month").alias("_month"))
+    return dated.join(known, ["order_id", "_month"], "left_anti").select(*orders.columns)
+
+
+def _open_runs(spark: SparkSession, store: Store, add: str | None = None, drop: str | None = None) -> list[str]:
+    """Runs that began and did not end; ``add`` and ``drop`` change the list."""
+    rows, version, slot = _load(spark, store.open_runs, OPEN_RUNS)
+    runs = [r.run for r in rows.collect()]
+    if add or drop:
+        now = sorted({*runs, *([add] if add else [])} - {drop})
+        _save(spark.createDataFrame([(r,) for r in now], OPEN_RUNS), store.open_runs, _next(version), slot)
+    return runs
+
+
+def _next(version: str) -> str:
+    return f"{int(version or 0) + 1:015d}"
+
+
+def _finish(spark: SparkSession, store: Store, key: str, flow: str, clock: Callable[[], datetime],
+            done: bool = False) -> None:
+    """Settle what a run's publisher reported, or roll back what was never sent; then compact.
+
+    ``done`` says that the run itself goes through here. Each step may be repeated.
+    """
+    own = read_run(spark, store, key)
+    open_now = O.open_claims(own)
+    claim = open_now.select("run_ts").first()
+    run_id = key[len(flow) + 1:]
+    if claim is not None:
+        outcomes = read_or_empty(spark, f"{store.outcomes}/run={key}", OUTCOMES)
+        if not outcomes.isEmpty():
+            parts = outcomes.select("order_id", "parts")
+            settled = O.settle(outcomes.drop("parts"), open_now, flow, claim[0], clock(), parts)
+            append_log(settled, store, flow, run_id, SETTLED)
+        elif not done and not _marked(spark, store.sending, key):
+            append_log(O.rollback_run(own, flow, claim[0], clock()), store, flow, run_id, ROLLED_BACK)
+    _compact(spark, store, key)
+    _open_runs(spark, store, drop=key)
+
+
+def _compact(spark: SparkSession, store: Store, key: str) -> None:
+    """Fold a run's transitions into the state and the dispatched ids."""
+    details = read_or_empty(spark, f"{store.details}/run={key}", DETAILS)
+    moved = O.current_status(read_run(spark, store, key)).join(details, "order_id", "left")
+    moved = moved.withColumn("month", F.coalesce("month", F.lit("none")))
+    gone = moved.where(F.col("status") == DISPATCHED)
+    # ids that are added twice by a repeat do no harm
+    gone.select("order_id", "month").hint("rebalance", "month").write.mode("append").partitionBy("month").parquet(store.dispatched)
+    state, version, slot = _load(spark, store.state, STATE)
+    kept = state.join(moved.select("order_id"), "order_id", "left_anti")
+    still = moved.where(F.col("status") != DISPATCHED).withColumn("seq", F.lit(0).cast("long"))
+    _save(kept.select(*STATE.names).unionByName(still.select(*STATE.names)), store.state, _next(version), slot)
+
+
 def run_cycle(
     orders: DataFrame,
-    items: DataFrame,
+    items: Items,
     store: Store,
     flow: str,
     run_id: str,
@@ -104,66 +226,92 @@ def run_cycle(
     publisher: Publisher | None = None,
     replay_safe: bool = True,
     clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
+    max_items: int = O.MAX_ITEMS,
 ) -> bool:
     """Claim, stage, publish and settle one batch of orders; False when none was pending.
 
-    The claims are written first and read back, because the choice of a bounded
-    batch must not be made twice. A run that is repeated goes on with its own
-    open claims. With ``replay_safe=False`` (a sink that cannot replace what it
-    got before) it leaves them to ``orphans`` instead of publishing again.
+    An order is claimed when its items are there. The claims are written first and
+    read back, because the choice of a bounded batch must not be made twice. A run
+    that is repeated goes on where it stopped: it settles stored reports, or publishes
+    its claims again with the same ids. With ``replay_safe=False`` (a sink that cannot
+    replace what it got before) claims that may have been sent are left to ``orphans``.
     """
-    spark = orders.sparkSession
-
-    def own_claims() -> DataFrame:
-        claimed = O.open_claims(read_log(spark, store))
-        return claimed.where((F.col("flow_type") == flow) & (F.col("run_ts") == F.lit(run_ts)))
-
-    if O.has_work(own_claims()):
-        if not replay_safe:
-            return False
-    else:
-        claims = O.claim(orders, read_log(spark, store), flow, run_ts, clock(), eligible, batch_size)
+    spark, key = orders.sparkSession, f"{flow}-{run_id}"
+    items = items() if callable(items) else items
+    for other in _open_runs(spark, store):  # runs that broke off, normally none
+        if other != key and other.startswith(f"{flow}-"):
+            _finish(spark, store, other, flow, clock)
+
+    if not O.has_work(O.open_claims(read_run(spark, store, key))):
+        if _marked(spark, store.sending, key):
+            return False  # the run was settled before
+        state = read_state(spark, store)
+        candidates = O.complete(without_dispatched(orders, store), items)
+        claims = O.claim(candidates, state, flow, run_ts, clock(), eligible, batch_size)
+        _open_runs(spark, store, add=key)
         append_log(claims, store, flow, run_id, CLAIMS)
-        if not O.has_work(own_claims()):
+        claimed = O.open_claims(read_run(spark, store, key)).select("order_id")
+        if not O.has_work(claimed):
+            _open_runs(spark, store, drop=key)
             return False
-
-    try:
-        claims = own_claims()
-        write_staging(O.stage(claims, orders, items), store, flow, run_id)
-        messages = O.envelope(read_staging(spark, store, flow, run_id))
+        first = state.select("order_id", F.col("first_run_ts").alias("_first"))
+        details = orders.join(claimed, "order_id", "left_semi").join(first, "order_id", "left").select(
+            "order_id", month_of("created_at").alias("month"),
+            F.coalesce("_first", F.lit(run_ts).cast("timestamp")).alias("first_run_ts"))
+        details.write.mode("overwrite").parquet(f"{store.details}/run={key}")
+    elif _marked(spark, store.sending, key) and not replay_safe and read_or_empty(
+            spark, f"{store.outcomes}/run={key}", OUTCOMES).isEmpty():
+        return False
+
+    claims = O.open_claims(read_run(spark, store, key)).join(
+        read_or_empty(spark, f"{store.details}/run={key}", DETAILS).select("order_id", "first_run_ts"),
+        "order_id", "left").withColumn("first_run_ts", F.coalesce("first_run_ts", "run_ts"))
+    if read_or_empty(spark, f"{store.outcomes}/run={key}", OUTCOMES).isEmpty():
+        try:
+            write_staging(O.stage(claims, orders, items, max_items), store, flow, run_id)
+            staged = read_staging(spark, store, flow, run_id)
+            messages = O.envelope(staged)
+        except Exception:
+            undo = O.rollback_run(read_run(spark, store, key), flow, run_ts, clock())
+            append_log(undo, store, flow, run_id, ROLLED_BACK)
+            _finish(spark, store, key, flow, clock, done=True)
+            cleanup(spark, store, flow, run_id)
+            raise
+        _mark(spark, store.sending, key)
         outcomes = (publisher or to_message_table(store, flow, run_id))(messages)
-        settled = O.settle(outcomes, claims, flow, run_ts, clock())
-        append_log(settled, store, flow, run_id, SETTLED)
-    except Exception:
-        undo = O.rollback_run(read_log(spark, store), flow, run_ts, clock())
-        append_log(undo, store, flow, run_id, ROLLED_BACK)
-        raise
-    finally:
-        cleanup(spark, store, flow, run_id)
+        if "part" not in outcomes.columns:
+            outcomes = outcomes.withColumn("part", F.lit(None).cast("int"))
+        parts = staged.groupBy("order_id").agg(F.max("parts").alias("parts"))
+        outcomes.select("order_id", "part", "ok", "reason").join(parts, "order_id").write.mode(
+            "overwrite").parquet(f"{store.outcomes}/run={key}")
+    _finish(spark, store, key, flow, clock, done=True)
+    cleanup(spark, store, flow, run_id)
     return True
 
 
-def take_in(arrivals: DataFrame, store: Store, batch: str) -> DataFrame:
-    """Add the first arrival of each order to the inbox and return the whole inbox.
+def take_in(arrivals: DataFrame, store: Store, batch: str, version: list[str] | None = None) -> DataFrame:
+    """Orders that wait to be published: the latest arrival of each, of this batch and the ones before.
 
-    An order that came in an earlier batch is known and left out, however long ago.
+    ``version`` names the columns that tell which of two arrivals is later; without
+    them it is the one of the later batch. Rows that agree in that are decided by
+    their other columns, so a replay takes the same one. Whether an order was published
+    is told by the dispatched ids alone; those leave the inbox.
     """
     spark = arrivals.sparkSession
-    schema = StructType([*arrivals.schema.fields, *StructType.fromDDL("batch string").fields])
-    known = read_or_empty(spark, store.inbox, schema).where(F.col("batch") != batch)
-    fresh = (
-        arrivals.dropDuplicates(["order_id"])
-        .join(known.select("order_id"), "order_id", "left_anti")
-        .select(*arrivals.columns)
-        .withColumn("batch", F.lit(batch))
-    )
-    replace_partition(fresh, store.inbox, ["batch"])
-    return read_or_empty(spark, store.inbox, schema).drop("batch")
+    schema = StructType([*arrivals.schema.fields, *columns("arrived string").fields])
+    waiting, _, slot = _load(spark, store.inbox, schema, batch)
+    both = waiting.unionByName(arrivals.withColumn("arrived", F.lit(batch)))
+    later = F.struct(*(version or []), "arrived", *[c for c in arrivals.columns if c != "order_id"])
+    rest = F.struct(*[c for c in schema.names if c != "order_id"])
+    latest = both.groupBy("order_id").agg(F.max_by(rest, later).alias("o")).select("order_id", "o.*")
+    open_now = without_dispatched(latest.select(*schema.names), store)
+    path = _save(open_now, store.inbox, batch, slot)
+    return spark.read.parquet(path).where("_there").select(*arrivals.columns)
 
 
 def order_stream(
     arrivals: DataFrame,
-    items: DataFrame,
+    items: Items,
     store: Store,
     flow: str,
     eligible: list[str],
@@ -173,31 +321,35 @@ def order_stream(
     dedupe_within: str | None = None,
     publisher: Publisher | None = None,
     replay_safe: bool = True,
+    version: list[str] | None = None,
 ) -> StreamingQuery:
     """Publish a stream of orders, one cycle per micro-batch.
 
-    ``trigger`` is passed on to Spark (``{"processingTime": "5 minutes"}``); the
-    default works off what is there and stops. The source's own rate option, such
-    as ``maxFilesPerTrigger``, bounds what a micro-batch takes in. Orders left by
-    ``batch_size`` or rolled back stay in the inbox for the next micro-batch.
+    ``items`` is a function that reads the items as they are when a micro-batch runs,
+    or a frame when they never change. ``trigger`` is passed on to Spark
+    (``{"processingTime": "5 minutes"}``); the default works off what is there and
+    stops. The source's own rate option, such as ``maxFilesPerTrigger``, bounds what a
+    micro-batch takes in. Orders that are not eligible yet, lack items, are left by
+    ``batch_size`` or were rolled back stay in the inbox for the next micro-batch.
 
-    ``dedupe_within`` drops repeats within that time of the first arrival already
-    in the stream, with state for that time only; it goes by arrival time, so no
-    order is late. The inbox check is exact with or without it.
+    ``dedupe_within`` drops arrivals equal in all columns within that time of the first
+    one, with state for that time only; it goes by arrival time, so no order is late.
     """
     if dedupe_within is not None:
+        names = arrivals.columns
         arrivals = (
             arrivals.withColumn("_arrived", F.current_timestamp())
             .withWatermark("_arrived", dedupe_within)
-            .dropDuplicatesWithinWatermark(["order_id"])
+            .dropDuplicatesWithinWatermark(names)
             .drop("_arrived")
         )
 
     def cycle(batch: DataFrame, batch_id: int) -> None:
         run_id = f"b{batch_id:012d}"
-        inbox = take_in(batch, store, run_id)
+        inbox = take_in(batch, store, run_id, version)
         # The run time is part of the message ids: a repeated batch must use the same.
-        run_ts = _run_time(batch.sparkSession, store, flow, run_id)
+        claimed = read_run(batch.sparkSession, store, f"{flow}-{run_id}").where(F.col("status") == PROCESSING)
+        run_ts = claimed.agg(F.max("run_ts")).first()[0] or datetime.now(timezone.utc)
         run_cycle(
             inbox, items, store, flow, run_id, run_ts, eligible, batch_size, publisher, replay_safe
         )
@@ -208,12 +360,3 @@ def order_stream(
         .trigger(**(trigger or {"availableNow": True}))
     )
     return writer.start()
-
-
-def _run_time(spark: SparkSession, store: Store, flow: str, run_id: str) -> datetime:
-    """Run time of the claims already written by this run, or now."""
-    own = read_log(spark, store).where(
-        (F.col("run_id") == f"{flow}-{run_id}") & (F.col("step") == CLAIMS)
-    )
-    written = own.agg(F.max("run_ts")).first()[0]
-    return written or datetime.now(timezone.utc)

@@ -67,9 +67,14 @@ def test_settle_rollback_orphans(spark, rows):
     orders = order_rows(spark, "a", "b", "c")
     claims = O.claim(orders, log_rows(spark).limit(0), "f", T0, T0, ["OK"], None)
     outcomes = spark.createDataFrame(
-        [("a", True, None), ("b", True, None), ("b", False, "full"), ("other", True, None)], O.OUTCOME_SCHEMA)
+        [("a", 0, True, None), ("b", 0, True, None), ("b", 1, False, "full"), ("other", 0, True, None)],
+        O.OUTCOME_SCHEMA)
     settled = O.settle(outcomes, claims, "f", T0, T0 + timedelta(minutes=1))
     assert rows(settled.select("order_id", "status")) == [("a", DISPATCHED), ("b", PENDING)]
+    parts = spark.createDataFrame([("a", 2), ("b", 2)], "order_id string, parts int")
+    assert rows(O.settle(outcomes, claims, "f", T0, T0, parts).select("order_id", "status")) == [("b", PENDING)]
+    whole = outcomes.drop("part").where("ok and order_id = 'a'")
+    assert rows(O.settle(whole, claims, "f", T0, T0, parts).select("order_id", "status")) == [("a", DISPATCHED)]
     log = claims.unionByName(settled)
     undo = O.rollback_run(log, "f", T0, T0 + timedelta(minutes=2))
     assert rows(undo.select("order_id", "status")) == [("c", PENDING)]
@@ -98,9 +103,10 @@ def test_cycle_publishes_once_and_retries(spark, tmp_path):
     assert seen == [["a", "b"]] or seen == [["b", "a"]]
     assert statuses(spark, store) == {"a": DISPATCHED, "b": PENDING}
     with pytest.raises(RuntimeError):
-        run(2)
-    assert statuses(spark, store) == {"a": DISPATCHED, "b": PENDING, "c": PENDING}
-    assert run(3, None)
+        run(2)  # the publisher was entered: nobody knows what went out
+    assert statuses(spark, store) == {"a": DISPATCHED, "b": PROCESSING, "c": PROCESSING}
+    assert not run(3, None)
+    assert run(2, None)
     assert statuses(spark, store) == {"a": DISPATCHED, "b": DISPATCHED, "c": DISPATCHED}
     assert not run(4)
     sent = spark.read.parquet(store.messages).select("order_id").collect()
@@ -113,12 +119,104 @@ def test_replay_goes_on_with_its_claims(spark, tmp_path):
     claims = O.claim(orders, cycle.read_log(spark, store), "f", T0, T0, ["OK"], 1)
     cycle.append_log(claims, store, "f", "r1", cycle.CLAIMS)
     args = (orders, items, store, "f", "r1", T0, ["OK"], 1)
+    cycle._mark(spark, store.sending, "f-r1")
     assert not cycle.run_cycle(*args, replay_safe=False)
     assert statuses(spark, store) == {"a": PROCESSING}
     assert cycle.run_cycle(*args)
     assert statuses(spark, store) == {"a": DISPATCHED}
 
 
+def test_settling_that_fails_does_not_publish_again(spark, tmp_path):
+    store = cycle.Store(f"{tmp_path}/s")
+    orders, items = order_rows(spark, "a", "b"), item_rows(spark, a=1, b=1)
+    sent, ticks = [], iter([T0])
+
+    def publisher(messages):
+        sent.extend(r.correlation_id for r in messages.collect())
+        return messages.select("order_id", "part", F.lit(True).alias("ok"), F.lit(None).cast("string").alias("reason"))
+
+    def clock():
+        return next(ticks)  # one time for the claim, none for settling
+
+    with pytest.raises(StopIteration):
+        cycle.run_cycle(orders, items, store, "f", "r1", T0, ["OK"], None, publisher, False, clock)
+    assert len(sent) == 2 and set(statuses(spark, store).values()) == {PROCESSING}
+    later = T0 + timedelta(hours=1)
+    assert not cycle.run_cycle(orders, items, store, "f", "r2", later, ["OK"], None, publisher, False, lambda: later)
+    assert len(sent) == 2 and set(statuses(spark, store).values()) == {DISPATCHED}
+
+
+def test_failure_before_publishing_is_rolled_back_and_keeps_the_id(spark, tmp_path, monkeypatch):
+    store = cycle.Store(f"{tmp_path}/s")
+    orders, items = order_rows(spark, "a"), item_rows(spark, a=1)
+    ids = []
+
+    def publisher(messages):
+        ids.extend(r.correlation_id for r in messages.collect())
+        return messages.select("order_id", "part", F.lit(len(ids) > 1).alias("ok"), F.lit("x").alias("reason"))
+
+    def run(n):
+        at = T0 + timedelta(hours=n)
+        return cycle.run_cycle(orders, items, store, "f", f"r{n}", at, ["OK"], None, publisher, clock=lambda: at)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(cycle.O, "stage", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run(1)
+    assert statuses(spark, store) == {"a": PENDING} and not ids
+    assert run(2) and statuses(spark, store) == {"a": PENDING}  # rejected
+    assert run(3) and statuses(spark, store) == {"a": DISPATCHED}
+    assert len(ids) == 2 and len(set(ids)) == 1
+    assert not run(4)
+
+
+def test_changed_orders_late_items_and_what_a_batch_reads(spark, tmp_path, monkeypatch):
+    store, items_at, read = cycle.Store(f"{tmp_path}/s"), f"{tmp_path}/items", []
+    source = f"{tmp_path}/in"
+    item_rows(spark, a=2).write.parquet(items_at)
+
+    def run():
+        arrivals = spark.readStream.schema(order_rows(spark, "a").schema).parquet(source)
+        cycle.order_stream(arrivals, lambda: spark.read.parquet(items_at), store, "f", ["OK"], None,
+                           f"{tmp_path}/cp").awaitTermination()
+
+    def arrive(*ids, status="OK"):
+        order_rows(spark, *ids, status=status).coalesce(1).write.mode("append").parquet(source)
+
+    def messages():
+        return {r.order_id: len(json.loads(r.message)["data"]["items"])
+                for r in spark.read.parquet(store.messages).collect()}
+
+    arrive("a", "b", status="DRAFT")
+    run()
+    assert statuses(spark, store) == {}
+    arrive("a", "b")
+    run()
+    assert messages() == {"a": 2}  # b has no items yet
+    item_rows(spark, b=3).write.mode("append").parquet(items_at)
+    arrive("a")  # published before
+    run()
+    assert messages() == {"a": 2, "b": 3}
+    assert set(statuses(spark, store).values()) == {DISPATCHED}
+
+    plain = cycle.read_or_empty
+
+    def counted(spark, path, schema):
+        df = plain(spark, path, schema)
+        read.append(df.count() if "dispatched" not in path else 0)
+        return df
+
+    monkeypatch.setattr(cycle, "read_or_empty", counted)
+    sizes = []
+    for n in range(3):
+        item_rows(spark, **{f"n{n}": 1}).write.mode("append").parquet(items_at)
+        arrive(f"n{n}")
+        read.clear()
+        run()
+        sizes.append(sum(read))
+    assert max(sizes) <= sizes[0]
+
+
 def test_flows_share_staging_without_interference(spark, tmp_path):
     store = cycle.Store(f"{tmp_path}/s")
     orders = order_rows(spark, "a", "b")
