@@ -319,6 +319,11 @@ CUSTOMER_LINES = f"""linea AS (
          'E' || c_nationkey AS des_ramo_erp, 'D' || c_mktsegment AS des_ramo_contable, '01' AS codcia,
          c_acctbal, c_mktsegment FROM customer)"""
 
+RANKED_LINES = """SELECT DISTINCT l_returnflag, l_shipdate, l_orderkey,
+       row_number() OVER (PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber,
+         l_partkey, l_suppkey, l_quantity, l_extendedprice) AS ord
+FROM lineitem"""
+
 # One complete message for each eligible order, whatever came between.
 SENT_ONCE = f"""SELECT {txt('o_orderkey')} AS order_id, CAST(1 AS BIGINT) AS messages, CAST(1 AS BIGINT) AS ids,
        count(*) AS n_items, 'DISPATCHED' AS status
@@ -458,10 +463,8 @@ QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY d DESC NULLS LAST, o_
 SELECT m.*, a."Anio", a."Mes", a.cuenta_ausentismo FROM master m JOIN absences a ON a.emp_id = m.emp_id""",
     "semi_policies": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate FROM lineitem
 WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus <> 'P')""",
-    "distinct_after_rank": """SELECT DISTINCT l_returnflag, l_shipdate, l_orderkey,
-       row_number() OVER (PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber,
-         l_partkey, l_suppkey, l_quantity, l_extendedprice) AS ord
-FROM lineitem""",
+    "distinct_after_rank": RANKED_LINES,
+    "rank_hot": RANKED_LINES,
     "sync_current_status": f"WITH {LOG} SELECT order_id, status, flow_type, ts FROM status",
     "sync_status_of_orders": f"""WITH {LOG}
 SELECT {txt('o_orderkey')} AS order_id, o_orderdate AS created_at, o_orderstatus AS "BusinessStatus",

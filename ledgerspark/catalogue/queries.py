@@ -14,7 +14,7 @@ from ledgerspark.catalogue.standins import Tables
 from ledgerspark.functions import calendar
 from ledgerspark.operators.matching import rolling_months_join
 from ledgerspark.operators.pick import latest_link
-from ledgerspark.operators.rank import rank_within
+from ledgerspark.operators.rank import HOT_GROUP_ROWS, rank_within
 from ledgerspark.plans import absence, cascade, dims, facts
 from ledgerspark.plans import premium as premium_plan
 from ledgerspark.plans.allocate import allocate
@@ -80,7 +80,7 @@ def technical_result(t: Tables) -> DataFrame:
     """Dimensions, direct premium and cascade in one run."""
     products = S.products(t)
     result = cascade.cascade_totals(
-        _direct_premium(t), S.order_policies(t), dims.product_dim(products, S.lines(t)), START, END
+        _direct_premium(t), S.order_policies(t), dims.principal_products(products, S.lines(t)), START, END
     )
     return result.select(
         "periodo_trim", *cascade.GROUPINGS, *cascade.ROW_KEYS, *cascade.LEVEL_NAMES
@@ -91,9 +91,9 @@ def _direct_premium(t: Tables) -> DataFrame:
     products = S.products(t)
     return premium_plan.direct_premium(
         S.production(t),
-        dims.product_dim_no_line(products),
+        dims.principal_paths(products),
         dims.product_to_ledger(products),
-        dims.line_technical_to_ledger(S.lines(t)),
+        dims.line_pairs(S.lines(t)),
         S.order_policies(t),
         date(1995, 12, 1),
         END,
@@ -176,7 +176,7 @@ def line_map_distinct(t: Tables) -> DataFrame:
 
 @query
 def current_policies(t: Tables) -> DataFrame:
-    product = dims.product_dim(S.products(t), S.lines(t))
+    product = dims.principal_products(S.products(t), S.lines(t))
     return dims.current_policies(S.certificates(t), product, S.journal(t), S.channels(t), None)
 
 
@@ -297,14 +297,24 @@ def semi_policies(t: Tables) -> DataFrame:
     return rows.join(kept, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
 
 
-@query
-def distinct_after_rank(t: Tables) -> DataFrame:
+def _ranked_lines(t: Tables, hot_rows: int) -> DataFrame:
     columns = ["l_returnflag", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                "l_quantity", "l_extendedprice"]
-    ranked = rank_within(t.lineitem.select(columns), ["l_returnflag"], columns[1:], "ord")
+    ranked = rank_within(t.lineitem.select(columns), ["l_returnflag"], columns[1:3], "ord", hot_rows)
     return ranked.select("l_returnflag", "l_shipdate", "l_orderkey", "ord").distinct()
 
 
+@query
+def distinct_after_rank(t: Tables) -> DataFrame:
+    return _ranked_lines(t, HOT_GROUP_ROWS)
+
+
+@query
+def rank_hot(t: Tables) -> DataFrame:
+    """The same with groups above a hundred rows ranked over many tasks."""
+    return _ranked_lines(t, 100)
+
+
 @query
 def sync_current_status(t: Tables) -> DataFrame:
     return orders.current_status(S.sync_log(t)).select("order_id", "status", "flow_type", "ts")

@@ -25,9 +25,12 @@ def rank_within(
     ``hot_rows`` rows are ranked over many tasks: the rows are range-partitioned
     by key and order, ranked within each range, and moved on by the size of the
     ranges before. The group sizes are counted first, which runs a job.
-    Rows equal in all of ``order`` are ranked in no particular order.
+    Rows equal in all of ``order`` are ranked by their other columns, in both ways
+    alike; only rows equal in everything are interchangeable. The rank is a long.
     """
-    window = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    sort = rank_order(df, keys, order)
+    window = Window.partitionBy(*keys).orderBy(*sort)
+    position = F.row_number().over(window).cast("long")
     key = same_key(*keys).alias("_key")
     hot = (
         df.groupBy(key)
@@ -36,21 +39,26 @@ def rank_within(
         .select("_key")
     )
     if hot.isEmpty():
-        return df.withColumn(name, F.row_number().over(window))
+        return df.withColumn(name, position)
     hot = stable(hot)
     keyed = df.withColumn("_key", same_key(*keys))
     cold_rows = keyed.join(hot, "_key", "left_anti").drop("_key")
     hot_group_rows = keyed.join(hot, "_key", "left_semi").drop("_key")
-    ranked = cold_rows.withColumn(name, F.row_number().over(window))
+    ranked = cold_rows.withColumn(name, position)
     return ranked.unionByName(_rank_by_ranges(hot_group_rows, keys, order, name, hot_rows))
 
 
+def rank_order(df: DataFrame, keys: list[str], order: list[str]) -> list[Column]:
+    """Sort columns of a rank: ``order``, then all other columns."""
+    rest = [c for c in df.columns if c not in (*keys, *order)]
+    return [F.col(c).asc_nulls_first() for c in (*order, *rest)]
+
+
 def _rank_by_ranges(
     df: DataFrame, keys: list[str], order: list[str], name: str, hot_rows: int
 ) -> DataFrame:
     columns = df.columns
-    sort: list[Column] = [F.col(c).asc_nulls_first() for c in (*keys, *order)]
-    sort += [F.col(c).asc_nulls_first() for c in columns if c not in (*keys, *order)]
+    sort = [F.col(c).asc_nulls_first() for c in keys] + rank_order(df, keys, order)
 
     # Copies of a row are counted, not moved, and a large count is cut in blocks:
     # no range can then hold more than a block of equal rows.
@@ -89,5 +97,4 @@ def _rank_by_ranges(
         ranged.withColumn("_before", F.coalesce(F.sum("_size").over(in_range), F.lit(0)))
         .join(offsets, "_key")
         .select(*columns, F.explode(F.sequence(start + 1, start + F.col("_size"))).alias(name))
-        .withColumn(name, F.col(name).cast("int"))
     )

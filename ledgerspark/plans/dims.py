@@ -13,11 +13,14 @@ from ledgerspark.functions.values import or_missing
 from ledgerspark.operators.flatten import explode_left, explode_where
 from ledgerspark.operators.matching import match_any_key
 from ledgerspark.operators.pick import first_per_key
-from ledgerspark.operators.rank import HOT_GROUP_ROWS, rank_within
+from ledgerspark.operators.rank import HOT_GROUP_ROWS, rank_order, rank_within
 
 GROUPINGS = [f"agrupacion_n{i}" for i in range(1, 6)]
 
 
+PRODUCT_ORDER = ["id_ramo_contable", "id_ramo"]
+
+
 def _product_paths(products: DataFrame, origin: str, risk: str) -> DataFrame:
     """One row per product, code in the ``origin`` system and hierarchy of ``risk``."""
     by_origin = explode_where(
@@ -42,6 +45,15 @@ def product_dim(
     one hierarchy path. Equal rows are kept: each one has its own rank, in the
     same order in both.
     """
+    matched = product_lines(products, lines, origin, risk)
+    by_product = rank_within(matched, ["id_producto"], PRODUCT_ORDER, "ord", hot_rows)
+    return rank_within(by_product, GROUPINGS, ["id_ramo_contable", "id_producto"], "ord1", hot_rows)
+
+
+def product_lines(
+    products: DataFrame, lines: DataFrame, origin: str = C.ORIGIN_AX, risk: str = C.RISK_LIFE
+) -> DataFrame:
+    """Rows of ``product_dim`` before they are ranked."""
     line_codes = explode_left(lines, "arr_equivalencia_contable", "er").select(
         "id_ramo",
         "des_ramo",
@@ -50,7 +62,7 @@ def product_dim(
         F.col("er.cod_ramo_contable").alias("cod_ramo_contable"),
     )
     prefix = F.lit(C.LINE_PREFIX)
-    matched = match_any_key(
+    return match_any_key(
         _product_paths(products, origin, risk),
         F.concat(prefix, F.col("pj.id_ramo_contable")),
         line_codes,
@@ -67,12 +79,11 @@ def product_dim(
         "des_ramo",
     )
 
-    def ranked(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
-        rest = [c for c in df.columns if c not in (*keys, *order)]
-        return rank_within(df, keys, [*order, *rest], name, hot_rows)
 
-    by_product = ranked(matched, ["id_producto"], ["id_ramo_contable", "id_ramo"], "ord")
-    return ranked(by_product, GROUPINGS, ["id_ramo_contable", "id_producto"], "ord1")
+def principal_products(products: DataFrame, lines: DataFrame) -> DataFrame:
+    """The rows of ``product_dim`` with ``ord`` 1, without ranking the others or running a job."""
+    matched = product_lines(products, lines)
+    return first_per_key(matched, ["id_producto"], rank_order(matched, ["id_producto"], PRODUCT_ORDER))
 
 
 def product_dim_no_line(
@@ -82,7 +93,13 @@ def product_dim_no_line(
     hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Products with code and hierarchy, whether or not an accounting line matches."""
-    paths = _product_paths(products, origin, risk).select(
+    paths = product_paths(products, origin, risk)
+    return rank_within(paths, ["id_producto"], ["id_ramo_contable"], "ord", hot_rows)
+
+
+def product_paths(products: DataFrame, origin: str = C.ORIGIN_AX, risk: str = C.RISK_LIFE) -> DataFrame:
+    """Rows of ``product_dim_no_line`` before they are ranked."""
+    return _product_paths(products, origin, risk).select(
         "pj.nom_riesgo",
         "id_producto",
         "nom_producto",
@@ -90,13 +107,17 @@ def product_dim_no_line(
         *[f"pj.{n}" for n in GROUPINGS[:4]],
         "pj.id_ramo_contable",
     )
-    rest = [c for c in paths.columns if c not in ("id_producto", "id_ramo_contable")]
-    return rank_within(paths, ["id_producto"], ["id_ramo_contable", *rest], "ord", hot_rows)
+
+
+def principal_paths(products: DataFrame) -> DataFrame:
+    """The rows of ``product_dim_no_line`` with ``ord`` 1."""
+    paths = product_paths(products)
+    return first_per_key(paths, ["id_producto"], rank_order(paths, ["id_producto"], ["id_ramo_contable"]))
 
 
 def principal(dim: DataFrame) -> DataFrame:
-    """The first-ranked row of each product (or line)."""
-    return dim.where(F.col("ord") == 1)
+    """The first-ranked row of each product (or line); a table without ranks has no others."""
+    return dim.where(F.col("ord") == 1) if "ord" in dim.columns else dim
 
 
 def product_to_ledger(products: DataFrame) -> DataFrame:
@@ -142,8 +163,17 @@ def line_map(
     with its position within the ledger code (``ord``) and within the ledger
     description (``ord2``), for the way from technical to ledger.
     """
+    pairs = line_pairs(lines, flag, company)
+    if not with_rank:
+        return pairs.distinct()
+    by_code = rank_within(pairs, ["id_ramo_contable"], ["id_ramo"], "ord", hot_rows)
+    return rank_within(by_code, ["des_ramo_contable"], ["id_ramo"], "ord2", hot_rows)
+
+
+def line_pairs(lines: DataFrame, flag: str = "ind_contable_principal", company: str = C.COMPANY_01) -> DataFrame:
+    """Every pair of a ledger line and a technical line, repeats included."""
     marked = explode_left(lines, "arr_equivalencia_contable", "h", lambda e: e[flag] == C.YES)
-    pairs = marked.where(F.col("h.id_companhia") == company).select(
+    return marked.where(F.col("h.id_companhia") == company).select(
         F.col("h.cod_ramo_contable").alias("id_ramo_contable"),
         "id_ramo",
         "des_ramo",
@@ -151,15 +181,6 @@ def line_map(
         F.col("h.des_ramo_contable").alias("des_ramo_contable"),
         F.col("h.id_companhia").alias("codcia"),
     )
-    if not with_rank:
-        return pairs.distinct()
-
-    def ranked(df: DataFrame, key: str, name: str) -> DataFrame:
-        order = ["id_ramo"] + [c for c in df.columns if c not in (key, "id_ramo")]
-        return rank_within(df, [key], order, name, hot_rows)
-
-    by_code = ranked(pairs, "id_ramo_contable", "ord")
-    return ranked(by_code, "des_ramo_contable", "ord2")
 
 
 def line_ledger_to_technical(lines: DataFrame) -> DataFrame:

@@ -131,6 +131,13 @@ def test_rank_within_equals_row_number(spark, rows, hot_rows):
     assert rows(out) == rows(df.withColumn("rn", F.row_number().over(window)))
 
 
+def test_rank_ties_do_not_depend_on_the_plan(spark, rows):
+    df = spark.createDataFrame([("k", 1, c) for c in "cabdb"], "k string, a int, c string")
+    ways = [rank_within(df, ["k"], ["a"], "rn", hot_rows) for hot_rows in (100, 2, 1)]
+    assert [rows(w) for w in ways] == [[("k", 1, c, n) for n, c in enumerate("abbcd", 1)]] * 3
+    assert {w.schema["rn"].dataType.simpleString() for w in ways} == {"bigint"}
+
+
 def test_latest_link_order_and_plan(spark, rows):
     df = spark.createDataFrame(
         [(1, None, 9), (1, datetime(2024, 1, 1), 1), (1, datetime(2024, 1, 1), 2), (2, None, 3)],
