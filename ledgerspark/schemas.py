@@ -40,6 +40,17 @@ SOURCES = {
         cer_id_certificado string, tip_registro_primas string, pol_id_moneda_origen string,
         ind_acumulado string, tc_a_sol decimal(18,6), mnt_prima_np_usd decimal(18,2),
         mnt_derecho_emision_usd decimal(18,2)""",
+    # Fixed: data contract of the personnel tables, as their owner defines them.
+    "empleado": "emp_id int, emp_apellido string, emp_nombre string, emp_num_documento int",
+    "empleado_cuenta": """emp_id int, cue_id int, car_id int, ecu_fechadesde timestamp,
+        ecu_fechahasta timestamp, sar_id int""",
+    "cuenta": "cue_id int, cue_nombre string",
+    "subarea": "sar_id int, sar_nombre string",
+    "empleado_erp": "emp_id int, id_personal_erp int, eis_fechaHasta timestamp",
+    "empleado_servicio": "emp_id int, srv_id int, empsrv_fechadesde timestamp",
+    "servicios": "srv_id int, srv_nombre string",
+    "cargo": "car_id int, car_nombre string",
+    "ausentismo": "emp_id int, aus_fechadesde timestamp, aus_fechacontrol timestamp",
 }
 
 

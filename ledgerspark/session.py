@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -16,6 +17,7 @@ def local_session(cpus: int = 8, **conf: str) -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ledgerspark-"))
         # The JVM never compiles methods above this size; Spark then splits them.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
