@@ -7,8 +7,8 @@ their bounds through the recorded offsets gives each piece's span of original by
 
 No piece of a model that splits at white space goes on past a space mark after another
 character, and a character that is in no longer piece never merges. The text can be
-cut there, and each different cut is encoded once a worker while its cache lasts; a
-model without these properties is encoded whole. Models with unigram scores, unused or
+cut there, and each different stretch is encoded once while a worker's cache lasts, the
+new ones of a batch together; a model without these properties is encoded whole. Models with unigram scores, unused or
 user-defined pieces are refused. Null texts are empty. Each row is encoded by itself:
 repeated rows, ties and other columns have no effect, and nothing is shuffled.
 """
@@ -19,6 +19,7 @@ import hashlib
 import heapq
 import re
 import struct
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -31,9 +32,12 @@ from ledgerspark.llm.common import map_batches
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
-CACHE = 200_000
-#: Text of one output batch of ``encode_documents``.
-BATCH_BYTES = 4 << 20
+CACHE = 300_000
+#: Characters of text that are encoded together.
+BATCH_CHARS = 1 << 20
+#: Stretches above this many characters are merged one by one with a heap.
+LONG = 48
+NONE = np.int32(2**31 - 1)
 
 
 def _fields(data: bytes):
@@ -106,12 +110,159 @@ class Normal:
     source: np.ndarray
 
 
-@dataclass(frozen=True)
-class Cut:
-    ids: np.ndarray
-    sizes: np.ndarray
-    written: str
-    plain: str
+def in_groups(texts: list[str]) -> Iterable[list[str]]:
+    group, size = [], 0
+    for text in texts:
+        group.append(text)
+        size += len(text)
+        if size >= BATCH_CHARS:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+class Known:
+    """Encoded stretches: their ids and sizes one after the other, their texts by row."""
+
+    def __init__(self):
+        self.at: dict[str, int] = {}
+        self.written: list[str] = []
+        self.plain: list[str] = []
+        self.ids, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.ends = np.zeros(1, np.int64)
+        self.new: tuple[list[int], list[int], list[int]] = ([], [], [])
+
+    def add(self, text: str, ids: list[int], sizes: list[int], written: str, plain: str) -> None:
+        self.at[text] = len(self.written)
+        self.new[0].extend(ids)
+        self.new[1].extend(sizes)
+        self.new[2].append(len(ids))
+        self.written.append(written)
+        self.plain.append(plain)
+
+    def settle(self) -> None:
+        """Puts what was added into the arrays."""
+        ids, sizes, counts = self.new
+        if counts:
+            self.ids = np.concatenate([self.ids, np.array(ids, np.int32)])
+            self.sizes = np.concatenate([self.sizes, np.array(sizes, np.int32)])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts)])
+            self.new = ([], [], [])
+
+    def counts(self, rows: np.ndarray) -> np.ndarray:
+        return self.ends[rows + 1] - self.ends[rows]
+
+    def gather(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        first, count = self.ends[rows], self.counts(rows)
+        total = int(count.sum())
+        place = np.arange(total) + np.repeat(first - (np.cumsum(count) - count), count)
+        return self.ids[place], self.sizes[place]
+
+
+class Merges:
+    """Merging of many stretches at once: in each round every stretch merges its best pair, leftmost
+    of equals. Pairs are looked up in a hash table; a round touches two pairs of a stretch."""
+
+    FACTOR = np.uint64(0x9E3779B97F4A7C15)
+    BITS = 20
+
+    def __init__(self, scores: dict[str, tuple[float, int]]):
+        chars = {c for piece in scores for c in piece}
+        self.texts = [*scores, *sorted(chars - scores.keys())]
+        number = {text: i for i, text in enumerate(self.texts)}
+        self.ids = np.array([scores[t][1] if t in scores else -1 for t in self.texts], np.int32)
+        self.sizes = np.array([len(t.encode("utf-8", "surrogatepass")) for t in self.texts], np.int32)
+        self.of_char = np.full(0x110000, -1, np.int32)
+        for c in chars:
+            self.of_char[ord(c)] = number[c]
+        order = {score: rank for rank, score in enumerate(sorted({s for s, _ in scores.values()}, reverse=True))}
+        self.rank = np.array([order[scores[t][0]] if t in scores else NONE for t in self.texts], np.int32)
+        pairs = {}
+        for text in scores:
+            for at in range(1, len(text)):
+                left, right = number.get(text[:at]), number.get(text[at:])
+                if left is not None and right is not None:
+                    pairs[left << 32 | right] = number[text]
+        self._build(pairs)
+
+    def _build(self, pairs: dict[int, int]) -> None:
+        size = 1 << self.BITS
+        self.keys, self.made = np.full(size, -1, np.int64), np.zeros(size, np.int32)
+        keys, made = np.array(list(pairs), np.int64), np.array(list(pairs.values()), np.int32)
+        slots, self.reach = self._slot(keys), 0
+        while len(keys):
+            self.reach += 1
+            free = self.keys[slots] < 0
+            first = np.zeros(len(keys), bool)
+            first[np.unique(slots, return_index=True)[1]] = True
+            put = free & first
+            self.keys[slots[put]], self.made[slots[put]] = keys[put], made[put]
+            keys, made, slots = keys[~put], made[~put], (slots[~put] + 1) % size
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((keys.view(np.uint64) * self.FACTOR) >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def lookup(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Symbol that each pair makes, -1 if none."""
+        keys = left.astype(np.int64) << 32 | right
+        out = np.full(len(keys), -1, np.int32)
+        slots, open_ = self._slot(keys), np.arange(len(keys))
+        for _ in range(self.reach):
+            held = self.keys[slots]
+            hit = held == keys
+            out[open_[hit]] = self.made[slots[hit]]
+            on = ~hit & (held >= 0)
+            if not on.any():
+                break
+            open_, keys, slots = open_[on], keys[on], (slots[on] + 1) % len(self.keys)
+        return out
+
+    def text_of(self, symbol: int) -> str:
+        return self.texts[symbol] if symbol < len(self.texts) else chr(symbol - len(self.texts))
+
+    def run(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of all stretches one after the other, and how many each has; a character that is
+        in no piece is the number of symbols plus its code."""
+        counts = np.array([len(t) for t in stretches], np.int64)
+        codes = np.frombuffer("".join(stretches).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        symbols = self.of_char[codes].astype(np.int64)
+        symbols = np.where(symbols < 0, len(self.texts) + codes, symbols)
+        done_symbols, done_owner = [], []
+        owner = np.repeat(np.arange(len(stretches)), counts)
+        made = self._pairs(symbols, owner, np.arange(len(symbols)))
+        while len(symbols):
+            rank = np.where(made >= 0, self.rank[made], NONE)
+            start = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
+            best = np.minimum.reduceat(rank, start)
+            size = np.diff(np.append(start, len(symbols)))
+            live = np.repeat(best < NONE, size)
+            done_symbols.append(symbols[~live])
+            done_owner.append(owner[~live])
+            chosen = np.flatnonzero((rank == np.repeat(best, size)) & live)
+            if not len(chosen):
+                break
+            chosen = chosen[np.concatenate(([True], owner[chosen[1:]] != owner[chosen[:-1]]))]
+            symbols[chosen] = made[chosen]
+            live[chosen + 1] = False
+            # places move by the rows that went before them
+            moved = np.cumsum(live) - 1
+            symbols, owner, made, chosen = symbols[live], owner[live], made[live], moved[chosen]
+            touched = np.concatenate([chosen, chosen[chosen > 0] - 1])
+            made[touched] = self._pairs(symbols, owner, touched)
+        symbols, owner = np.concatenate([*done_symbols, []]), np.concatenate([*done_owner, []])
+        order = np.argsort(owner, kind="stable")
+        return symbols[order].astype(np.int64), np.bincount(owner.astype(np.int64), minlength=len(stretches))
+
+    def _pairs(self, symbols: np.ndarray, owner: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """What the pairs that begin at ``at`` make."""
+        out = np.full(len(at), -1, np.int32)
+        ok = at + 1 < len(symbols)
+        ok[ok] = owner[at[ok]] == owner[at[ok] + 1]
+        ok[ok] = np.maximum(symbols[at[ok]], symbols[at[ok] + 1]) < len(self.texts)
+        out[ok] = self.lookup(symbols[at[ok]], symbols[at[ok] + 1])
+        return out
 
 
 @dataclass(frozen=True)
@@ -148,7 +299,8 @@ class PieceModel:
                     raise ValueError("models that keep spaces unescaped are not supported")
         if kind_of_model != 2:
             raise ValueError("only BPE models are supported")
-        self.cache: dict[str, Cut] = {}
+        self.known = Known()
+        self.counted: dict[str, int] = {}
 
     def _add(self, piece: dict) -> None:
         text, kind, number = piece[1].decode(), piece.get(3, NORMAL), len(self.surface)
@@ -235,11 +387,13 @@ class PieceModel:
 
     # merging
 
+    @cached_property
+    def merges(self) -> Merges:
+        return Merges(self.scores)
+
     def _merge(self, text: str) -> list[str]:
         """Symbols after merging the best pair, leftmost first, until none is a piece."""
         symbols = list(text)
-        if len(symbols) == 1:
-            return symbols
         before = list(range(-1, len(symbols) - 1))
         after = [*range(1, len(symbols)), -1]
         scores, heap = self.scores, []
@@ -266,53 +420,115 @@ class PieceModel:
                 offer(left, after[left])
         return [s for s in symbols if s]
 
-    def cut(self, text: str) -> Cut:
-        """Ids of one stretch; bytes of a character without piece have size 0 but for the last."""
-        known = self.cache.get(text)
-        if known is not None:
-            return known
-        ids, sizes = [], []
-        for symbol in self._merge(text):
-            raw = symbol.encode("utf-8", "surrogatepass")
-            piece = self.scores.get(symbol)
-            if piece:
-                ids.append(piece[1])
-                sizes.append(len(raw))
-            elif self.fallback:
-                ids.extend(self.byte_ids[b] for b in raw)
-                sizes.extend([0] * (len(raw) - 1) + [len(raw)])
+    def _ids_of(self, symbol: str) -> tuple[list[int], list[int]]:
+        """Ids and byte sizes of one symbol; bytes of a character without piece have size 0 but for the last."""
+        raw = symbol.encode("utf-8", "surrogatepass")
+        piece = self.scores.get(symbol)
+        if piece:
+            return [piece[1]], [len(raw)]
+        if self.fallback:
+            return [self.byte_ids[b] for b in raw], [0] * (len(raw) - 1) + [len(raw)]
+        return [self.unknown], [len(raw)]
+
+    def _learn(self, stretches: list[str]) -> None:
+        """Encodes stretches that are not known yet, all short ones together."""
+        short = [t for t in stretches if len(t) <= LONG]
+        merges = self.merges
+        symbols, counts = merges.run(short)
+        single = merges.ids[np.minimum(symbols, len(merges.ids) - 1)]
+        plain = (symbols < len(merges.ids)) & (single >= 0)
+        odd = set(np.repeat(np.arange(len(short)), counts)[~plain].tolist())
+        ids, sizes = single.tolist(), merges.sizes[np.minimum(symbols, len(merges.ids) - 1)].tolist()
+        ends = np.cumsum(counts).tolist()
+        start = 0
+        for number, (text, end) in enumerate(zip(short, ends)):
+            if number in odd:
+                self._add_by_symbols(text, [merges.text_of(s) for s in symbols[start:end].tolist()])
             else:
-                ids.append(self.unknown)
-                sizes.append(len(raw))
-        made = Cut(np.array(ids, np.int32), np.array(sizes, np.int32), ",".join(map(str, ids)), self._plain(ids))
-        if len(self.cache) >= CACHE:
-            self.cache.clear()
-        if len(text) < 256:
-            self.cache[text] = made
-        return made
+                self._remember(text, ids[start:end], sizes[start:end])
+            start = end
+        for text in stretches:
+            if len(text) > LONG:
+                self._add_by_symbols(text, self._merge(text))
+
+    def _add_by_symbols(self, text: str, symbols: list[str]) -> None:
+        ids, sizes = [], []
+        for symbol in symbols:
+            more = self._ids_of(symbol)
+            ids += more[0]
+            sizes += more[1]
+        self._remember(text, ids, sizes)
+
+    def _remember(self, text: str, ids: list[int], sizes: list[int]) -> None:
+        self.known.add(text, ids, sizes, ",".join(map(str, ids)), self._plain(ids))
+
+    def _numbers(self, stretches: list[str]) -> np.ndarray:
+        """Row of each stretch in ``known``."""
+        if len(self.known.at) > CACHE:
+            self.known = Known()
+        new = [t for t in dict.fromkeys(stretches) if t not in self.known.at]
+        if new:
+            self._learn(new)
+            self.known.settle()
+        return np.fromiter(map(self.known.at.__getitem__, stretches), np.int64, len(stretches))
+
+    def _stretches(self, text: str) -> list[str]:
+        return self.cuts.findall(text) if self.cuts else [text] * bool(text)
+
+    def encode_all(self, texts: list[str]) -> Iterable[Encoding]:
+        for group in in_groups(texts):
+            normal = [self.normalise(t) for t in group]
+            cut = [self._stretches(n.text) for n in normal]
+            numbers = self._numbers([s for c in cut for s in c])
+            at = 0
+            for n, c in zip(normal, cut):
+                rows = numbers[at:at + len(c)]
+                at += len(c)
+                ids, sizes = self.known.gather(rows)
+                bounds = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+                rows = rows.tolist()
+                decoded = "".join([self.known.plain[r] for r in rows])
+                yield Encoding(ids, n.source[bounds[:-1]], n.source[bounds[1:]],
+                               ",".join([self.known.written[r] for r in rows]),
+                               self._without_lead(decoded, ids[:1].tolist()))
 
     def encode(self, text: str) -> Encoding:
-        normal = self.normalise(text)
-        if not normal.text:
-            none = np.zeros(0, np.int32)
-            return Encoding(none, none, none, "", "")
-        stretches = self.cuts.findall(normal.text) if self.cuts else [normal.text]
-        cuts = [self.cut(s) for s in stretches]
-        ids = np.concatenate([c.ids for c in cuts])
-        bounds = np.concatenate(([0], np.cumsum(np.concatenate([c.sizes for c in cuts]), dtype=np.int64)))
-        return Encoding(ids, normal.source[bounds[:-1]], normal.source[bounds[1:]],
-                        ",".join([c.written for c in cuts]),
-                        self._without_lead("".join([c.plain for c in cuts]), ids[:1].tolist()))
-
-    def count(self, text: str) -> int:
-        """Number of ids of ``encode``."""
-        normal = text.replace(" ", SPACE) if self.charsmap is None and not self.squeeze else None
-        if normal is None:
-            normal = self.normalise(text).text
-        elif normal and self.dummy:
-            normal = SPACE + normal
-        stretches = self.cuts.findall(normal) if self.cuts else [normal] * bool(normal)
-        return sum([self.cut(s).ids.size for s in stretches])
+        return next(iter(self.encode_all([text])))
+
+    def count_all(self, texts: list[str]) -> list[int]:
+        """Number of ids of each text."""
+        out = []
+        for group in in_groups(texts):
+            cut = [self._stretches(self._normal_text(t)) for t in group]
+            flat = [s for c in cut for s in c]
+            if len(self.counted) > CACHE:
+                self.counted = {}
+            new = [t for t in dict.fromkeys(flat) if t not in self.counted]
+            self.counted.update(zip(new, self._counts_of(new)))
+            counts = np.fromiter(map(self.counted.__getitem__, flat), np.int64, len(flat))
+            upto = np.concatenate(([0], np.cumsum(counts)))
+            ends = np.cumsum([len(c) for c in cut])
+            out += (upto[ends] - upto[ends - [len(c) for c in cut]]).tolist()
+        return out
+
+    def _counts_of(self, stretches: list[str]) -> list[int]:
+        merges = self.merges
+        symbols, counts = merges.run([t if len(t) <= LONG else "" for t in stretches])
+        known = np.minimum(symbols, len(merges.ids) - 1)
+        each = np.ones(len(symbols), np.int64)
+        odd = (symbols >= len(merges.ids)) | (merges.ids[known] < 0)
+        if self.fallback:  # an id for each byte of a character without piece
+            each[odd] = [len(merges.text_of(s).encode("utf-8", "surrogatepass")) for s in symbols[odd].tolist()]
+        out = np.bincount(np.repeat(np.arange(len(stretches)), counts), each, len(stretches)).astype(np.int64).tolist()
+        for i, text in enumerate(stretches):
+            if len(text) > LONG:
+                out[i] = sum(len(self._ids_of(s)[0]) for s in self._merge(text))
+        return out
+
+    def _normal_text(self, text: str) -> str:
+        if self.charsmap is not None or self.squeeze:
+            return self.normalise(text).text
+        return (SPACE if self.dummy and text else "") + text.replace(" ", SPACE)
 
     # decoding
 
@@ -323,8 +539,17 @@ class PieceModel:
             return text
         return text.lstrip(" ") if self.squeeze else text[1:]
 
+    @cached_property
+    def shown(self) -> list[str | None]:
+        """Text of each normal id."""
+        return [None if i in self.bytes_of or i in self.control or i == self.unknown else t.replace(SPACE, " ")
+                for i, t in enumerate(self.surface)]
+
     def _plain(self, ids) -> str:
         """Text of ids; runs of byte pieces are read as UTF-8, a byte that does not fit as U+FFFD."""
+        parts = [self.shown[i] for i in ids]
+        if None not in parts:
+            return "".join(parts)
         out, run = [], bytearray()
 
         def flush():
@@ -390,16 +615,13 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
                            T.StructField("ends", numbers), T.StructField("decoded", T.StringType())])
 
     def work(batch: pa.RecordBatch):
-        model, rows, size = model_of(shared.value), [], 0
-        for i in range(batch.num_rows):
-            text = batch.column(1)[i].as_py() or ""
-            coded = model.encode(text)
-            rows.append((batch.column(0)[i].as_py(), coded.ids, coded.begin.astype(np.int32),
-                         coded.end.astype(np.int32), coded.decoded))
-            size += len(text)
-            if size >= BATCH_BYTES or i == batch.num_rows - 1:
-                yield {name: [r[k] for r in rows] for k, name in enumerate(schema.names)}
-                rows, size = [], 0
+        model, at = model_of(shared.value), 0
+        for group in in_groups([t.as_py() or "" for t in batch.column(1)]):
+            coded = list(model.encode_all(group))
+            yield {"doc_id": batch.column(0).slice(at, len(group)), "ids": [c.ids for c in coded],
+                   "begins": [c.begin.astype(np.int32) for c in coded],
+                   "ends": [c.end.astype(np.int32) for c in coded], "decoded": [c.decoded for c in coded]}
+            at += len(group)
 
     return map_batches(docs.select("doc_id", "text"), work, schema)
 
@@ -416,12 +638,9 @@ def encoding_digests(docs: DataFrame, path: str) -> DataFrame:
         return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
 
     def work(batch: pa.RecordBatch):
-        model, texts = model_of(shared.value), batch.column(1)
-        rows = []
-        for i in range(batch.num_rows):
-            coded = model.encode(texts[i].as_py() or "")
-            rows.append((len(coded.ids), digest(coded.written), digest(coded.decoded),
-                         int((coded.end - coded.begin).sum())))
+        model = model_of(shared.value)
+        rows = [(len(c.ids), digest(c.written), digest(c.decoded), int((c.end - c.begin).sum()))
+                for c in model.encode_all([t.as_py() or "" for t in batch.column(1)])]
         yield {"doc_id": batch.column(0)} | {
             name: [r[k] for r in rows] for k, name in enumerate(schema.names[1:])}
 
