@@ -507,3 +507,5 @@ FROM orders WHERE o_orderstatus IN ('F', 'O') AND EXISTS (SELECT 1 FROM lineitem
     "stream_changes": SENT_ONCE,
     "sync_retry": SENT_ONCE,
 }
+ORACLES["publish_versions"] = ORACLES["publish_roundtrip"]
+ORACLES["run_ledger_roundtrip"] = ORACLES["upstream_read_time"]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark.catalogue import standins as S
 from ledgerspark.catalogue.standins import Tables
+from ledgerspark.constants import SUCCEEDED
 from ledgerspark.functions import calendar
 from ledgerspark.operators.matching import rolling_months_join
 from ledgerspark.operators.pick import latest_link
@@ -18,8 +19,8 @@ from ledgerspark.operators.rank import HOT_GROUP_ROWS, rank_within
 from ledgerspark.plans import absence, cascade, dims, facts
 from ledgerspark.plans import premium as premium_plan
 from ledgerspark.plans.allocate import allocate
-from ledgerspark.sources.publish import publish_table
-from ledgerspark.sources.run_ledger import upstream_asof
+from ledgerspark.sources.publish import publish_table, publish_version, read_current
+from ledgerspark.sources.run_ledger import record_run, upstream_asof
 from ledgerspark.sources.scratch import scratch_path
 from ledgerspark.sources.snapshots import snapshot_asof
 from ledgerspark.sources.tables import not_deleted, typed_mapping
@@ -406,6 +407,32 @@ def publish_roundtrip(t: Tables) -> DataFrame:
     )
 
 
+@query
+def publish_versions(t: Tables) -> DataFrame:
+    """The premium table published by version; a write that fails changes nothing."""
+    path, rows = scratch_path(t.spark, "versions"), S.premium(t)
+    publish_version(rows.limit(0), path, ["periodo"])
+    publish_version(rows, path, ["periodo"])
+    broken = rows.withColumn("mnt_usd", F.raise_error(F.lit("broken")).cast("decimal(18,2)"))
+    with suppress(Exception):
+        publish_version(broken, path, ["periodo"])
+    return read_current(t.spark, path).groupBy(
+        F.col("periodo").cast("date").alias("periodo"), "id_moneda"
+    ).agg(F.count(F.lit(1)).alias("filas"), F.sum("mnt_usd").cast("decimal(38,2)").alias("mnt_usd"))
+
+
+@query
+def run_ledger_roundtrip(t: Tables) -> DataFrame:
+    """Read times from a ledger that was written run by run: the last outcome of each resource."""
+    path = scratch_path(t.spark, "ledger")
+    last = S.run_outcomes(t).groupBy("recurso").agg(F.max("fecha_estado_fin_dag").alias("ended"))
+    for row in last.collect():  # a row for each resource
+        record_run(t.spark, path, row.recurso, SUCCEEDED, row.ended)
+    ledger = t.spark.read.parquet(path).withColumn(
+        "fecha_estado_fin_dag", F.col("fecha_estado_fin_dag").cast("timestamp_ntz"))
+    return upstream_asof(ledger, local_time(NOW))
+
+
 @query
 def stream_sync(t: Tables) -> DataFrame:
     """Orders arriving as a file stream, published once each; the log's final state."""

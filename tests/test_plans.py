@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, datetime
 from decimal import Decimal as D
 from random import Random
 
@@ -330,6 +330,7 @@ def test_technical_result_run_twice_gives_the_same(spark, rows, tmp_path):
     from ledgerspark.params import Params
     from ledgerspark.plans.technical_result import run_technical_result
     from ledgerspark.schemas import SOURCES, schema_of
+    from ledgerspark.sources.publish import read_current
     from ledgerspark.sources.tables import read_table
 
     policy = {c: None for c in dims.POLICY_COLUMNS}
@@ -344,9 +345,16 @@ def test_technical_result_run_twice_gives_the_same(spark, rows, tmp_path):
         df.write.parquet(f"{tmp_path}/in/{name}")
         sources[name] = read_table(spark, f"{tmp_path}/in/{name}", schema_of(name))
     params = Params(date(2024, 3, 1), date(2024, 5, 1), date(2024, 5, 1))
-    first = rows(run_technical_result(sources, params, f"{tmp_path}/out"))
-    again = run_technical_result(sources, params, f"{tmp_path}/out")
+    ledger, now = f"{tmp_path}/ledger", datetime(2024, 6, 1)
+    first = rows(run_technical_result(sources, params, f"{tmp_path}/out", ledger, now))
+    again = run_technical_result(sources, params, f"{tmp_path}/out", ledger, now)
     assert rows(again) == first
+    broken = {**sources, "tasa_cambio": sources["tasa_cambio"].drop("fec_tasa")}
+    with pytest.raises(Exception, match="fec_tasa"):
+        run_technical_result(broken, params, f"{tmp_path}/out", ledger, now)
+    assert rows(read_current(spark, f"{tmp_path}/out/{params.table('distribucion_prima')}")) == first
+    states = [r.estado for r in spark.read.parquet(ledger).orderBy("estado").collect()]
+    assert states == ["FAILED", "SUCCEEDED", "SUCCEEDED"]
     # March falls in three windows and May in one, for each of two ledger lines.
     assert len(first) == 8 and {r.id_poliza for r in again.collect()} == {"P"}
     assert {r.porc_nivel_14 for r in again.where("periodo_trim = DATE'2024-05-01'").collect()} == {D("6.00")}

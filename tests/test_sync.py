@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark.constants import DISPATCHED, FAILED, PENDING, PROCESSING, SUCCEEDED
 from ledgerspark.sources.publish import (
-    drop_run_tables, publish_table, publish_version, run_tables, save_run_table,
+    drop_run_tables, drop_versions, publish_table, publish_version, read_current, run_tables, save_run_table,
 )
 from ledgerspark.sources.run_ledger import LEDGER_SCHEMA, record_run, upstream_asof
 from ledgerspark.streaming import cycle, orders as O
@@ -278,9 +278,24 @@ def test_publish_is_idempotent(spark, rows, tmp_path):
     assert spark.read.parquet(path).count() == 3
     with pytest.raises(ValueError):
         publish_table(df, path, only_new=True)
-    publish_version(df, f"{tmp_path}/v", "1", "current_t")
-    publish_version(df.limit(1), f"{tmp_path}/v", "2", "current_t")
-    assert spark.table("current_t").count() == 1
+
+
+def test_a_failed_version_leaves_the_former_one(spark, rows, tmp_path):
+    path = f"{tmp_path}/v"
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "v int, p string")
+    assert rows(publish_version(df, path, ["p"])) == rows(df)
+    broken = df.withColumn("v", F.raise_error(F.lit("broken")).cast("int"))
+    with pytest.raises(Exception, match="broken"):
+        publish_version(broken, path, ["p"])
+    other = spark.newSession()
+    assert rows(read_current(other, path)) == rows(df)
+    for n in range(3):
+        publish_version(df.withColumn("v", F.lit(n)), path)
+    drop_versions(spark, path, keep=1)
+    assert [r.v for r in read_current(other, path).collect()] == [2, 2]
+    assert spark.read.parquet(f"{path}/version=1").count() == 0
+    with pytest.raises(ValueError):
+        read_current(spark, f"{tmp_path}/none")
 
 
 def test_run_tables_are_dropped_whatever_happens(spark):
