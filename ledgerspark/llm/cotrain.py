@@ -34,8 +34,8 @@ from ledgerspark.llm.common import ASCII_SPACE, map_batches
 TARGETS = ("bad", "toxic")
 TEXT_SIZE = 1 << 18
 META_SIZE = 1 << 12
-LABELLED = 20_000
-POOL = 10_000
+LABELLED = 12_000
+POOL = 4_000
 ROUNDS = 3
 #: Share of the pool that a view labels for the other in a round, by class.
 SHARE = 0.05
@@ -104,6 +104,12 @@ class Rows:
         flat = np.concatenate(lists) if len(lists) else np.zeros(0, np.int32)
         return cls(flat, np.concatenate(([0], np.cumsum(sizes))))
 
+    @classmethod
+    def from_column(cls, column: pa.ChunkedArray) -> Rows:
+        lists = column.combine_chunks()
+        sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+        return cls(lists.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(sizes))).astype(np.int64))
+
     def take(self, at: np.ndarray) -> Rows:
         return Rows.of([self.numbers[self.starts[i]:self.starts[i + 1]] for i in at])
 
@@ -135,9 +141,9 @@ def fit(rows: Rows, at: np.ndarray, truth: np.ndarray, size: int, only_yes: bool
     the class, if ``only_yes``); its value is its log odds ratio, its weight is learned.
     """
     rows = rows.take(at)
-    each = np.repeat(np.arange(len(at)), np.diff(rows.starts))
-    yes = np.bincount(rows.numbers, truth[each], size)
-    no = np.bincount(rows.numbers, 1 - truth[each], size)
+    each = np.repeat(np.arange(len(at), dtype=np.int32), np.diff(rows.starts))
+    yes = np.bincount(rows.numbers[truth[each] > 0], minlength=size).astype(float)
+    no = np.bincount(rows.numbers, minlength=size) - yes
     ratio, value = telling(yes, no, float(truth.sum()), float(len(truth) - truth.sum()))
     used = (ratio >= least) & ((value > 0) | (not only_yes))
     here = used[rows.numbers]
@@ -269,10 +275,11 @@ def sampled(docs: DataFrame, labels: DataFrame, labelled: int, pool: int) -> Dat
 
 def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL,
           rounds: int = ROUNDS) -> dict[str, Target]:
-    rows = sampled(docs, labels, labelled, pool).toPandas()
-    rows = rows.sort_values("order", kind="stable").drop_duplicates("order", ignore_index=True)
-    text, meta = Rows.of(rows["text"].tolist()), Rows.of(rows["meta"].tolist())
-    return {t: co_train(text, meta, rows[t].to_numpy(np.int64), rounds) for t in TARGETS}
+    rows = sampled(docs, labels, labelled, pool).toArrow()
+    _, first = np.unique(rows["order"].to_numpy(), return_index=True)  # one row of each id, in order
+    rows = rows.take(pa.array(first))
+    text, meta = Rows.from_column(rows["text"]), Rows.from_column(rows["meta"])
+    return {t: co_train(text, meta, rows[t].to_numpy().astype(np.int64), rounds) for t in TARGETS}
 
 
 def scored(docs: DataFrame, model: dict[str, Target], keys: list[str]) -> DataFrame:
