@@ -239,25 +239,41 @@ RANGES = T.ArrayType(T.StructType([T.StructField("a", T.LongType()), T.StructFie
 
 
 def runs_frame(docs: DataFrame, least: int) -> DataFrame:
-    """(key, context, doc_id, who, tie, start, windows, place) of all runs of ``docs`` (doc_id, who, tie, text)."""
+    """(key, context, doc_id, who, tie, starts, windows, place) of all runs of ``docs`` (doc_id, who, tie, text).
+
+    Equal runs of a document are one row with all their starts, so a text that repeats
+    itself does not make a class hot.
+    """
     schema = T.StructType([
         T.StructField("key", T.LongType()), T.StructField("context", T.LongType()), docs.schema["doc_id"],
-        T.StructField("who", T.LongType()), T.StructField("tie", T.LongType()), T.StructField("start", T.LongType()),
-        T.StructField("windows", T.IntegerType()), T.StructField("place", T.IntegerType())])
+        T.StructField("who", T.LongType()), T.StructField("tie", T.LongType()),
+        T.StructField("starts", T.ArrayType(T.LongType())), T.StructField("windows", T.IntegerType()),
+        T.StructField("place", T.IntegerType())])
 
     def work(batch: pa.RecordBatch):
-        rows, found = [], [[] for _ in range(5)]
+        rows, sizes, found = [], [], [[] for _ in range(5)]
         for i in range(batch.num_rows):
-            text = batch.column(3)[i].as_py()
-            for columns in runs_of(np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8), least):
-                rows.append(np.full(len(columns[0]), i))
-                for held, column in zip(found, columns):
-                    held.append(column)
+            data = np.frombuffer(batch.column(3)[i].as_py().encode("utf-8", "surrogatepass"), np.uint8)
+            parts = list(runs_of(data, least))
+            if not parts:
+                continue
+            key, context, start, windows, place = (np.concatenate(x) for x in zip(*parts))
+            order = np.lexsort((start, context, key))
+            ranked = key[order], context[order]
+            change = np.concatenate(([True], (ranked[0][1:] != ranked[0][:-1]) | (ranked[1][1:] != ranked[1][:-1])))
+            first = np.flatnonzero(change)
+            rows.append(np.full(len(first), i))
+            sizes.append(np.diff(np.append(first, len(order))))
+            for held, column in zip(found, (key[order[first]], context[order[first]], start[order],
+                                            windows[order[first]], place[order[first]])):
+                held.append(column)
         if rows:
             at = pa.array(np.concatenate(rows))
             key, context, start, windows, place = (np.concatenate(x) for x in found)
+            ends = np.concatenate(([0], np.cumsum(np.concatenate(sizes)))).astype(np.int32)
             yield {"key": key.view(np.int64), "context": context.view(np.int64), "doc_id": batch.column(0).take(at),
-                   "who": batch.column(1).take(at), "tie": batch.column(2).take(at), "start": start.astype(np.int64),
+                   "who": batch.column(1).take(at), "tie": batch.column(2).take(at),
+                   "starts": pa.ListArray.from_arrays(pa.array(ends), pa.array(start.astype(np.int64))),
                    "windows": windows.astype(np.int32), "place": place.astype(np.int32)}
 
     return map_batches(docs, work, schema)
@@ -364,8 +380,9 @@ def repeated_runs(docs: DataFrame, least: int, keep_first: bool, dense: int = DE
                   array_bytes: int = ARRAY_BYTES) -> DataFrame:
     """(who, tie, spans): byte spans to remove from each document of ``docs`` (doc_id, who, tie, text)."""
     runs = stable(runs_frame(docs, least))
+    start = F.col("starts")[0].alias("start")
     classes = runs.groupBy("key", "context").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "tie", "start", "who")).alias("first"), F.min("windows").alias("windows"),
+        F.sum(F.size("starts")).alias("n"), F.min(F.struct("doc_id", "tie", start, "who")).alias("first"), F.min("windows").alias("windows"),
         F.min("place").alias("place"))
     keys = classes.groupBy("key").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("total"))
     repeated = stable(classes.join(keys.where("total > 1"), "key"))
@@ -390,10 +407,12 @@ def repeated_runs(docs: DataFrame, least: int, keep_first: bool, dense: int = DE
     else:
         both = F.when(F.col("n") > 1, whole).otherwise(F.concat("earlier", "later"))
         verdicts = judged.select("key", "context", "first", both.alias("of_first"), both.alias("of_rest"))
-    verdicts = verdicts.where((F.size("of_first") > 0) | (F.size("of_rest") > 0))
+    # written down, so that the join is of two shuffles and Spark can split a class that many documents share
+    verdicts = stable(verdicts.where((F.size("of_first") > 0) | (F.size("of_rest") > 0)))
     is_first = ((F.col("first.who") == F.col("who")) & (F.col("first.tie") == F.col("tie"))
                 & (F.col("first.start") == F.col("start")))
     spans = runs.join(verdicts, ["key", "context"]).select(
+        "who", "tie", "first", "of_first", "of_rest", F.explode("starts").alias("start")).select(
         "who", "tie", "start", F.explode(F.when(is_first, F.col("of_first")).otherwise(F.col("of_rest"))).alias("r"))
     return spans.groupBy("who", "tie").agg(F.sort_array(F.collect_set(F.struct(
         (F.col("start") + F.col("r.a")).alias("a"),
