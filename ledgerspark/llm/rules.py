@@ -168,8 +168,8 @@ def quality_rules(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 def filter_documents(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Rows of ``docs`` that are kept, all columns. Texts are counted twice and never shuffled for it
-    unless the table of hosts is too large for Spark to broadcast by its size."""
-    verdicts = host_verdicts(stable(count_texts(docs, ["source"])), "source", limits)
+    unless the table of hosts, whose size is known as it is written down, is too large to broadcast."""
+    verdicts = stable(host_verdicts(stable(count_texts(docs, ["source"])), "source", limits))
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
                        docs["source"].alias("source"), docs["text"].alias("text"))
     judged = judge(count_texts(rows, ["row", "source"]), verdicts, "source", limits)
