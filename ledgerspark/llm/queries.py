@@ -11,7 +11,7 @@ from ledgerspark.sources.scratch import scratch_path
 
 
 PIECE_MODEL = "piece_bpe_32k.model"
-BYTE_RANKS = "byte_bpe_50k.tiktoken"
+BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def op1_prefix_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
