@@ -2,25 +2,31 @@
 
 The text view sees which words a document has and the shape of its characters; the
 metadata view sees language, source and length. For each target (bad quality, toxic)
-both learn from the labelled documents. In each round, either view labels the
+both learn from the labelled documents. In each round, either view labels those of all
 unlabelled documents it is surest of, and the other one learns from them too. At the
 end each view's log odds are calibrated on labelled documents that no view learned
 from, and one more logistic model on the calibrated views gives the score.
 
-The fit uses bounded samples: ``labelled`` labelled and ``pool`` unlabelled documents,
-those with the smallest hashes of their id; only their word numbers reach the driver.
-Scoring reads all documents whole, in one pass without a shuffle, with two tables of
-weights whose size is fixed.
+The labelled rows are a bounded sample: those ``labelled`` documents with the smallest
+hashes of their id; only their word numbers reach the driver. Unlabelled documents are
+not sampled. Their word numbers are written down once; a round reads them all twice,
+first for a histogram of how sure either view is, which sets the limits, then for the
+counts of words and values of the documents beyond these. Only these sums, whose size
+is fixed, reach the driver. Counts of both kinds of documents say which words tell and
+how much; a common scale of these values and a correction of each are learned from the
+labelled rows. Scoring reads all documents whole, in one pass without a shuffle, with
+two tables of weights whose size is fixed.
 
 Null and empty texts have no words; null languages, sources and lengths are values of
 their own. Several labels of one id are taken at their worst; null labels teach nothing
-and a null doc_id is never labelled. Without labels of both kinds a target's score is
+and a null doc_id is never labelled, by no view either. Without labels of both kinds a target's score is
 the share seen (0 if none is), so nothing is rejected. Equal rows get equal scores.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,16 +36,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerspark.llm.common import ASCII_SPACE, map_batches
+from ledgerspark.sources.scratch import stable
 
 TARGETS = ("bad", "toxic")
 TEXT_SIZE = 1 << 18
 META_SIZE = 1 << 12
-LABELLED = 12_000
-POOL = 4_000
+LABELLED = 20_000
 ROUNDS = 3
-#: Share of the pool that a view labels for the other in a round, by class.
+#: Share of the unlabelled documents that a view labels for the other in a round, by class.
 SHARE = 0.05
 SURE = 0.98
+#: Steps of log odds, from SURE up, that confidence is counted in.
+BINS = 4096
+BIN_WIDTH = 0.0064
+#: Unlabelled documents that are weighed together.
+TOGETHER = 1000
 #: Twice the log likelihood ratio from which a word or value counts as telling.
 LEAST_RATIO = 12.0
 CACHE = 400_000
@@ -106,7 +117,10 @@ class Rows:
 
     @classmethod
     def from_column(cls, column: pa.ChunkedArray) -> Rows:
-        lists = column.combine_chunks()
+        return cls.from_array(column.combine_chunks())
+
+    @classmethod
+    def from_array(cls, lists: pa.ListArray) -> Rows:
         sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
         return cls(lists.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(sizes))).astype(np.int64))
 
@@ -133,35 +147,62 @@ def telling(yes: np.ndarray, no: np.ndarray, all_yes: float, all_no: float) -> t
     return ratio, np.log((yes + 0.5) / (all_yes + 1)) - np.log((no + 0.5) / (all_no + 1))
 
 
-def fit(rows: Rows, at: np.ndarray, truth: np.ndarray, size: int, only_yes: bool, steps: int = 200,
-        least: float = LEAST_RATIO, ridge: float = 1e-4) -> np.ndarray:
+@dataclass
+class Counts:
+    """How many documents of either class hold each number, and how many there are."""
+
+    yes: np.ndarray
+    no: np.ndarray
+    all_yes: float
+    all_no: float
+
+    @classmethod
+    def none(cls, size: int) -> Counts:
+        return cls(np.zeros(size), np.zeros(size), 0.0, 0.0)
+
+    def __add__(self, other: Counts) -> Counts:
+        return Counts(self.yes + other.yes, self.no + other.no, self.all_yes + other.all_yes, self.all_no + other.all_no)
+
+    @classmethod
+    def of(cls, rows: Rows, truth: np.ndarray, size: int) -> Counts:
+        """Of the rows whose ``truth`` is 1 or 0."""
+        each = np.repeat(truth, np.diff(rows.starts))
+        return cls(np.bincount(rows.numbers[each == 1], minlength=size).astype(float),
+                   np.bincount(rows.numbers[each == 0], minlength=size).astype(float),
+                   float((truth == 1).sum()), float((truth == 0).sum()))
+
+
+def fit(rows: Rows, at: np.ndarray, truth: np.ndarray, size: int, only_yes: bool, taught: Counts | None = None,
+        steps: int = 200, least: float = LEAST_RATIO, ridge: float = 1e-4) -> np.ndarray:
     """Logistic weights, the last one the constant, over the numbers that tell the classes apart.
 
     A number counts if its likelihood ratio is at least ``least`` (and it speaks for
-    the class, if ``only_yes``); its value is its log odds ratio, its weight is learned.
+    the class, if ``only_yes``); its value is its log odds ratio, both from the rows and
+    the counts that the other view ``taught``. Its weight is a scale that all share, which
+    is what a number no row holds gets, and a correction of its own.
     """
     rows = rows.take(at)
     each = np.repeat(np.arange(len(at), dtype=np.int32), np.diff(rows.starts))
-    yes = np.bincount(rows.numbers[truth[each] > 0], minlength=size).astype(float)
-    no = np.bincount(rows.numbers, minlength=size) - yes
-    ratio, value = telling(yes, no, float(truth.sum()), float(len(truth) - truth.sum()))
+    found = Counts.of(rows, truth, size) + (taught or Counts.none(size))
+    ratio, value = telling(found.yes, found.no, found.all_yes, found.all_no)
     used = (ratio >= least) & ((value > 0) | (not only_yes))
     here = used[rows.numbers]
     place, each = (np.cumsum(used) - 1)[rows.numbers[here]], each[here]
     worth = value[rows.numbers[here]]
-    weights = np.zeros(int(used.sum()) + 1)
+    weights = np.zeros(int(used.sum()) + 2)  # corrections, the constant, the scale
     mean, spread = np.zeros_like(weights), np.zeros_like(weights)
     for step in range(1, steps + 1):
-        guess = sigmoid(np.bincount(each, worth * weights[place], len(at)) + weights[-1])
+        guess = sigmoid(np.bincount(each, worth * (weights[place] + weights[-1]), len(at)) + weights[-2])
         slope = (guess - truth) / len(at)
-        gradient = np.append(np.bincount(place, worth * slope[each], len(weights) - 1) + ridge * weights[:-1],
-                             slope.sum())
+        pull = worth * slope[each]
+        gradient = np.concatenate([np.bincount(place, pull, len(weights) - 2) + ridge * weights[:-2],
+                                   [slope.sum(), pull.sum() + ridge * weights[-1]]])
         mean = 0.9 * mean + 0.1 * gradient
         spread = 0.999 * spread + 0.001 * gradient ** 2
         weights -= 0.05 * (mean / (1 - 0.9 ** step)) / (np.sqrt(spread / (1 - 0.999 ** step)) + 1e-8)
     out = np.zeros(size + 1)
-    out[:-1][used] = weights[:-1] * value[used]
-    out[-1] = weights[-1]
+    out[:-1][used] = (weights[:-2] + weights[-1]) * value[used]
+    out[-1] = weights[-2]
     return out
 
 
@@ -206,39 +247,114 @@ def constant(share: float) -> Target:
                   np.array([0.0, 0.0, level]))
 
 
-def co_train(text: Rows, meta: Rows, truth: np.ndarray, rounds: int = ROUNDS) -> Target:
-    """``truth`` is 1, 0 or -1 for rows of the pool; one labelled row of five is kept for calibration."""
+# what a text does not hold says little: its view counts words that speak for the class
+VIEWS = {"text": (TEXT_SIZE, True), "meta": (META_SIZE, False)}
+OTHER = {"text": "meta", "meta": "text"}
+Views = dict[str, Rows]
+
+
+@dataclass
+class Round:
+    """Both views in a round, with their calibration, and from where on they label documents: for a view
+    and class the lowest step of confidence, and the share of it that is taken."""
+
+    weights: dict[str, np.ndarray]
+    lines: dict[str, np.ndarray]
+    limits: dict[tuple[str, int], tuple[int, float]]
+
+    def steps(self, views: Views) -> dict[tuple[str, int], np.ndarray]:
+        """Step of confidence of each row by view and class, below 0 where the view is not sure."""
+        out = {}
+        for name, rows in views.items():
+            level = np.clip(odds(rows, self.weights[name]) * self.lines[name][0] + self.lines[name][1], -100, 100)
+            for value, side in ((1, level), (0, -level)):
+                step = np.floor((side - np.log(SURE / (1 - SURE))) / BIN_WIDTH)
+                out[name, value] = np.clip(step, -1, BINS - 1).astype(np.int64)
+        return out
+
+    def labels(self, views: Views, draw: np.ndarray) -> dict[str, np.ndarray]:
+        """Class that each view gives to a row, -1 for none; ``draw`` decides within the lowest step."""
+        out = {name: np.full(len(draw), -1) for name in views}
+        for (name, value), step in self.steps(views).items():
+            low, share = self.limits[name, value]
+            out[name][(step > low) | ((step == low) & (draw < share))] = value
+        return out
+
+    def set_limits(self, sure: dict[tuple[str, int], np.ndarray], rows: int, share: float) -> None:
+        """Each view labels SHARE of the ``rows`` that are left, ``share`` of them as the class."""
+        quota = max(1, int(SHARE * rows))
+        for (name, value), found in sure.items():
+            room = max(1, int(quota * (share if value else 1 - share)))
+            above = np.cumsum(found[::-1])[::-1]
+            low = int(np.flatnonzero(above >= room).max(initial=0))
+            over = int(above[low] - found[low])
+            self.limits[name, value] = low, min(1.0, (room - over) / max(1, int(found[low])))
+
+
+def left(views: Views, draw: np.ndarray, rounds: list[Round]) -> np.ndarray:
+    """Rows that no view labelled in ``rounds``."""
+    out = np.ones(len(draw), bool)
+    for one in rounds:
+        for label in one.labels(views, draw).values():
+            out &= label < 0
+    return out
+
+
+def sureness(views: Views, draw: np.ndarray, rounds: list[Round]) -> tuple[int, dict[tuple[str, int], np.ndarray]]:
+    """Rows that are left before the last of ``rounds``, and how many are at each step of confidence in it."""
+    here = left(views, draw, rounds[:-1])
+    return int(here.sum()), {key: np.bincount(step[here & (step >= 0)], minlength=BINS)
+                             for key, step in rounds[-1].steps(views).items()}
+
+
+def lessons(views: Views, draw: np.ndarray, rounds: list[Round]) -> dict[str, Counts]:
+    """For each view the counts of what the other one labels in the last of ``rounds``."""
+    here = left(views, draw, rounds[:-1])
+    return {OTHER[name]: Counts.of(views[OTHER[name]], np.where(here, label, -1), VIEWS[OTHER[name]][0])
+            for name, label in rounds[-1].labels(views, draw).items()}
+
+
+@dataclass
+class Held:
+    """Unlabelled rows in memory."""
+
+    views: Views
+    draw: np.ndarray
+
+    def sureness(self, rounds: list[Round]):
+        return sureness(self.views, self.draw, rounds)
+
+    def lessons(self, rounds: list[Round]):
+        return lessons(self.views, self.draw, rounds)
+
+
+def co_train(text: Rows, meta: Rows, truth: np.ndarray, rounds: int = ROUNDS, unlabelled=None) -> Target:
+    """``truth`` is 1, 0 or -1; one labelled row of five is kept for calibration. Rows of -1 are the
+    unlabelled ones, unless ``unlabelled`` has them."""
     known = np.flatnonzero(truth >= 0)
     kept, learned = known[::5], np.setdiff1d(known, known[::5])
     if len(known) < 20 or min(len(np.unique(truth[learned])), len(np.unique(truth[kept]))) < 2:
         return constant(min(0.49, float(truth[known].mean())) if len(known) else 0.0)
-    # what is absent from a text says little: its view counts words that speak for the class
-    views = {"text": (text, TEXT_SIZE, True), "meta": (meta, META_SIZE, False)}
-    taught = {name: (learned, truth[learned].astype(float)) for name in views}
-    pool = np.flatnonzero(truth < 0)
-    weights: dict[str, np.ndarray] = {}
+    rows = {"text": text, "meta": meta}
+    if unlabelled is None:
+        rest = np.flatnonzero(truth < 0)
+        unlabelled = Held({name: r.take(rest) for name, r in rows.items()}, rest * 0.6180339887498949 % 1)
+    taught = {name: Counts.none(size) for name, (size, _) in VIEWS.items()}
+    done: list[Round] = []
     for turn in range(rounds + 1):
-        for name, (rows, size, only_yes) in views.items():
-            weights[name] = fit(rows, *taught[name], size, only_yes)
-        if turn == rounds or not len(pool):
+        weights = {name: fit(rows[name], learned, truth[learned].astype(float), size, only_yes, taught[name])
+                   for name, (size, only_yes) in VIEWS.items()}
+        lines = {name: logistic(odds(rows[name], weights[name])[kept][:, None], truth[kept]) for name in VIEWS}
+        if turn == rounds:
             break
-        used = np.zeros(len(truth), bool)
-        for name, other in (("text", "meta"), ("meta", "text")):
-            rows = views[name][0]
-            seen = odds(rows, weights[name])
-            line = logistic(seen[kept][:, None], truth[kept])
-            sure = sigmoid(seen[pool] * line[0] + line[1])
-            quota = max(1, int(SHARE * len(pool)))
-            share = truth[learned].mean()
-            for value, confidence, room in ((1.0, sure, quota * share), (0.0, 1 - sure, quota * (1 - share))):
-                best = np.argsort(-confidence, kind="stable")[:max(1, int(room))]
-                best = pool[best[confidence[best] >= SURE]]
-                at, labels = taught[other]
-                taught[other] = (np.concatenate([at, best]), np.concatenate([labels, np.full(len(best), value)]))
-                used[best] = True
-        pool = pool[~used[pool]]
-    lines = {name: logistic(odds(rows, weights[name])[kept][:, None], truth[kept]) for name, (rows, *_) in views.items()}
-    calibrated = np.column_stack([odds(views[n][0], weights[n])[kept] * lines[n][0] + lines[n][1] for n in views])
+        done.append(Round(weights, lines, {}))
+        open_, sure = unlabelled.sureness(done)
+        if not open_:
+            break
+        done[-1].set_limits(sure, open_, float(truth[learned].mean()))
+        for name, counts in unlabelled.lessons(done).items():
+            taught[name] += counts
+    calibrated = np.column_stack([odds(rows[n], weights[n])[kept] * lines[n][0] + lines[n][1] for n in VIEWS])
     return Target(weights["text"], weights["meta"], lines["text"], lines["meta"], logistic(calibrated, truth[kept]))
 
 
@@ -248,19 +364,21 @@ FEATURES = T.StructType([
 ])
 
 
-def sampled(docs: DataFrame, labels: DataFrame, labelled: int, pool: int) -> DataFrame:
-    """Features of the labelled sample and of the pool; -1 where a label is missing."""
+def worst_labels(labels: DataFrame) -> DataFrame:
+    """One row of each id; -1 where a label is missing."""
     # a row that says nothing about a target is no label for it
-    worst = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+    return labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.coalesce(F.max(1 - F.col("quality").cast("int")), F.lit(-1)).alias("bad"),
         F.coalesce(F.max(F.col("toxic").cast("int")), F.lit(-1)).alias("toxic"))
+
+
+def sampled(docs: DataFrame, labels: DataFrame, labelled: int) -> DataFrame:
+    """Features of the labelled sample; -1 where a label is missing."""
     ids = docs.where(F.col("doc_id").isNotNull()).select("doc_id")
     order = F.xxhash64("doc_id")
-    known = worst.join(ids.distinct(), "doc_id", "left_semi").orderBy(order, "doc_id").limit(labelled)
-    unknown = ids.join(worst, "doc_id", "left_anti").distinct().orderBy(order, "doc_id").limit(pool).select(
-        "doc_id", F.lit(-1).alias("bad"), F.lit(-1).alias("toxic"))
-    drawn = known.unionByName(unknown)  # at most labelled + pool rows, so a broadcast is bounded
-    rows = docs.select("doc_id", "text", "lang", "source", "n_chars").join(F.broadcast(drawn), "doc_id").select(
+    known = worst_labels(labels).join(ids.distinct(), "doc_id", "left_semi").orderBy(order, "doc_id").limit(labelled)
+    # at most ``labelled`` rows, so a broadcast is bounded
+    rows = docs.select("doc_id", "text", "lang", "source", "n_chars").join(F.broadcast(known), "doc_id").select(
         order.alias("order"), "bad", "toxic", "text", "lang", "source", "n_chars")
 
     def work(batch: pa.RecordBatch):
@@ -273,13 +391,101 @@ def sampled(docs: DataFrame, labels: DataFrame, labelled: int, pool: int) -> Dat
     return map_batches(rows, work, FEATURES)
 
 
-def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL,
-          rounds: int = ROUNDS) -> dict[str, Target]:
-    rows = sampled(docs, labels, labelled, pool).toArrow()
+NUMBERS = [T.StructField(n, T.ArrayType(T.IntegerType())) for n in VIEWS]
+
+
+def unlabelled_features(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """draw, bad, toxic, text, meta of all documents without a label for one of the targets."""
+    schema = T.StructType([docs.schema["doc_id"], *NUMBERS])
+
+    def work(batch: pa.RecordBatch):
+        yield {"doc_id": batch.column(0), "text": [text_numbers(t.as_py()) for t in batch.column(1)],
+               "meta": [meta_numbers(a, b, n) for a, b, n in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))]}
+
+    rows = map_batches(docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text", "lang", "source", "n_chars"),
+                       work, schema)
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    # labels grow with the corpus, so the join is the one of large tables at every size
+    return rows.join(worst_labels(labels).hint("merge"), "doc_id", "left").select(
+        draw.alias("draw"), *[F.coalesce(t, F.lit(-1)).alias(t) for t in TARGETS], *VIEWS).where("bad < 0 or toxic < 0")
+
+
+class Unlabelled:
+    """All documents without a label for ``target``, weighed on the executors."""
+
+    def __init__(self, features: DataFrame, target: str):
+        self.rows = features.where(F.col(target) < 0).select("draw", *VIEWS)
+
+    def added(self, rounds: list[Round], work, schema: T.StructType, keys: list[str]) -> pa.Table:
+        """Sums of the rows (keys, yes, no) that ``work`` makes of all that a task reads."""
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow, shared = to_arrow_schema(schema), self.rows.sparkSession.sparkContext.broadcast(rounds)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            parts = ((b.slice(at, TOGETHER) for b in batches for at in range(0, b.num_rows, TOGETHER)))
+            pieces = (({n: Rows.from_array(p.column(1 + i)) for i, n in enumerate(VIEWS)},
+                       p.column(0).to_numpy(zero_copy_only=False)) for p in parts)
+            for columns in work(pieces, shared.value):
+                yield pa.RecordBatch.from_pydict(columns, schema=arrow)
+
+        sums = [F.sum(c).cast("long").alias(c) for c in schema.names if c not in keys]
+        out = self.rows.mapInArrow(run, schema).groupBy(*keys).agg(*sums).toArrow()
+        shared.unpersist()
+        return out
+
+    def sureness(self, rounds: list[Round]) -> tuple[int, dict[tuple[str, int], np.ndarray]]:
+        keys = [(name, value) for name in VIEWS for value in (1, 0)]
+        schema = T.StructType([T.StructField(n, T.LongType()) for n in ("key", "step", "n")])
+
+        def work(pieces, rounds):
+            rows, total = 0, np.zeros((len(keys), BINS), np.int64)
+            for views, draw in pieces:
+                some, sure = sureness(views, draw, rounds)
+                rows += some
+                for i, key in enumerate(keys):
+                    total[i] += sure[key]
+            key, step = np.nonzero(total)
+            yield {"key": np.append(key, -1), "step": np.append(step, 0), "n": np.append(total[key, step], rows)}
+
+        found = self.added(rounds, work, schema, ["key", "step"])
+        key, step, n = (found[c].to_numpy() for c in schema.names)
+        return int(n[key < 0].sum()), {k: np.bincount(step[key == i], n[key == i], BINS).astype(np.int64)
+                                       for i, k in enumerate(keys)}
+
+    def lessons(self, rounds: list[Round]) -> dict[str, Counts]:
+        schema = T.StructType([T.StructField(n, T.LongType()) for n in ("view", "number", "yes", "no")])
+
+        def work(pieces, rounds):
+            total = {name: Counts.none(size) for name, (size, _) in VIEWS.items()}
+            for views, draw in pieces:
+                for name, counts in lessons(views, draw, rounds).items():
+                    if counts.all_yes or counts.all_no:
+                        total[name] += counts
+            for i, counts in enumerate(total.values()):
+                at = np.flatnonzero(counts.yes + counts.no)
+                yield {"view": np.full(len(at) + 1, i), "number": np.append(at, -1),
+                       "yes": np.append(counts.yes[at], counts.all_yes).astype(np.int64),
+                       "no": np.append(counts.no[at], counts.all_no).astype(np.int64)}
+
+        found = self.added(rounds, work, schema, ["view", "number"])
+        view, number, yes, no = (found[c].to_numpy() for c in schema.names)
+        out = {}
+        for i, (name, (size, _)) in enumerate(VIEWS.items()):
+            here, every = (view == i) & (number >= 0), (view == i) & (number < 0)
+            out[name] = Counts(np.bincount(number[here], yes[here], size), np.bincount(number[here], no[here], size),
+                               float(yes[every].sum()), float(no[every].sum()))
+        return out
+
+
+def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: int = ROUNDS) -> dict[str, Target]:
+    rows = sampled(docs, labels, labelled).toArrow()
     _, first = np.unique(rows["order"].to_numpy(), return_index=True)  # one row of each id, in order
     rows = rows.take(pa.array(first))
     text, meta = Rows.from_column(rows["text"]), Rows.from_column(rows["meta"])
-    return {t: co_train(text, meta, rows[t].to_numpy().astype(np.int64), rounds) for t in TARGETS}
+    features = stable(unlabelled_features(docs, labels)) if rows.num_rows else None
+    return {t: co_train(text, meta, rows[t].to_numpy().astype(np.int64), rounds,
+                        None if features is None else Unlabelled(features, t)) for t in TARGETS}
 
 
 def scored(docs: DataFrame, model: dict[str, Target], keys: list[str]) -> DataFrame:

@@ -53,3 +53,30 @@ def test_odd_rows(spark):
         assert len(got) == 4 and all(r.kept for r in got)
         assert [r.kept for r in cotrain.filter_documents(docs, some).select("kept").collect()].count("x") == 3
     assert cotrain.classify(docs.limit(0), labels).collect() == []
+
+
+def test_all_unlabelled_documents_take_part_and_executors_agree_with_memory(spark):
+    # 40 labelled documents; 6,000 without a label, of which one in ten has a word that no label knows
+    rows = [(i, f"{'foul' if i % 2 else 'fair'} {'rare' if i % 2 and i % 10 == 1 and i >= 40 else 'plain'}", "en",
+             "a" if i % 2 else "b", 9) for i in range(6040)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(7)
+    labels = spark.createDataFrame([(i, 1 - i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    known = cotrain.Unlabelled(cotrain.unlabelled_features(docs, labels), "bad")
+    assert known.rows.count() == 6000
+    got = cotrain.Held({n: cotrain.Rows.from_column(known.rows.toArrow()[n]) for n in cotrain.VIEWS},
+                       known.rows.toArrow()["draw"].to_numpy())
+    weights = {n: np.zeros(size + 1) for n, (size, _) in cotrain.VIEWS.items()}
+    weights["text"][cotrain.word_number(b"foul")] = 9.0
+    weights["meta"][cotrain.meta_numbers("en", "a", 9)] = 2.0
+    one = cotrain.Round(weights, {"text": np.array([1.0, -4.5]), "meta": np.array([1.0, -3.0])}, {})
+    (n, sure), (m, also) = known.sureness([one]), got.sureness([one])
+    assert n == m == 6000 and all((sure[k] == also[k]).all() for k in sure)
+    assert sure["text", 1].sum() == sure["text", 0].sum() == 3000
+    one.set_limits(sure, n, 0.5)
+    a, b = known.lessons([one]), got.lessons([one])
+    for name in cotrain.VIEWS:
+        assert (a[name].yes == b[name].yes).all() and (a[name].no == b[name].no).all()
+    # five in a hundred of all 6,000, half of either class
+    assert 110 < a["meta"].all_yes < 190 and 110 < a["meta"].all_no < 190
+    assert a["text"].yes[cotrain.word_number(b"rare")] > 0
+    assert cotrain.LABELLED == 20_000
