@@ -7,7 +7,8 @@ of documents:
 1. quality rules: documents that fail the rules, or their host's stricter form, go;
 2. quality classifier: documents judged bad or toxic go; labels come from ``sf_dir``;
 3. SimHash near-dedup: of each group the document with the smallest doc_id stays;
-4. suffix-array dedup: of passages of 400 bytes and more only the first copy stays;
+4. suffix-array dedup: of passages of 400 bytes and more only the first copy stays, and
+   of what is left then, of passages of more than 50 words, however few their bytes;
 5. packing: the documents left are dealt to length buckets and token batches.
 
 Nulls, ties, repeated rows, empty tables and extra columns: as the operators say.
@@ -40,7 +41,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return suffix.drop_passages(docs)
+    return suffix.drop_passages(stable(suffix.drop_passages(docs)), suffix.LEAST_WORDS, suffix.WORDS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,6 +18,10 @@ An anchor value with more than ``dense`` classes is not put into an array: its w
 are compared by their hashes, place by place in one task up to ``huge`` classes, and as
 rows of a count beyond. All three ways find the same windows.
 
+The unit is a byte, or a word (``WORDS``): then texts are arrays of the hashes of their
+words, whatever white space is between them, ``least`` counts words, and spans are put
+back to bytes at the end. All of the above holds for words as it does for bytes.
+
 Texts are taken as UTF-8; nulls are empty; matches never cross documents. Documents are
 in order of doc_id (nulls first), then a hash of the text, and rows that repeat both are
 copies of each other. Texts under ``least`` bytes stay whole. Other columns do not matter.
@@ -26,11 +30,14 @@ copies of each other. Texts under ``least`` bytes stay whole. Other columns do n
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,6 +47,9 @@ from ledgerspark.sources.scratch import stable
 
 LEAST = 400
 GRAM = 100
+#: The shortest passage of more than 50 words.
+LEAST_WORDS = 51
+GRAM_WORDS = 12
 DENSE = 4096
 HUGE = 50_000
 #: Bytes of text in one suffix array.
@@ -48,6 +58,35 @@ STRETCH = (1 << 20) - 4096
 BASE = 0x9E3779B97F4A7C15
 PLACE = np.uint64((1 << 20) - 1)
 
+WORD = re.compile(rb"[^\x20\x09-\x0d]+")
+
+
+@dataclass(frozen=True)
+class Unit:
+    """What texts are arrays of, and how many of them make a gram."""
+
+    dtype: str
+    gram: int
+
+    def of(self, text: str) -> np.ndarray:
+        data = text.encode("utf-8", "surrogatepass")
+        if self.dtype == "uint8":
+            return np.frombuffer(data, np.uint8)
+        return np.fromiter(map(xxhash.xxh64_intdigest, data.split()), np.uint64)
+
+    def read(self, raw: bytes) -> np.ndarray:
+        return np.frombuffer(raw, self.dtype)
+
+    def to_bytes(self, data: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """Byte spans of ``data`` for spans of units; a word goes with the white space after it."""
+        if self.dtype == "uint8" or not spans:
+            return spans
+        starts = [m.start() for m in WORD.finditer(data)] + [len(data)]
+        return [(starts[a], starts[b]) for a, b in spans]
+
+
+BYTES, WORDS = Unit("uint8", GRAM), Unit("uint64", GRAM_WORDS)
+
 _tables: list[np.ndarray] = []
 
 
@@ -98,14 +137,14 @@ def smallest(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(low[:-rest], low[rest:]) if rest else low
 
 
-def runs_of(data: np.ndarray, least: int) -> Iterator[tuple[np.ndarray, ...]]:
+def runs_of(data: np.ndarray, least: int, gram: int = GRAM) -> Iterator[tuple[np.ndarray, ...]]:
     """(key, context hash, first window, number of windows, place of the anchor) of the runs of a text."""
     for start in range(0, len(data) - least + 1, STRETCH):
         part = data[start:start + STRETCH + least - 1]
         sums = Sums(part)
-        grams = sums.grams(GRAM)
+        grams = sums.grams(gram)
         packed = (grams & ~PLACE) | np.arange(len(grams), dtype=np.uint64)
-        anchor = (smallest(packed, least - GRAM + 1) & PLACE).astype(np.int64)
+        anchor = (smallest(packed, least - gram + 1) & PLACE).astype(np.int64)
         first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
         count = np.diff(np.concatenate((first, [len(anchor)])))
         at = anchor[first]
@@ -117,15 +156,19 @@ def runs_of(data: np.ndarray, least: int) -> Iterator[tuple[np.ndarray, ...]]:
 
 
 def doubled_ranks(data: np.ndarray, reach: int) -> dict[int, np.ndarray]:
-    """Ranks of all suffixes by their first 8, 16, ... bytes, up to the largest power below ``reach``,
-    and by their first ``reach`` bytes."""
+    """Ranks of all suffixes by their first 7, 14, ... bytes (1, 2, ... words), up to the largest below
+    ``reach``, and by their first ``reach`` ones."""
     size = len(data)
+    if data.dtype != np.uint8:
+        return _doubled({1: _dense(data)}, 1, reach, size)
     padded = np.concatenate((data.astype(np.uint64) + np.uint64(1), np.zeros(8, np.uint64)))
     head = np.zeros(size, np.uint64)
     for i in range(7):  # nine bits a byte, so that the end sorts before byte 0
         head = (head << np.uint64(9)) | padded[i:i + size]
-    ranks = {7: _dense(head)}
-    known = 7
+    return _doubled({7: _dense(head)}, 7, reach, size)
+
+
+def _doubled(ranks: dict[int, np.ndarray], known: int, reach: int, size: int) -> dict[int, np.ndarray]:
     while known < reach:
         step = min(known, reach - known)
         later = np.zeros(size, np.int64)
@@ -200,9 +243,9 @@ def longest_factors(data: np.ndarray, cap: int, starts: np.ndarray | None = None
 # comparing the classes of an anchor value
 
 
-def by_arrays(contexts: list[bytes], least: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def by_arrays(contexts: list[np.ndarray], least: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each context, in document order: which windows also start earlier, and which later."""
-    data = np.frombuffer(b"".join(contexts), np.uint8)
+    data = np.concatenate(contexts)
     sizes = np.array([len(c) for c in contexts])
     first = np.cumsum(sizes) - sizes
     # a string that runs into the next context is in no document
@@ -211,14 +254,14 @@ def by_arrays(contexts: list[bytes], least: int) -> list[tuple[np.ndarray, np.nd
     return [(earlier[a:a + n], later[a:a + n]) for a, n in zip(first, sizes - least + 1)]
 
 
-def by_places(contexts: list[bytes], places: np.ndarray, least: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def by_places(contexts: list[np.ndarray], places: np.ndarray, least: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """The same by hashes of the windows at equal places from the anchor."""
     out, rows = [], []
     for number, (c, place) in enumerate(zip(contexts, places)):
         windows = len(c) - least + 1
         start = np.arange(windows)
         rows.append((np.full(windows, number), place - start, start,
-                     Sums(np.frombuffer(c, np.uint8)).spans(start, start + least)))
+                     Sums(c).spans(start, start + least)))
         out.append((np.zeros(windows, bool), np.zeros(windows, bool)))
     number, place, start, value = (np.concatenate(x) for x in zip(*rows))
     order = np.lexsort((number, value, place))
@@ -238,7 +281,7 @@ def ranges(flags: np.ndarray) -> list[dict]:
 RANGES = T.ArrayType(T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())]))
 
 
-def runs_frame(docs: DataFrame, least: int) -> DataFrame:
+def runs_frame(docs: DataFrame, least: int, unit: Unit = BYTES) -> DataFrame:
     """(key, context, doc_id, who, tie, starts, windows, place) of all runs of ``docs`` (doc_id, who, tie, text).
 
     Equal runs of a document are one row with all their starts, so a text that repeats
@@ -253,8 +296,7 @@ def runs_frame(docs: DataFrame, least: int) -> DataFrame:
     def work(batch: pa.RecordBatch):
         rows, sizes, found = [], [], [[] for _ in range(5)]
         for i in range(batch.num_rows):
-            data = np.frombuffer(batch.column(3)[i].as_py().encode("utf-8", "surrogatepass"), np.uint8)
-            parts = list(runs_of(data, least))
+            parts = list(runs_of(unit.of(batch.column(3)[i].as_py()), least, unit.gram))
             if not parts:
                 continue
             key, context, start, windows, place = (np.concatenate(x) for x in zip(*parts))
@@ -279,7 +321,7 @@ def runs_frame(docs: DataFrame, least: int) -> DataFrame:
     return map_batches(docs, work, schema)
 
 
-def cut_contexts(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
+def cut_contexts(docs: DataFrame, wanted: DataFrame, least: int, unit: Unit = BYTES) -> DataFrame:
     """``wanted`` (key, context, classes, doc_id, who, tie, start, windows, place) with the bytes of each run."""
     names = ("key", "context", "classes", "start", "windows", "place")
     lists = wanted.groupBy("who", "tie").agg(F.collect_list(F.struct(*names)).alias("runs"))
@@ -289,17 +331,17 @@ def cut_contexts(docs: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
 
     def work(batch: pa.RecordBatch):
         for i in range(batch.num_rows):
-            data = batch.column(3)[i].as_py().encode("utf-8", "surrogatepass")
+            data = unit.of(batch.column(3)[i].as_py())
             runs = batch.column(2)[i].as_py()
             yield {"doc_id": pa.repeat(batch.column(0)[i], len(runs)),
                    "tie": pa.repeat(batch.column(1)[i], len(runs))} | {
                 n: [r[n] for r in runs] for n in names} | {
-                "bytes": [data[r["start"]:r["start"] + r["windows"] - 1 + least] for r in runs]}
+                "bytes": [data[r["start"]:r["start"] + r["windows"] - 1 + least].tobytes() for r in runs]}
 
     return map_batches(rows, work, schema)
 
 
-def compared(cut: DataFrame, least: int, dense: int, array_bytes: int) -> DataFrame:
+def compared(cut: DataFrame, least: int, dense: int, array_bytes: int, unit: Unit = BYTES) -> DataFrame:
     """(key, context, earlier, later): ranges of windows found in earlier and later classes."""
     keys = ["key", "context"]
     schema = T.StructType([*[cut.schema[k] for k in keys], T.StructField("earlier", RANGES),
@@ -313,7 +355,7 @@ def compared(cut: DataFrame, least: int, dense: int, array_bytes: int) -> DataFr
     def settle(held: pd.DataFrame) -> pd.DataFrame:
         # rows that repeat a document give its runs again
         held = held.drop_duplicates(keys, ignore_index=True)
-        texts = held["bytes"].tolist()
+        texts = [unit.read(raw) for raw in held["bytes"]]
         if len(held) > dense and held["key"].iloc[0] == held["key"].iloc[-1]:
             return result(held, by_places(texts, held["place"].to_numpy(), least))
         return result(held, by_arrays(texts, least))
@@ -349,7 +391,7 @@ def compared(cut: DataFrame, least: int, dense: int, array_bytes: int) -> DataFr
     return rows.mapInPandas(work, schema)
 
 
-def compared_as_rows(cut: DataFrame, least: int) -> DataFrame:
+def compared_as_rows(cut: DataFrame, least: int, unit: Unit = BYTES) -> DataFrame:
     """The same for anchor values with very many classes: a row for each window, counted by its hash."""
     schema = T.StructType([*[f for f in cut.schema.fields if f.name not in ("bytes", "classes", "windows")],
                            T.StructField("window", T.LongType()), T.StructField("hash", T.LongType())])
@@ -358,7 +400,7 @@ def compared_as_rows(cut: DataFrame, least: int) -> DataFrame:
     def work(batch: pa.RecordBatch):
         for i in range(batch.num_rows):
             row = batch.slice(i, 1).to_pylist()[0]
-            data = np.frombuffer(row["bytes"], np.uint8)
+            data = unit.read(row["bytes"])
             start = np.arange(len(data) - least + 1)
             hashes = Sums(data).spans(start, start + least).view(np.int64)
             yield {n: [row[n]] * len(start) for n in names} | {"window": start, "hash": hashes}
@@ -377,9 +419,9 @@ def compared_as_rows(cut: DataFrame, least: int) -> DataFrame:
 
 
 def repeated_runs(docs: DataFrame, least: int, keep_first: bool, dense: int = DENSE, huge: int = HUGE,
-                  array_bytes: int = ARRAY_BYTES) -> DataFrame:
-    """(who, tie, spans): byte spans to remove from each document of ``docs`` (doc_id, who, tie, text)."""
-    runs = stable(runs_frame(docs, least))
+                  array_bytes: int = ARRAY_BYTES, unit: Unit = BYTES) -> DataFrame:
+    """(who, tie, spans): spans of units to remove from each document of ``docs`` (doc_id, who, tie, text)."""
+    runs = stable(runs_frame(docs, least, unit))
     start = F.col("starts")[0].alias("start")
     classes = runs.groupBy("key", "context").agg(
         F.sum(F.size("starts")).alias("n"), F.min(F.struct("doc_id", "tie", start, "who")).alias("first"), F.min("windows").alias("windows"),
@@ -389,13 +431,13 @@ def repeated_runs(docs: DataFrame, least: int, keep_first: bool, dense: int = DE
     wanted = repeated.where("classes > 1").select(
         "key", "context", "classes", F.col("first.doc_id").alias("doc_id"), F.col("first.who").alias("who"), F.col("first.tie").alias("tie"),
         F.col("first.start").alias("start"), "windows", "place")
-    cut = cut_contexts(docs, wanted, least)
+    cut = cut_contexts(docs, wanted, least, unit)
     if repeated.where(F.col("classes") > huge).isEmpty():
-        flags = compared(cut, least, dense, array_bytes)
+        flags = compared(cut, least, dense, array_bytes, unit)
     else:
         cut = stable(cut)
-        flags = compared(cut.where(F.col("classes") <= huge), least, dense, array_bytes).unionByName(
-            compared_as_rows(cut.where(F.col("classes") > huge), least))
+        flags = compared(cut.where(F.col("classes") <= huge), least, dense, array_bytes, unit).unionByName(
+            compared_as_rows(cut.where(F.col("classes") > huge), least, unit))
     flags = flags.select("key", "context", "earlier", "later")
     none = F.array().cast(RANGES)
     whole = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("windows").cast("long").alias("b")))
@@ -440,11 +482,11 @@ def _with_spans(docs: DataFrame, extra: list[str], least: int, keep_first: bool,
     return joined.withColumn("twin", twin).select("doc_id", "text", "spans", "twin", *extra)
 
 
-def removed_from(data: bytes, spans: list[dict] | None, twin: int, least: int) -> list[tuple[int, int]]:
+def removed_from(data: bytes, spans: list[dict] | None, twin: int, least: int, unit: Unit = BYTES) -> list[tuple[int, int]]:
     """Byte spans that go; a row that repeats another one with its id goes whole."""
-    if twin > 1 and len(data) >= least:
+    if twin > 1 and (len(data) if unit == BYTES else len(data.split())) >= least:
         return [(0, len(data))]
-    return merged(spans)
+    return unit.to_bytes(data, merged(spans))
 
 
 def kept_bytes(data: bytes, gone: list[tuple[int, int]]) -> bytes:
@@ -476,14 +518,14 @@ def passage_digests(docs: DataFrame, least: int = LEAST, keep_first: bool = Fals
     return map_batches(marked, work, schema)
 
 
-def drop_passages(docs: DataFrame, least: int = LEAST, **options) -> DataFrame:
+def drop_passages(docs: DataFrame, least: int = LEAST, unit: Unit = BYTES, **options) -> DataFrame:
     """``docs`` with later copies of passages taken out of text, whole characters only; n_chars follows
-    where it is there. A document of which only white space is left goes. All columns stay."""
+    where it is there. Passages are of ``least`` units and more. A document of which only white space is left goes. All columns stay."""
     text = F.coalesce(docs["text"], F.lit(""))
     rows = docs.select(docs["doc_id"].alias("doc_id"), text.alias("text"),
                        F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("row"),
                        docs["text"].isNull().alias("no_text"))
-    marked = _with_spans(rows, ["row", "no_text"], least, True, **options)
+    marked = _with_spans(rows, ["row", "no_text"], least, True, unit=unit, **options)
     schema = T.StructType([T.StructField("kept", T.StringType()), T.StructField("whole", T.BooleanType()),
                            rows.schema["row"]])
 
@@ -492,7 +534,7 @@ def drop_passages(docs: DataFrame, least: int = LEAST, **options) -> DataFrame:
         for i in range(batch.num_rows):
             text = batch.column(1)[i].as_py()
             data = text.encode("utf-8", "surrogatepass")
-            gone = removed_from(data, batch.column(2)[i].as_py(), batch.column(3)[i].as_py(), least)
+            gone = removed_from(data, batch.column(2)[i].as_py(), batch.column(3)[i].as_py(), least, unit)
             if gone:
                 text = kept_bytes(data, gone).decode("utf-8", "ignore")
                 if not words_of(text):

@@ -125,3 +125,48 @@ def test_query_against_all_windows(spark):
     rows = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
     got = sorted((tuple(r) for r in QUERIES["op6_suffix_dedup"](spark, folder).collect()), key=repr)
     assert got == digest_rows([tuple(r) for r in rows], 400)
+
+
+@pytest.mark.parametrize("options", OPTIONS, ids=str)
+def test_first_copy_of_words_stays(spark, options):
+    least, rng = suffix.LEAST_WORDS, random.Random(4)
+    prose = lambda n: [rng.choice("abcdefgh") + rng.choice("ijk") * rng.randrange(3) for _ in range(n)]
+    passages = [prose(n) for n in (50, 51, 52, 54, 60, 75, 200)]
+    texts = []
+    for i in range(50):
+        parts = prose(rng.randrange(0, 40))
+        for _ in range(rng.randrange(0, 3)):
+            parts = parts + rng.choice(passages) + prose(rng.randrange(0, 30))
+        texts.append(parts)
+    texts += [["a"] * 120, ["a", "b"] * 60, ["x"] * 50, passages[3], passages[3]]
+    docs = [(i, "  ".join(t) if i % 2 else " \n".join(t)) for i, t in enumerate(texts)] + [(60, None), (61, "")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.text for r in suffix.drop_passages(frame, least, suffix.WORDS, **options).collect()}
+    seen, removed = set(), 0
+    for i, words in enumerate(texts):
+        gone = np.zeros(len(words), bool)
+        for a in range(len(words) - least + 1):
+            window = tuple(words[a:a + least])
+            gone[a:a + least] |= window in seen
+            seen.add(window)
+        want = [w for w, out in zip(words, gone) if not out]
+        removed += int(gone.sum())
+        assert got.get(i, "").split() == want and (bool(want) or not words or i not in got)
+    assert removed > 500 and got[60] is None and got[61] == ""
+
+
+def test_pipeline_takes_out_short_passages_of_over_fifty_words(spark):
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(60)]
+    assert len(" ".join(words)) < 400
+    long = "".join(random.Random(9).choices("abcdefgh", k=450))  # one word, but 400 bytes and more
+    docs = spark.createDataFrame([
+        (1, "one " + " ".join(words) + " two", 7), (2, "three " + "\n".join(words) + " four", 7),
+        (3, f"five {long} six", 7), (4, f"seven {long} eight", 7), (5, " ".join(words[:50]), 7)],
+        "doc_id long, text string, n_chars long")
+    got = {r.doc_id: r for r in corpus_pipeline.passage_dedup(spark, docs, "").collect()}
+    assert got[1].text.split() == ["one", *words, "two"] and got[2].text.split() == ["three", "four"]
+    assert got[2].n_chars == len(got[2].text)
+    assert long in got[3].text and long not in got[4].text
+    assert got[5].text.split() == words[:50]
