@@ -4,7 +4,7 @@ Each stage takes (spark, docs, sf_dir) and works on all its predecessor kept; it
 is written and read again as the next one's docs. All but the last return the columns
 of documents:
 
-1. quality rules: documents that fail the rules, or their host's stricter form, go;
+1. quality rules: documents that fail a rule, or the stricter form of one their host is bad in, go;
 2. quality classifier: documents judged bad or toxic go; labels come from ``sf_dir``;
 3. SimHash near-dedup: of each group the document with the smallest doc_id stays;
 4. suffix-array dedup: of passages of 400 bytes and more only the first copy stays, and

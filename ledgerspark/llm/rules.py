@@ -7,6 +7,11 @@ mean. A host is bad in a rule when its shrunk rate is above ``host_limit``; its
 documents are then held to the rule's stricter ``soft`` form. Documents that break
 no soft form are kept whatever their host.
 
+That is what ``quality_rules`` reports. ``filter_documents`` is strict: a document that
+breaks any hard rule goes wherever it is, duplicate lines are held against lines instead
+of words, and a host is also bad in a rule when its shrunk rate is above the prior's mean
+by more than ``host_deviations`` deviations of its posterior.
+
 Counting runs in one pass over whole texts. Only (host, counts) rows are shuffled,
 after map-side sums, so a host with a third of all rows is no hot group. Null texts
 have no words; null hosts are one host; equal rows get equal verdicts; other columns,
@@ -28,6 +33,7 @@ from ledgerspark.sources.scratch import stable
 
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+STRICT_COUNTS = (*COUNTS, "n_lines")
 
 
 @dataclass(frozen=True)
@@ -41,6 +47,7 @@ class Limits:
     soft_symbol_percent: int = 5
     soft_dup_lines: int = 1
     host_limit: float = 0.5
+    host_deviations: float = 2.0
     max_strength: float = 1000.0
 
 
@@ -69,10 +76,14 @@ def repeat_words(words: list[bytes]) -> int:
     return int(covered.sum())
 
 
+def lines_of(text: str | None) -> list[str]:
+    return [line for line in (text or "").split("\n") if line.strip(ASCII_SPACE)]
+
+
 def text_counts(text: str | None) -> tuple[int, int, int, int, int]:
     text = text or ""
     words = words_of(text)
-    lines = [line for line in text.split("\n") if line.strip(ASCII_SPACE)]
+    lines = lines_of(text)
     return (
         len(words),
         len(text) - sum(text.count(c) for c in ASCII_SPACE),
@@ -82,25 +93,26 @@ def text_counts(text: str | None) -> tuple[int, int, int, int, int]:
     )
 
 
-def count_texts(docs: DataFrame, keys: list[str]) -> DataFrame:
+def count_texts(docs: DataFrame, keys: list[str], strict: bool = False) -> DataFrame:
     """``keys`` and the counts of the whole text of each row."""
-    schema = T.StructType([docs.schema[k] for k in keys] + [T.StructField(c, T.LongType()) for c in COUNTS])
+    names = STRICT_COUNTS if strict else COUNTS
+    schema = T.StructType([docs.schema[k] for k in keys] + [T.StructField(c, T.LongType()) for c in names])
 
     def work(batch: pa.RecordBatch):
-        found = [text_counts(t) for t in batch.column(len(keys)).to_pylist()]
+        found = [text_counts(t) + ((len(lines_of(t)),) if strict else ()) for t in batch.column(len(keys)).to_pylist()]
         yield {k: batch.column(i) for i, k in enumerate(keys)} | {
-            c: pa.array([f[i] for f in found], pa.int64()) for i, c in enumerate(COUNTS)}
+            c: pa.array([f[i] for f in found], pa.int64()) for i, c in enumerate(names)}
 
     return map_batches(docs.select(*keys, "text"), work, schema)
 
 
-def hard_rules(limits: Limits) -> dict:
+def hard_rules(limits: Limits, strict: bool = False) -> dict:
     n, chars = F.col("n_words"), F.col("word_chars")
     return {
         "short": n < limits.min_words,
         "repeats": 100 * F.col("n_repeat_words") > limits.repeat_percent * n,
         "symbols": 100 * F.col("n_symbols") > limits.symbol_percent * chars,
-        "lines": 100 * F.col("n_dup_lines") > limits.dup_line_percent * n,
+        "lines": 100 * F.col("n_dup_lines") > limits.dup_line_percent * (F.col("n_lines") if strict else n),
     }
 
 
@@ -119,12 +131,12 @@ def base_failed(limits: Limits):
     return rules["short"] | rules["repeats"]
 
 
-def host_verdicts(counted: DataFrame, host: str, limits: Limits = Limits()) -> DataFrame:
+def host_verdicts(counted: DataFrame, host: str, limits: Limits = Limits(), strict: bool = False) -> DataFrame:
     """(host, n, and for each rule its shrunk failure rate and whether the host is bad in it).
 
     ``counted`` has the host column and the counts. The prior is two numbers a rule.
     """
-    rules = hard_rules(limits)
+    rules = hard_rules(limits, strict)
     hosts = counted.groupBy(F.col(host).alias("host")).agg(
         F.count(F.lit(1)).alias("n"),
         *[F.sum(rule.cast("long")).alias(f"{name}_failed") for name, rule in rules.items()],
@@ -142,17 +154,27 @@ def host_verdicts(counted: DataFrame, host: str, limits: Limits = Limits()) -> D
         strength = min(max(spread, 1.0), limits.max_strength)
         shrunk = shrunk.withColumn(
             f"{name}_rate", (F.col(f"{name}_failed") + mean * strength) / (F.col("n") + strength)
-        ).withColumn(f"{name}_bad", F.col(f"{name}_rate") > limits.host_limit)
+        )
+        posterior = F.col(f"{name}_rate")
+        bad = posterior > limits.host_limit
+        if strict:
+            deviation = F.sqrt(posterior * (1 - posterior) / (F.col("n") + strength + 1))
+            bad = bad | (posterior - limits.host_deviations * deviation > mean)
+        shrunk = shrunk.withColumn(f"{name}_bad", bad)
     return shrunk.drop(*[f"{name}_failed" for name in rules])
 
 
-def judge(counted: DataFrame, verdicts: DataFrame, host: str, limits: Limits = Limits()) -> DataFrame:
+def judge(counted: DataFrame, verdicts: DataFrame, host: str, limits: Limits = Limits(),
+          strict: bool = False) -> DataFrame:
     """``counted`` with base_failed and kept; a join on the host, which Spark splits where it is hot."""
     soft = soft_rules(limits)
     caught = None
     for name, rule in soft.items():
         one = F.col(f"v.{name}_bad") & rule
         caught = one if caught is None else caught | one
+    if strict:
+        for rule in hard_rules(limits, strict).values():
+            caught = caught | rule
     return counted.alias("c").join(
         verdicts.alias("v"), same(F.col(f"c.{host}"), F.col("v.host")), "left"
     ).select("c.*", base_failed(limits).alias("base_failed"),
@@ -167,10 +189,10 @@ def quality_rules(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 
 def filter_documents(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """Rows of ``docs`` that are kept, all columns. Texts are counted twice and never shuffled for it
+    """Rows of ``docs`` that break no hard rule, nor a soft one of a bad host, all columns. Texts are counted twice and never shuffled for it
     unless the table of hosts, whose size is known as it is written down, is too large to broadcast."""
-    verdicts = stable(host_verdicts(stable(count_texts(docs, ["source"])), "source", limits))
+    verdicts = stable(host_verdicts(stable(count_texts(docs, ["source"], True)), "source", limits, True))
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
                        docs["source"].alias("source"), docs["text"].alias("text"))
-    judged = judge(count_texts(rows, ["row", "source"]), verdicts, "source", limits)
+    judged = judge(count_texts(rows, ["row", "source"], True), verdicts, "source", limits, True)
     return judged.where("kept").select("row.*")
