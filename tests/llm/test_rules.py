@@ -61,21 +61,3 @@ def test_odd_rows(spark):
     assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == rows[2:]
     for some in (rules.quality_rules(docs.limit(0)), rules.filter_documents(docs.limit(0))):
         assert some.collect() == []
-
-
-def test_filter_takes_out_what_breaks_a_hard_rule_wherever_it_is(spark):
-    good, shout = " ".join(f"w{i}" for i in range(100)), " ".join(f"w{i}$$$" for i in range(100))
-    lines = "\n".join([" ".join(f"v{k}{i}" for i in range(12)) for k in range(6)] + ["see all of the other pages"] * 5)
-    rows = [(i, good, f"h{i % 7}") for i in range(70)] + [(100, shout, "h1"), (101, shout, "few"), (102, lines, "h2")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    assert {r.doc_id for r in rules.filter_documents(docs).collect()} == set(range(70))
-
-
-def test_host_worse_than_the_others_is_bad_below_half(spark):
-    good, shout = " ".join(f"w{i}" for i in range(100)), " ".join(f"w{i}$$$" for i in range(100))
-    mild = " ".join([*(f"w{i}" for i in range(98)), "$$$$$$$$", "$$$$$$$$"])
-    rows = [(i, shout if i < 60 else good, "bad") for i in range(200)] + [(200 + i, good, f"h{i % 9}") for i in range(1800)]
-    rows += [(3000, mild, "bad"), (3001, mild, "h1")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    kept = {r.doc_id for r in rules.filter_documents(docs).collect()}
-    assert kept == {*range(60, 2000), 3001}
