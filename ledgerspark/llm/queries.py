@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import chat, cotrain, lm, packing, pieces, prefix, rules, simhash, suffix, warc
+from ledgerspark.llm import chat, cotrain, lm, merkle, packing, pieces, prefix, rules, simhash, suffix, warc
 from ledgerspark.llm.common import table
 from ledgerspark.sources.scratch import scratch_path
 
@@ -77,6 +77,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.proof_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_prefix_fingerprints": op1_prefix_fingerprints,
     "op2_language_model": op2_language_model,
@@ -88,8 +92,37 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_simhash": op10_simhash,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
+
+def _leaf_text(n_chars: str) -> str:
+    """The text of a leaf: each field with its length, in the manifest's order."""
+    def field(value: str) -> str:
+        text = f"CAST({value} AS VARCHAR)"
+        return f"CASE WHEN {value} IS NULL THEN '-' ELSE octet_length(encode({text})) || ':' || {text} END"
+
+    return " || ".join(field(v) for v in ("doc_id", "source", "lang", n_chars, "text"))
+
+
+def _crc32(text: str) -> str:
+    bit = "lambda y, z: xor(y >> 1, 3988292384 * (y & 1))"
+    byte = f"lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], {bit})"
+    codes = f"list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), {byte}), 4294967295)"
+
+
+_PAIRED = "list_transform(range(1, len(nodes) + 1, 2), lambda i: sha256(nodes[i] || coalesce(nodes[i + 1], '')))"
+
+
+def _sibling(pos: str) -> str:
+    return f"coalesce(nodes[CASE WHEN {pos} % 2 = 1 THEN {pos} ELSE {pos} + 2 END], '')"
+
+
+def _folded(pos: str) -> str:
+    return f"sha256(CASE WHEN {pos} % 2 = 1 THEN {_sibling(pos)} || below ELSE below || {_sibling(pos)} END)"
+
+
 ORACLES = {
     "op7_warc": """
         WITH rows AS (
@@ -178,4 +211,40 @@ ORACLES = {
                 AND NOT (lines_bad AND n_dup_lines >= 1) AS kept
         FROM ruled JOIN bad ON ruled.source IS NOT DISTINCT FROM bad.source
     """,
+    "op11_merkle_manifest": f"""
+        WITH RECURSIVE rows AS (
+            SELECT row_number() OVER () AS r, * FROM documents
+        ), leaves AS (
+            SELECT r, doc_id, lang, sha256({_leaf_text('n_chars')}) AS leaf, sha256({_leaf_text('n_chars + 1')}) AS changed,
+                {_crc32('CAST(doc_id AS VARCHAR)')} % 7 = 0 AS tampered
+            FROM rows
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS pos FROM leaves
+        ), levels AS (
+            SELECT lang, 0 AS level, list(leaf ORDER BY pos) AS nodes FROM placed GROUP BY lang
+            UNION ALL SELECT lang, level + 1, {_PAIRED} FROM levels WHERE len(nodes) > 1
+        ), subroots AS (
+            SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place
+            FROM levels WHERE len(nodes) = 1
+        ), top AS (
+            SELECT 0 AS level, list(subroot ORDER BY place) AS nodes FROM subroots
+            UNION ALL SELECT level + 1, {_PAIRED} FROM top WHERE len(nodes) > 1
+        ), climbed AS (
+            SELECT r, lang, pos, 0 AS level, CASE WHEN tampered THEN changed ELSE leaf END AS below, '' AS proof FROM placed
+            UNION ALL SELECT r, c.lang, pos // 2, c.level + 1, {_folded('pos')}, proof || {_sibling('pos')}
+            FROM climbed c JOIN levels l ON c.lang IS NOT DISTINCT FROM l.lang AND c.level = l.level
+            WHERE len(nodes) > 1
+        ), below_top AS (
+            SELECT r, place AS pos, subroot, below, proof FROM climbed c JOIN (SELECT lang, max(level) AS level FROM levels
+                GROUP BY lang) h ON c.lang IS NOT DISTINCT FROM h.lang AND c.level = h.level
+            JOIN subroots s ON c.lang IS NOT DISTINCT FROM s.lang
+        ), topped AS (
+            SELECT r, subroot, pos, 0 AS level, below, proof FROM below_top
+            UNION ALL SELECT r, subroot, pos // 2, c.level + 1, {_folded('pos')}, proof || {_sibling('pos')}
+            FROM topped c JOIN top l ON c.level = l.level WHERE len(nodes) > 1
+        )
+        SELECT doc_id, leaf, subroot, nodes[1] AS root, sha256(proof) AS proof_sha256, below AS folded_root,
+            below = nodes[1] AS verified
+        FROM placed JOIN topped USING (r) JOIN top ON top.level = topped.level WHERE len(nodes) = 1
+    """,
 }
