@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import chat, cotrain, lm, merkle, packing, pieces, prefix, rules, simhash, suffix, warc
+from ledgerspark.llm import centroids, chat, cotrain, lm, merkle, packing, pieces, prefix, rules, simhash, suffix, warc
 from ledgerspark.llm.common import table
 from ledgerspark.sources.scratch import scratch_path
 
@@ -81,6 +81,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.proof_digests(table(spark, sf_dir, "documents"))
 
 
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_prefix_fingerprints": op1_prefix_fingerprints,
     "op2_language_model": op2_language_model,
@@ -93,6 +97,7 @@ QUERIES = {
     "op9_chat_formatting": op9_chat_formatting,
     "op10_simhash": op10_simhash,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_centroid_clustering": op12_centroid_clustering,
 }
 
 
@@ -123,6 +128,24 @@ def _folded(pos: str) -> str:
     return f"sha256(CASE WHEN {pos} % 2 = 1 THEN {_sibling(pos)} || below ELSE below || {_sibling(pos)} END)"
 
 
+def _clustering(rounds: int) -> str:
+    """Rounds of assigning and moving over (r, d, x), a row a component."""
+    ctes = []
+    for k in range(rounds + 1):
+        ctes.append(f"""far{k} AS (
+            SELECT r, c, sum((x - y) * (x - y)) AS dist FROM parts JOIN centre{k} USING (d) GROUP BY r, c
+        ), near{k} AS (
+            SELECT r, arg_min(c, (dist, c)) AS c, min(dist) AS dist FROM far{k} GROUP BY r
+        )""")
+        if k < rounds:
+            ctes.append(f"""centre{k + 1} AS (
+            SELECT c, d, coalesce((s - (s % n + n) % n) // n, y) AS y FROM centre{k} LEFT JOIN (
+                SELECT c, d, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM parts JOIN near{k} USING (r) GROUP BY c, d
+            ) USING (c, d)
+        )""")
+    return ", ".join(ctes)
+
+
 ORACLES = {
     "op7_warc": """
         WITH rows AS (
@@ -247,4 +270,24 @@ ORACLES = {
             below = nodes[1] AS verified
         FROM placed JOIN topped USING (r) JOIN top ON top.level = topped.level WHERE len(nodes) = 1
     """,
+    "op12_centroid_clustering": f"""
+        WITH rows AS (
+            SELECT row_number() OVER () AS r, vec_id,
+                list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings WHERE len(embedding) = 64
+                AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+        ), parts AS (
+            SELECT r, unnest(range(64)) AS d, unnest(v) AS x FROM rows
+        ), first AS (
+            SELECT r, row_number() OVER (ORDER BY sha256('1:' || vec_id), r) - 1 AS c FROM rows QUALIFY c < 16
+        ), centre0 AS (
+            SELECT c, d, x AS y FROM first JOIN parts USING (r)
+        ), {_clustering(3)}, shas AS (
+            SELECT c, sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM centre3 GROUP BY c
+        )
+        SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(dist AS BIGINT) AS distance,
+            CAST(sum(dist) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+            CAST(sum(dist) OVER () AS BIGINT) AS inertia, centroid_sha256
+        FROM near3 JOIN rows USING (r) JOIN shas USING (c)
+    """,
 }
