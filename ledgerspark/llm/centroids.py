@@ -2,9 +2,12 @@
 
 Vectors of whole numbers are kept twice in one table: in full, and as a few bits a
 dimension that name the cell its number lies in. For a set of centroids, lookup tables
-give the least and the greatest squared distance of each cell, so the cells of a vector
-give an interval for its distance to each centroid. Where one interval lies below all
-others the nearest centroid is known from the cells; only the other vectors are fetched.
+give the least and the greatest part of the squared distance that each cell stands for, so
+the cells of a vector give an interval for its distance to each centroid. Where one interval
+lies below all others the nearest centroid is known from the cells; only the other vectors
+are fetched. The intervals are of the squared distance less the one to the vectors' mean:
+that is the same amount for all centroids of a vector, and without it what the cells leave
+open is small where the centroids are not far from each other.
 
 Sums of clusters are carried from round to round: a round reads the cells, decides under
 the centroids before and after the last move, and fetches the vectors that an interval
@@ -19,7 +22,7 @@ driver, both of fixed size.
 Vectors of another length, null ones and ones with a null or non-finite component are left
 out. A null id counts as empty text where ids choose the first centroids; of rows with one
 id all may start a centroid. With fewer vectors than centroids there are as many centroids
-as vectors; ties go to the centroid with the smaller number. Whole numbers beyond 2 ** 27
+as vectors; ties go to the centroid with the smaller number. Whole numbers beyond 2 ** 26
 count as that, as squared distances would not fit a long; a sum of distances that does not
 fit one is null. An empty table gives no row; other columns do not matter.
 """
@@ -42,8 +45,8 @@ DIMS = 64
 SCALE = 64
 CENTROIDS = 16
 ROUNDS = 3
-BITS = 4
-LARGEST = 1 << 27
+BITS = 6
+LARGEST = 1 << 26
 #: Whole numbers below this have exact scalar products in doubles.
 EXACT_DOUBLE = 1 << 22
 #: Place of the count among the sums of a centroid.
@@ -85,11 +88,12 @@ class Grid:
     """Cells of each dimension, and the tables that centroids give over them."""
 
     def __init__(self, least: np.ndarray, greatest: np.ndarray, mean: np.ndarray, spread: np.ndarray, bits: int = BITS):
-        self.cells = 1 << bits
+        self.bits, self.cells = bits, 1 << bits
         normal = np.array([NormalDist().inv_cdf(i / self.cells) for i in range(1, self.cells)])
         cuts = np.ceil(mean[:, None] + spread[:, None] * normal).clip(least[:, None], greatest[:, None] + 1)
         #: first whole number of each cell but the lowest
         self.cuts = cuts.astype(np.int64)
+        self.middle = np.rint(mean).astype(np.int64)
         self.lows = np.concatenate([least[:, None], self.cuts], axis=1)
         self.highs = np.concatenate([self.cuts - 1, greatest[:, None]], axis=1)
 
@@ -98,12 +102,10 @@ class Grid:
                         axis=1).astype(np.uint8).reshape(len(numbers), -1)
 
     def tables(self, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Least and greatest squared distance by (dimension, cell, centroid)."""
-        c = centroids.T[:, None, :]
-        lows, highs = self.lows[:, :, None], self.highs[:, :, None]
-        nearest = np.maximum(np.maximum(lows - c, c - highs), 0)
-        farthest = np.maximum(np.abs(c - lows), np.abs(c - highs))
-        return nearest ** 2, farthest ** 2
+        """Least and greatest of (x - c)^2 - (x - middle)^2 by (dimension, cell, centroid); it is linear in x."""
+        c, middle = centroids.T[:, None, :], self.middle[:, None, None]
+        ends = [(middle - c) * (2 * x[:, :, None] - c - middle) for x in (self.lows, self.highs)]
+        return np.minimum(*ends), np.maximum(*ends)
 
     def nearest(self, cells: np.ndarray, tables: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
         """Number of the centroid that the intervals prove nearest, -1 where they overlap."""
@@ -121,13 +123,14 @@ class Grid:
         return np.where(beaten.all(axis=1), best, -1)
 
 
-def halves(cells: np.ndarray) -> np.ndarray:
-    """Two four-bit cells a byte."""
-    return cells[:, 0::2] | (cells[:, 1::2] << 4)
+def to_bits(cells: np.ndarray, bits: int) -> np.ndarray:
+    """Cells as ``bits`` bits each, rows filled up to whole bytes."""
+    return np.packbits(np.unpackbits(cells[:, :, None], axis=2)[:, :, 8 - bits:].reshape(len(cells), -1), axis=1)
 
 
-def wholes(pairs: np.ndarray) -> np.ndarray:
-    return np.stack([pairs & 15, pairs >> 4], axis=2).reshape(len(pairs), -1)
+def from_bits(column: pa.Array, dims: int, bits: int) -> np.ndarray:
+    rows = np.unpackbits(unpacked(column, "u1", -(-dims * bits // 8)), axis=1)[:, :dims * bits].reshape(-1, dims, bits)
+    return rows @ (1 << np.arange(bits - 1, -1, -1, dtype=np.uint8))
 
 
 def distances(numbers: np.ndarray, centroids: np.ndarray) -> np.ndarray:
@@ -203,7 +206,7 @@ def approximated(whole: DataFrame, grid: Grid, dims: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cells = grid.cells_of(unpacked(batch.column(1), "<i4", dims))
-            yield pa.RecordBatch.from_arrays([batch.column(0), packed(halves(cells)), batch.column(1)], schema=arrow)
+            yield pa.RecordBatch.from_arrays([batch.column(0), packed(to_bits(cells, grid.bits)), batch.column(1)], schema=arrow)
 
     return stable(whole.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()))
 
@@ -239,7 +242,7 @@ def first_sums(table: DataFrame, grid: Grid, centroids: np.ndarray) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, counts = np.zeros((count, dims), np.int64), np.zeros(count, np.int64)
         for batch in batches:
-            clusters = grid.nearest(wholes(unpacked(batch.column(0), "u1", dims // 2)), tables)
+            clusters = grid.nearest(from_bits(batch.column(0), dims, grid.bits), tables)
             numbers, open_rows = unpacked(batch.column(1), "<i4", dims), clusters < 0
             clusters[open_rows] = exact(numbers[open_rows], centroids)
             added(sums, counts, numbers, clusters, 1)
@@ -254,7 +257,7 @@ def wanted(table: DataFrame, grid: Grid, before: np.ndarray, after: np.ndarray)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cells = wholes(unpacked(batch.column(1), "u1", dims // 2))
+            cells = from_bits(batch.column(1), dims, grid.bits)
             was, is_now = grid.nearest(cells, old), grid.nearest(cells, new)
             fetch = (was < 0) | (is_now < 0) | (was != is_now)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(fetch))], names=["row"])
@@ -295,7 +298,7 @@ def assigned(table: DataFrame, grid: Grid, centroids: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            clusters = grid.nearest(wholes(unpacked(batch.column(1), "u1", dims // 2)), tables)
+            clusters = grid.nearest(from_bits(batch.column(1), dims, grid.bits), tables)
             numbers, open_rows = unpacked(batch.column(2), "<i4", dims), clusters < 0
             clusters[open_rows] = exact(numbers[open_rows], centroids)
             apart = numbers.astype(np.int64) - centroids[clusters]
@@ -308,8 +311,8 @@ def assigned(table: DataFrame, grid: Grid, centroids: np.ndarray) -> DataFrame:
 def cluster(vectors: DataFrame, dims: int = DIMS, count: int = CENTROIDS, rounds: int = ROUNDS, scale: int = SCALE,
             bits: int = BITS) -> tuple[DataFrame, np.ndarray]:
     """((vec_id, cluster, distance) of the vectors (vec_id, embedding) that count, the final centroids)."""
-    if dims % 2 or not 1 <= bits <= 4:
-        raise ValueError("an even number of dimensions and one to four bits a cell")
+    if not 1 <= bits <= 8:
+        raise ValueError("one to eight bits a cell")
     whole = whole_vectors(vectors, dims, scale)
     centroids = first_centroids(whole, dims, count)
     if not len(centroids):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import centroids, chat, cotrain, lm, merkle, packing, pieces, prefix, rules, simhash, suffix, warc
+from ledgerspark.llm import centroids, chat, cotrain, decontaminate, lm, merkle, packing, pieces, prefix, rules, simhash, suffix, warc
 from ledgerspark.llm.common import table
 from ledgerspark.sources.scratch import scratch_path
 
@@ -85,6 +85,10 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clusters(table(spark, sf_dir, "embeddings"))
 
 
+def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_prefix_fingerprints": op1_prefix_fingerprints,
     "op2_language_model": op2_language_model,
@@ -98,6 +102,7 @@ QUERIES = {
     "op10_simhash": op10_simhash,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_benchmark_decontamination": op13_benchmark_decontamination,
 }
 
 
@@ -290,4 +295,36 @@ ORACLES = {
             CAST(sum(dist) OVER () AS BIGINT) AS inertia, centroid_sha256
         FROM near3 JOIN rows USING (r) JOIN shas USING (c)
     """,
+    "op13_benchmark_decontamination": """
+        WITH docs AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM documents
+        ), items AS (
+            SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM benchmark
+        ), item_windows AS (
+            SELECT DISTINCT item, size, words[i:i + size - 1] AS w FROM (
+                SELECT *, least(10, len(words)) AS size, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS i
+                FROM items WHERE len(words) > 0)
+        ), sizes AS (
+            SELECT DISTINCT size FROM item_windows
+        ), doc_windows AS (
+            SELECT r, size, i, words[i:i + size - 1] AS w FROM (
+                SELECT r, words, size, unnest(range(1, len(words) - size + 2)) AS i
+                FROM docs, sizes WHERE len(words) >= size)
+        ), found AS (
+            SELECT r, i, d.size, item FROM doc_windows d JOIN item_windows t ON d.w = t.w AND d.size = t.size
+        ), hits AS (
+            SELECT r, count(DISTINCT p) AS n_hit FROM (
+                SELECT DISTINCT r, unnest(range(i, i + size)) AS p FROM found) GROUP BY r
+        ), named AS (
+            SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+            FROM (SELECT DISTINCT r, item FROM found) GROUP BY r
+        )
+        SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM docs LEFT JOIN hits USING (r) LEFT JOIN named USING (r)
+    """,
 }
