@@ -255,7 +255,8 @@ FINANCIAL_ROWS = """(periodo BETWEEN DATE '1997-01-01' AND DATE '1999-12-01'
      AND trim(upper(tip_distribucion)) = 'SIN AJUSTE')"""
 
 
-def allocate_sql() -> str:
+def allocate_sql(one: bool = False) -> str:
+    """Amounts over the premium rows; ``one``: only the largest without premium of its own."""
     joins, levels, totals = [], [], []
     for k in range(1, 15):
         keys = [*(["periodo"] if k % 2 else []), *level_keys(k)]
@@ -266,12 +267,20 @@ def allocate_sql() -> str:
         )
         levels.append(f"WHEN l{k}.t IS NOT NULL THEN {k}")
         totals.append(f"l{k}.t")
-    # Below these levels the row has to agree with the amount in the column.
-    limits = [("agrupacion_n3", 13), ("agrupacion_n4", 11), ("agrupacion_n5", 9),
-              ("id_ramo_contable", 7), ("id_producto", 5), ("id_moneda", 3)]
-    same = " AND ".join(f"(a.nivel >= {n} OR a.{c} IS NOT DISTINCT FROM c.{c})" for c, n in limits)
-    keys = ", ".join(f"c.{c}" for c in ROW_KEYS)
-    first = ", ".join(f"{c} NULLS FIRST" for c in ROW_KEYS)
+    # Below these levels the row has to agree with the amounts in the column.
+    limits = {"agrupacion_n3": 13, "agrupacion_n4": 11, "agrupacion_n5": 9,
+              "id_ramo_contable": 7, "id_producto": 5, "id_moneda": 3}
+    same = " AND ".join(f"(a.nivel >= {n} OR a.{c} IS NOT DISTINCT FROM c.{c})" for c, n in limits.items())
+    shared = ", ".join(f"CASE WHEN nivel < {n} THEN {c} END AS {c}" for c, n in limits.items())
+    path = " || ".join(f"coalesce(length(c.{k}) || ':' || c.{k}, '-')" for k in KEYS)
+    more = "id_monto, " if one else ""
+    chosen = """WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.periodo = t.periodo AND b.id_producto = t.id_producto
+    AND b.id_ramo_contable IS NOT DISTINCT FROM t.id_ramo_contable AND b.id_moneda IS NOT DISTINCT FROM t.id_moneda)
+  ORDER BY monto DESC, id_monto LIMIT 1""" if one else ""
+
+    def part(upto: str) -> str:
+        return f"(abs(m * ({upto})) * 2 + abs(t)) // (abs(t) * 2) * sign(m * ({upto})) * sign(t)"
+
     return f"""{CASCADE},
 tax AS (
   SELECT {month('l_shipdate')} AS periodo, l_returnflag AS id_ramo_contable,
@@ -282,27 +291,31 @@ tax AS (
 amounts AS (
   SELECT t.*, t.periodo AS periodo_trim, {', '.join('p.' + n for n in N)},
          t.periodo || '|' || t.id_ramo_contable || '|' || t.id_producto || '|' || t.id_moneda AS id_monto
-  FROM tax t JOIN product p ON p.id_producto = t.id_producto),
+  FROM tax t JOIN product p ON p.id_producto = t.id_producto {chosen}),
 levelled AS (
   SELECT a.*, CASE {' '.join(levels)} END AS nivel, coalesce({', '.join(totals)}) AS total
   FROM amounts a {' '.join(joins)}),
+summed AS (
+  SELECT row_number() OVER () AS g, * FROM (
+    SELECT periodo_trim, nivel, {more}CASE WHEN nivel % 2 = 1 THEN periodo END AS mes, agrupacion_n1, agrupacion_n2,
+           {shared}, sum(monto) AS monto, any_value(total) AS total
+    FROM levelled WHERE nivel IS NOT NULL GROUP BY ALL)),
 pairs AS (
-  SELECT a.id_monto, a.monto, a.nivel, {keys},
+  SELECT a.g, a.periodo_trim, a.nivel, {'a.id_monto, ' if one else ''}{', '.join('c.' + k for k in ROW_KEYS)}, {path} AS path,
          CAST(a.monto * 100 AS HUGEINT) AS m, CAST(a.total * 100 AS HUGEINT) AS t,
          CAST((CASE WHEN a.nivel <= 2 THEN c.mnt_moneda ELSE c.mnt_usd END) * 100 AS HUGEINT) AS r
-  FROM levelled a JOIN casc c
+  FROM summed a JOIN casc c
     ON a.periodo_trim = c.periodo_trim AND a.agrupacion_n1 = c.agrupacion_n1
-   AND a.agrupacion_n2 = c.agrupacion_n2 AND (a.nivel % 2 = 0 OR a.periodo = c.periodo) AND {same}),
+   AND a.agrupacion_n2 = c.agrupacion_n2 AND (a.mes IS NULL OR a.mes = c.periodo) AND {same}),
 shares AS (
-  SELECT *, (abs(m * r) * 2 + abs(t)) // (abs(t) * 2) * sign(m * r) * sign(t) AS cents FROM pairs),
-numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY id_monto ORDER BY {first}) AS rn,
-         sum(cents) OVER (PARTITION BY id_monto) AS all_cents FROM shares)
-SELECT id_monto, nivel, {', '.join(ROW_KEYS)},
-       CAST(CAST(cents + CASE WHEN rn = 1 THEN m - all_cents ELSE 0 END AS DECIMAL(20,0)) * 0.01 AS DECIMAL(18,2)) AS asignado
-FROM numbered
+  SELECT *, CAST(sum(r) OVER (PARTITION BY g ORDER BY periodo, path, id_poliza, id_certificado
+    ROWS UNBOUNDED PRECEDING) AS HUGEINT) AS upto FROM pairs)
+SELECT periodo_trim, nivel, {more}{', '.join(ROW_KEYS)},
+       CAST(CAST({part('upto')} - {part('upto - r')} AS DECIMAL(20,0)) * 0.01 AS DECIMAL(18,2)) AS asignado
+FROM shares
 UNION ALL
-SELECT id_monto, NULL, NULL, NULL, NULL, NULL, NULL, NULL, monto FROM levelled WHERE nivel IS NULL"""
+SELECT periodo_trim, NULL, {more}periodo, id_ramo_contable, id_producto, NULL, NULL, id_moneda, monto
+FROM levelled WHERE nivel IS NULL"""
 
 
 ORDER_BOUNDS = """bounds AS (
@@ -339,6 +352,7 @@ SELECT periodo_trim, {', '.join(ROW_KEYS)},
        coalesce({', '.join(f'nullif(porc_nivel_{k}, 0)' for k in range(1, 15))}) AS total_base
 FROM casc""",
     "cascade_allocate": allocate_sql(),
+    "cascade_allocate_amount": allocate_sql(one=True),
     "technical_result": f"""WITH {SPINE}, {PRODUCTS}, {LINES}, {PRODUCT_DIM}, {DIRECT},
 premium AS (SELECT * FROM direct),
 existing AS (SELECT id_poliza FROM policy),

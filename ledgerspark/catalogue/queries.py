@@ -13,7 +13,7 @@ from ledgerspark.catalogue import standins as S
 from ledgerspark.catalogue.standins import Tables
 from ledgerspark.constants import SUCCEEDED
 from ledgerspark.functions import calendar
-from ledgerspark.operators.matching import rolling_months_join
+from ledgerspark.operators.matching import join_null_safe, rolling_months_join
 from ledgerspark.operators.pick import latest_link
 from ledgerspark.operators.rank import HOT_GROUP_ROWS, rank_within
 from ledgerspark.plans import absence, cascade, dims, facts
@@ -70,10 +70,22 @@ def cascade_base(t: Tables) -> DataFrame:
     )
 
 
+def _written_base(t: Tables) -> DataFrame:
+    return cascade.written_base(S.premium(t), S.existing_policies(t), START, END)[0]
+
+
 @query
 def cascade_allocate(t: Tables) -> DataFrame:
-    base, totals = _cascade_parts(t)
-    return allocate(S.amounts(t), base, totals)
+    return allocate(S.amounts(t), _written_base(t), S.ranked_products(t), START, END)
+
+
+@query
+def cascade_allocate_amount(t: Tables) -> DataFrame:
+    """Where the largest amount goes among those whose own month, line, product and currency have no premium."""
+    base, amounts = _written_base(t), S.amounts(t)
+    without = join_null_safe(amounts, base.select(*cascade.GROUP_KEYS).distinct(), cascade.GROUP_KEYS, how="left_anti")
+    largest = without.orderBy(F.col("monto").desc(), "id_monto").limit(1)
+    return allocate(largest, base, S.ranked_products(t), START, END, each=("id_monto",))
 
 
 @query

@@ -91,20 +91,27 @@ def test_cancelled_certificate_stays_with_zero(spark):
     assert out[0].porc_nivel_14 == 0 and out[0].nivel_base is None and out[0].total_base is None
 
 
+AMOUNTS = "id_monto string, monto decimal(18,2), periodo_trim date, periodo date, " + ", ".join(
+    f"{k} string" for k in cascade.HIERARCHY)
+MARCH = (date(2024, 3, 1), date(2024, 3, 1))
+
+
+def amount_rows(spark):
+    return spark.createDataFrame([
+        ("fine", D("100.01"), *MARCH, "a1", "b", "c1", None, "e1", "L1", "p1", "USD"),
+        ("fine too", D("0.99"), *MARCH, "a1", "b", "c1", None, "e1", "L1", "p1", "USD"),
+        ("other currency", D("-33.33"), *MARCH, "a1", "b", "c1", None, "e1", "L1", "p1", "EUR"),
+        ("null line", D("7.77"), *MARCH, "a1", "b", "c1", None, "e1", None, "p1", None),
+        ("coarse", D("10.00"), *MARCH, "a1", "b", "zz", "zz", "zz", "zz", "zz", "zz"),
+        ("nowhere", D("5.00"), *MARCH, "a9", "b", "c", "d", "e", "L1", "p1", "USD"),
+    ], AMOUNTS)
+
+
 def test_allocation_adds_up_and_degrades(spark):
     premium, policies, product = sample(spark, seed=9, count=3000)
-    base, totals = cascade.cascade_parts(premium, policies, product, START, END)
-    keys = "id_monto string, monto decimal(18,2), periodo_trim date, periodo date, " + ", ".join(
-        f"{k} string" for k in cascade.HIERARCHY)
-    march = (date(2024, 3, 1), date(2024, 3, 1))
-    amounts = spark.createDataFrame([
-        ("fine", D("100.01"), *march, "a1", "b", "c1", None, "e1", "L1", "p1", "USD"),
-        ("other currency", D("-33.33"), *march, "a1", "b", "c1", None, "e1", "L1", "p1", "EUR"),
-        ("null line", D("7.77"), *march, "a1", "b", "c1", None, "e1", None, "p1", None),
-        ("coarse", D("10.00"), *march, "a1", "b", "zz", "zz", "zz", "zz", "zz", "zz"),
-        ("nowhere", D("5.00"), *march, "a9", "b", "c", "d", "e", "L1", "p1", "USD"),
-    ], keys)
-    out = allocate.allocate(amounts, base, totals)
+    base, _ = cascade.written_base(premium, policies, START, END)
+    amounts = amount_rows(spark)
+    out = allocate.allocate(amounts, base, product, START, END, each=("id_monto",))
     sums = {r.id_monto: r.s for r in out.groupBy("id_monto").agg(F.sum("asignado").alias("s")).collect()}
     assert sums == {r.id_monto: r.monto for r in amounts.collect()}
     levels = {r.id_monto: r.nivel for r in out.select("id_monto", "nivel").distinct().collect()}
@@ -113,6 +120,36 @@ def test_allocation_adds_up_and_degrades(spark):
     assert out.where("id_monto = 'nowhere'").count() == 1
 
 
+def test_amounts_of_a_group_are_spread_together(spark, rows):
+    premium, policies, product = sample(spark, seed=9, count=3000)
+    base, _ = cascade.written_base(premium, policies, START, END)
+    amounts = amount_rows(spark)
+    out = allocate.allocate(amounts, base, product, START, END)
+    keys = ["periodo_trim", "nivel", *cascade.ROW_KEYS]
+    assert out.where("nivel IS NOT NULL").groupBy(*keys).count().where("count > 1").count() == 0
+    assert out.agg(F.sum("asignado")).first()[0] == amounts.agg(F.sum("monto")).first()[0]
+    # many more amounts of the same groups make no more rows
+    many = amounts.crossJoin(spark.range(50)).drop("id")
+    more = allocate.allocate(many, base, product, START, END)
+    assert more.count() == out.count()
+    assert more.agg(F.sum("asignado")).first()[0] == 50 * amounts.agg(F.sum("monto")).first()[0]
+    # rows cut into many ranges get the same
+    assert rows(allocate.allocate(amounts, base, product, START, END, range_rows=7)) == rows(out)
+
+
+def test_share_is_a_difference_of_rounded_running_totals(spark):
+    premium = spark.createDataFrame(
+        [movement(3, "L", "p1", f"pol{i}", "1", "USD", amount) for i, amount in enumerate([1, 1, 1, -4, 8, 0, 2])], PREMIUM)
+    policies = spark.createDataFrame([(f"pol{i}",) for i in range(7)], "id_poliza string")
+    product = spark.createDataFrame([("p1", "a", "b", "c", "d", "e", 1)], PRODUCT)
+    base, _ = cascade.written_base(premium, policies, START, START)
+    amounts = spark.createDataFrame([("x", D("1.00"), *MARCH, "a", "b", "c", "d", "e", "L", "p1", "USD")], AMOUNTS)
+    got = {r.id_poliza: r.asignado for r in allocate.allocate(amounts, base, product, START, START).collect()}
+    # 1 * (1, 2, 3, -1, 7, 9) / 9, rounded, one after the other
+    assert got == {"pol0": D("0.11"), "pol1": D("0.11"), "pol2": D("0.11"), "pol3": D("-0.44"), "pol4": D("0.89"),
+                   "pol6": D("0.22")}
+
+
 ARRAYS = ("id_producto string, nom_producto string, "
           "producto_origen array<struct<id_origen:string,cod_producto:string>>, "
           "producto_jerarquia array<struct<nom_riesgo:string,agrupacion_n1:string,agrupacion_n2:string,"
