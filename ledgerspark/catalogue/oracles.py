@@ -238,14 +238,31 @@ staged AS (
   FROM claims c LEFT JOIN items i ON i.order_id = c.order_id
   GROUP BY c.order_id, (i.n - 1) // 5, c.created_at, c.business)"""
 
+# Columns of the financial table that only name themselves in the stand-in.
+FINANCIAL_TEXTS = [
+    "cod_periodo", "cta_agrupador_n2", "des_agrupacion_n1", "des_agrupacion_n2", "des_agrupacion_n3",
+    "des_agrupacion_n4", "des_agrupacion_n5", "id_ramo_contable", "des_ramo_contable", "id_canal", "des_canal",
+    "des_segmento_empresa_persona", "id_intermediario", "des_intermediario", "cod_producto_origen", "des_producto",
+    "id_subcanal", "des_subcanal", "des_subtipocanal", "id_contratante", "des_contratante", "ind_fronting",
+    "segmento_empresa", "tip_gasto",
+]
 FINANCIAL = f"""financial AS (
   SELECT l_orderkey || '-' || l_linenumber AS id_dato_financiero, {month('l_shipdate')} AS periodo,
          CASE l_returnflag WHEN 'R' THEN 'Vida' WHEN 'A' THEN 'vida-ajuste' ELSE 'Salud' END AS des_riesgo_negocio,
          CASE WHEN l_linestatus = 'F' THEN 'Siniestros sin recuperos' ELSE 'Primas' END AS tip_concepto_financiero,
          CASE WHEN l_quantity < 10 THEN ' sin ajuste ' ELSE 'con ajuste' END AS tip_distribucion,
          {txt('l_partkey')} AS id_producto, {txt('l_orderkey')} AS id_poliza,
-         {money('l_extendedprice')} AS mnt_usd, o_orderdate, l_shipdate, l_suppkey
+         {money('l_discount')} AS mnt_ajuste_reserva_usd, {money('l_extendedprice')} AS mnt_usd,
+         {', '.join(f"'{c}-' || l_returnflag AS {c}" for c in FINANCIAL_TEXTS)}, o_orderdate, l_shipdate, l_suppkey
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+MANAGED_TEXTS = [
+    "id_ramo_contable", "des_ramo_riesgo", "des_ramo_contable", "des_cuenta_agrupador_1", "des_cuenta_agrupador_2",
+    "des_agrup_origen_asiento", "des_categoria", "des_lineas", "des_glosa", "ind_rtg",
+]
+MANAGED_AMOUNTS = [
+    "mnt_contabilizado_neto_usd", "mnt_ingresado_neto_moneda", "tip_cambio_sol_usd", "mnt_ajuste_descalce_usd",
+    "mnt_ajuste_otro_usd", "mnt_ajuste_tecnico_usd", "mnt_ajuste_inflacion_usd",
+]
 FINANCIAL_COLUMNS = """id_dato_financiero, periodo, des_riesgo_negocio, tip_concepto_financiero,
   tip_distribucion, id_producto, id_poliza, mnt_usd"""
 FINANCIAL_ROWS = """(periodo BETWEEN DATE '1997-01-01' AND DATE '1999-12-01'
@@ -462,7 +479,16 @@ current AS (
   SELECT * FROM financial WHERE o_orderdate <= (SELECT t + INTERVAL 5 HOUR FROM as_of)
   QUALIFY row_number() OVER (PARTITION BY id_dato_financiero, periodo
     ORDER BY o_orderdate DESC, l_shipdate DESC, l_suppkey DESC, id_producto DESC) = 1)
-SELECT {FINANCIAL_COLUMNS} FROM current WHERE {FINANCIAL_ROWS}""",
+SELECT * EXCLUDE (o_orderdate, l_shipdate, l_suppkey) FROM current WHERE {FINANCIAL_ROWS}""",
+    "snapshot_versions": f"""SELECT {month('o_orderdate')} AS periodo, strftime(o_orderdate, '%Y%m') AS id_periodo,
+       {txt('o_custkey % 10')} AS id_producto, CASE WHEN o_orderstatus = 'F' THEN 'SOL' ELSE 'USD' END AS moneda,
+       o_orderpriority AS des_cuenta_contable, {', '.join(f"'{c}-' || o_orderstatus AS {c}" for c in MANAGED_TEXTS)},
+       {', '.join(f"CAST(month(o_orderdate) AS DECIMAL(18,2)) AS {c}" for c in MANAGED_AMOUNTS)},
+       TIMESTAMP '2024-01-11 06:00:00' AS time_travel_rtg
+FROM orders WHERE o_orderstatus <> 'P' AND {month('o_orderdate')} BETWEEN {FIRST} AND {LAST}""",
+    "run_params": f"""SELECT CASE WHEN month(d) <= 6 THEN make_date(year(d) - 1, 1, 1) ELSE make_date(year(d), 1, 1) END AS inicio,
+       {month('d')} AS fin, {month('d')} AS actual, DATE '2024-04-01' AS corte, 'run_prima' AS tabla
+FROM (SELECT max(o_orderdate) AS d FROM orders)""",
     "typed_columns": f"""SELECT {txt('o_orderkey')} AS order_id, CAST(o_custkey AS INTEGER) AS emp_id,
        {money('o_totalprice')} AS monto, CAST(o_orderdate AS DATE) AS fecha,
        TRY_CAST(o_orderpriority AS INTEGER) AS prioridad_num FROM orders""",
@@ -519,7 +545,11 @@ FROM premium GROUP BY ALL""",
     "stream_sync": f"""SELECT {txt('o_orderkey')} AS order_id, CAST(1 AS BIGINT) AS messages, 'DISPATCHED' AS status
 FROM orders WHERE o_orderstatus IN ('F', 'O') AND EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""",
     "stream_changes": SENT_ONCE,
+    "stream_moved_dates": SENT_ONCE,
     "sync_retry": SENT_ONCE,
 }
 ORACLES["publish_versions"] = ORACLES["publish_roundtrip"]
 ORACLES["run_ledger_roundtrip"] = ORACLES["upstream_read_time"]
+ORACLES["cascade_refresh"] = ORACLES["cascade_totals"]
+ORACLES["run_absence"] = ORACLES["absence_calendar"]
+ORACLES["current_policies_period"] = f"""SELECT * FROM ({ORACLES["current_policies"]}) WHERE periodo = DATE '1997-01-01'"""

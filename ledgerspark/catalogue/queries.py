@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from contextlib import suppress
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,14 +16,16 @@ from ledgerspark.functions import calendar
 from ledgerspark.operators.matching import join_null_safe, rolling_months_join
 from ledgerspark.operators.pick import latest_link
 from ledgerspark.operators.rank import HOT_GROUP_ROWS, rank_within
+from ledgerspark.params import Params
 from ledgerspark.plans import absence, cascade, dims, facts
 from ledgerspark.plans import premium as premium_plan
 from ledgerspark.plans.allocate import allocate
-from ledgerspark.sources.publish import publish_table, publish_version, read_current
-from ledgerspark.sources.run_ledger import record_run, upstream_asof
+from ledgerspark.sources.publish import publish_table, publish_version, read_asof, read_current
+from ledgerspark.sources.run_ledger import record_runs, upstream_asof
 from ledgerspark.sources.scratch import scratch_path
-from ledgerspark.sources.snapshots import snapshot_asof
+from ledgerspark.sources.snapshots import shifted, snapshot_asof
 from ledgerspark.sources.tables import not_deleted, typed_mapping
+from ledgerspark.sources.validity import publish_validity, read_validity
 from ledgerspark.streaming import cycle, orders
 
 # The test data covers these months.
@@ -62,6 +64,27 @@ def cascade_totals(t: Tables) -> DataFrame:
     return totals.select(*[c for c in totals.columns if not c.startswith("mnt_")], *amounts)
 
 
+@query
+def cascade_refresh(t: Tables) -> DataFrame:
+    """A published cascade after movements of two months came late: only their windows are rebuilt."""
+    path, rows = scratch_path(t.spark, "refresh"), S.premium(t)
+    late = F.col("periodo").isin(date(1997, 3, 1), date(1999, 11, 1)) & (F.col("id_certificado") > "2")
+    publish_table(rows.where(~late), f"{path}/premium", ["periodo"])
+    policies, product = S.existing_policies(t), S.ranked_products(t)
+
+    def premium() -> DataFrame:
+        return t.spark.read.schema(rows.schema).parquet(f"{path}/premium")
+
+    first = cascade.cascade_totals(premium(), policies, product, START, END)
+    publish_table(first, f"{path}/cascade", ["periodo_trim"])
+    rows.where(late).write.mode("append").partitionBy("periodo").parquet(f"{path}/premium")
+    changed = rows.where(late).select("periodo")
+    cascade.refresh_cascade(f"{path}/cascade", premium(), policies, product, changed, START, END)
+    totals = t.spark.read.schema(first.schema).parquet(f"{path}/cascade")
+    amounts = [F.col(c).cast("decimal(38,2)").alias(c) for c in cascade.MEASURES]
+    return totals.select(*[c for c in totals.columns if c not in cascade.MEASURES], *amounts)
+
+
 @query
 def cascade_base(t: Tables) -> DataFrame:
     base, totals = _cascade_parts(t)
@@ -193,6 +216,12 @@ def current_policies(t: Tables) -> DataFrame:
     return dims.current_policies(S.certificates(t), product, S.journal(t), S.channels(t), None)
 
 
+@query
+def current_policies_period(t: Tables) -> DataFrame:
+    product = dims.principal_products(S.products(t), S.lines(t))
+    return dims.current_policies(S.certificates(t), product, S.journal(t), S.channels(t), date(1997, 1, 1))
+
+
 @query
 def fx_rates(t: Tables) -> DataFrame:
     return dims.fx_rates(S.rates(t))
@@ -224,11 +253,22 @@ def managed_result(t: Tables) -> DataFrame:
         F.col("o_orderdate").alias("version_ts"),
         F.col("o_orderkey").alias("version_no"),
     )
+    read_time = shifted(local_time("2001-06-30 00:00:00"))
+    rows = snapshot_asof(versions, ["id_producto", "periodo"], "version_ts", read_time, ("version_no",))
     return facts.managed_result(
-        versions, ["id_producto", "periodo"], "version_ts", local_time("2001-06-30 00:00:00"),
-        START, END, ["periodo", "id_producto", "moneda", "mnt_ingresado_neto_moneda"],
-        ("version_no",),
-    )
+        rows, read_time, START, END, ["periodo", "id_producto", "moneda", "mnt_ingresado_neto_moneda"])
+
+
+@query
+def snapshot_versions(t: Tables) -> DataFrame:
+    """The managed result published three times, and read as it stood before the last one; equal rows stay."""
+    path, rows = scratch_path(t.spark, "managed"), S.managed_rows(t)
+    day = datetime(2024, 1, 10, tzinfo=timezone.utc)
+    for later, wanted in enumerate((F.col("estado") == "O", F.col("estado") != "P", F.lit(True))):
+        publish_version(rows.where(wanted), path, ["periodo"], at=day + timedelta(days=later))
+    read_time = shifted(F.lit(day + timedelta(days=1, hours=1)))
+    result = facts.managed_result(read_asof(t.spark, path, read_time), read_time, START, END)
+    return result.withColumn("time_travel_rtg", F.col("time_travel_rtg").cast("timestamp_ntz"))
 
 
 FINANCIAL = [
@@ -245,15 +285,18 @@ def financial_filter(t: Tables) -> DataFrame:
 
 @query
 def financial_facts(t: Tables) -> DataFrame:
-    """As of the last order of status F, read from a run ledger by a scalar subquery."""
+    """As of the last order of status F, read from a run ledger; the row versions are laid out by validity."""
     ledger = t.orders.select(
         F.col("o_orderstatus").alias("recurso"), F.col("o_orderdate").alias("fecha_estado_fin_dag")
     )
-    as_of = upstream_asof(ledger, local_time("2001-08-03 00:00:00"), "F").scalar()
-    return facts.financial_facts(
-        S.financial_versions(t), ["id_dato_financiero", "periodo"], "version_ts", as_of,
-        date(1997, 1, 1), date(1999, 12, 1), FINANCIAL, ("loaded_ts", "load_no", "id_producto"),
+    read_time = upstream_asof(ledger, local_time("2001-08-03 00:00:00"), "F").select(shifted(F.col("as_of"))).scalar()
+    path = scratch_path(t.spark, "financial")
+    publish_validity(
+        S.financial_versions(t), ["id_dato_financiero", "periodo"], "version_ts", path, facts.financial_layout(),
+        ("loaded_ts", "load_no", "id_producto"),
     )
+    rows = read_validity(t.spark, path, read_time)
+    return facts.financial_facts_laid_out(rows, date(1997, 1, 1), date(1999, 12, 1))
 
 
 @query
@@ -303,6 +346,25 @@ def absence_calendar(t: Tables) -> DataFrame:
     return absence.absence_calendar(absence.employee_master(tables), counts)
 
 
+@query
+def run_absence(t: Tables) -> DataFrame:
+    """The whole absence job, run twice into the same place."""
+    target = scratch_path(t.spark, "absence")
+    absence.run_absence(S.employees(t), date(1997, 3, 1), target)
+    absence.run_absence(S.employees(t), date(1998, 9, 15), target)
+    return read_current(t.spark, f"{target}/cronograma")
+
+
+@query
+def run_params(t: Tables) -> DataFrame:
+    """Arguments of a run on the day of the last order."""
+    last = t.orders.agg(F.max("o_orderdate").cast("date")).first()[0]
+    params = Params.for_day(last, prefix="run")
+    return t.spark.createDataFrame(
+        [(params.start, params.end, params.current, params.erp_cut, params.table("prima"))],
+        "inicio date, fin date, actual date, corte date, tabla string")
+
+
 @query
 def semi_policies(t: Tables) -> DataFrame:
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
@@ -435,11 +497,14 @@ def publish_versions(t: Tables) -> DataFrame:
 
 @query
 def run_ledger_roundtrip(t: Tables) -> DataFrame:
-    """Read times from a ledger that was written run by run: the last outcome of each resource."""
+    """Read times from a ledger of written outcomes: the last one of each resource, then all earlier ones."""
     path = scratch_path(t.spark, "ledger")
-    last = S.run_outcomes(t).groupBy("recurso").agg(F.max("fecha_estado_fin_dag").alias("ended"))
-    for row in last.collect():  # a row for each resource
-        record_run(t.spark, path, row.recurso, SUCCEEDED, row.ended)
+    outcomes = S.run_outcomes(t).select(
+        "recurso", F.lit(SUCCEEDED).alias("estado"), F.lit("").alias("etiquetas"),
+        F.col("fecha_estado_fin_dag").cast("timestamp").alias("fecha_estado_fin_dag"))
+    record_runs(outcomes.groupBy("recurso", "estado", "etiquetas").agg(
+        F.max("fecha_estado_fin_dag").alias("fecha_estado_fin_dag")), path)
+    record_runs(outcomes, path)
     ledger = t.spark.read.parquet(path).withColumn(
         "fecha_estado_fin_dag", F.col("fecha_estado_fin_dag").cast("timestamp_ntz"))
     return upstream_asof(ledger, local_time(NOW))
@@ -480,31 +545,56 @@ def _sent(spark: SparkSession, store: cycle.Store) -> DataFrame:
     )
 
 
-@query
-def stream_changes(t: Tables) -> DataFrame:
-    """Three files of arrivals: some orders are ineligible at first, all come again, items come late."""
-    spark = t.spark
-    path = scratch_path(spark, "changes")
-    store, arrived, items_at = cycle.Store(f"{path}/store"), f"{path}/arrived", f"{path}/items"
-    rows, items = S.sync_orders(t), S.sync_items(t)
-    late = F.col("order_id").cast("long") % 5 == 0
-    draft = F.when(F.col("order_id").cast("long") % 3 == 0, "DRAFT").otherwise(F.col("BusinessStatus"))
-    items.where(~late).write.parquet(items_at)
+class Arrivals:
+    """Orders that come in a folder, with a stream over them that is run after each arrival."""
+
+    def __init__(self, t: Tables, name: str):
+        self.spark, self.path = t.spark, scratch_path(t.spark, name)
+        self.store, self.items_at = cycle.Store(f"{self.path}/store"), f"{self.path}/items"
+        self.schema, self.items = S.sync_orders(t).schema, S.sync_items(t).schema
+
+    def add_items(self, df: DataFrame) -> None:
+        df.write.mode("append").parquet(self.items_at)
 
-    def arrive(df: DataFrame) -> None:
-        df.coalesce(1).write.mode("append").parquet(arrived)
-        source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(arrived)
+    def arrive(self, df: DataFrame) -> None:
+        """All files of an arrival are one micro-batch."""
+        df.write.mode("append").parquet(f"{self.path}/arrived")
+        source = self.spark.readStream.schema(self.schema).parquet(f"{self.path}/arrived")
         cycle.order_stream(
-            source, lambda: spark.read.schema(items.schema).parquet(items_at), store, "orders", ["F", "O"], None,
-            f"{path}/checkpoint",
+            source, lambda: self.spark.read.schema(self.items).parquet(self.items_at), self.store, "orders",
+            ["F", "O"], None, f"{self.path}/checkpoint",
         ).awaitTermination()
 
-    arrive(rows.withColumn("BusinessStatus", draft))
-    arrive(rows)
-    items.where(late).write.mode("append").parquet(items_at)
-    arrive(rows.where(late))
-    status = orders.current_status(cycle.read_log(spark, store)).select("order_id", "status")
-    return _sent(spark, store).join(status, "order_id")
+    def sent(self) -> DataFrame:
+        status = orders.current_status(cycle.read_log(self.spark, self.store)).select("order_id", "status")
+        return _sent(self.spark, self.store).join(status, "order_id")
+
+
+@query
+def stream_changes(t: Tables) -> DataFrame:
+    """Three arrivals: some orders are ineligible at first, all come again, items come late."""
+    rows, items, inbox = S.sync_orders(t), S.sync_items(t), Arrivals(t, "changes")
+    late = F.col("order_id").cast("long") % 5 == 0
+    draft = F.when(F.col("order_id").cast("long") % 3 == 0, "DRAFT").otherwise(F.col("BusinessStatus"))
+    inbox.add_items(items.where(~late))
+    inbox.arrive(rows.withColumn("BusinessStatus", draft))
+    inbox.arrive(rows)
+    inbox.add_items(items.where(late))
+    inbox.arrive(rows.where(late))
+    return inbox.sent()
+
+
+@query
+def stream_moved_dates(t: Tables) -> DataFrame:
+    """All orders come three times, with another month of created_at or none each time; each goes out once."""
+    rows, inbox = S.sync_orders(t), Arrivals(t, "moved")
+    number = F.col("order_id").cast("long")
+    moved = F.col("created_at") + F.make_interval(months=(number % 4).cast("int"))
+    inbox.add_items(S.sync_items(t))
+    inbox.arrive(rows.withColumn("created_at", F.when(number % 3 != 0, F.col("created_at"))))
+    inbox.arrive(rows.withColumn("created_at", moved))
+    inbox.arrive(rows.withColumn("created_at", F.when(number % 2 != 0, moved)))
+    return inbox.sent()
 
 
 @query

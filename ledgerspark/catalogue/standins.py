@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerspark import constants as C
+from ledgerspark.plans.facts import FINANCIAL_COLUMNS, MANAGED_RESULT_COLUMNS
 
 AMOUNT = "decimal(18,2)"
 
@@ -302,27 +303,48 @@ def amounts(t: Tables) -> DataFrame:
 
 
 def financial_versions(t: Tables) -> DataFrame:
-    """Financial rows from ``lineitem`` with the order date as version time."""
+    """Financial rows from ``lineitem`` with the order date as version time; other texts name their column."""
     flag = F.col("l_returnflag")
     risk = F.when(flag == "R", "Vida").when(flag == "A", "vida-ajuste").otherwise("Salud")
     concept = F.when(F.col("l_linestatus") == "F", "Siniestros sin recuperos").otherwise("Primas")
     adjusted = F.when(F.col("l_quantity") < 10, " sin ajuste ").otherwise("con ajuste")
     orders = t.orders.select("o_orderkey", "o_orderdate")
+    own = {
+        "id_dato_financiero": F.concat_ws("-", "l_orderkey", "l_linenumber"),
+        "periodo": F.trunc("l_shipdate", "MM"),
+        "des_riesgo_negocio": risk,
+        "tip_concepto_financiero": concept,
+        "tip_distribucion": adjusted,
+        "id_producto": text("l_partkey"),
+        "id_poliza": text("l_orderkey"),
+        "mnt_ajuste_reserva_usd": money("l_discount"),
+        "mnt_usd": money("l_extendedprice"),
+    }
     return t.lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id_dato_financiero"),
-        F.trunc("l_shipdate", "MM").alias("periodo"),
-        risk.alias("des_riesgo_negocio"),
-        concept.alias("tip_concepto_financiero"),
-        adjusted.alias("tip_distribucion"),
-        text("l_partkey").alias("id_producto"),
-        text("l_orderkey").alias("id_poliza"),
-        money("l_extendedprice").alias("mnt_usd"),
+        *[own.get(c, label(f"{c}-", flag)).alias(c) for c in FINANCIAL_COLUMNS],
         F.col("o_orderdate").alias("version_ts"),
         F.col("l_shipdate").alias("loaded_ts"),
         F.col("l_suppkey").alias("load_no"),
     )
 
 
+def managed_rows(t: Tables) -> DataFrame:
+    """Managed result from ``orders``: many rows a product and month, and some of them equal."""
+    status = F.col("o_orderstatus")
+    own = {
+        "periodo": F.trunc("o_orderdate", "MM"),
+        "id_periodo": F.date_format("o_orderdate", "yyyyMM"),
+        "id_producto": (F.col("o_custkey") % 10).cast("string"),
+        "moneda": F.when(status == "F", C.CURRENCY_SOL).otherwise(C.CURRENCY_USD),
+        "des_cuenta_contable": F.col("o_orderpriority"),
+    }
+    return t.orders.select(
+        *[own.get(c, F.month("o_orderdate").cast(AMOUNT) if c.startswith(("mnt_", "tip_cambio"))
+                  else label(f"{c}-", status)).alias(c) for c in MANAGED_RESULT_COLUMNS],
+        status.alias("estado"),
+    )
+
+
 def run_outcomes(t: Tables) -> DataFrame:
     """Run ledger from ``events``; the runs of type ``error`` ended ten days earlier."""
     earlier = F.col("ts") - F.make_dt_interval(days=F.lit(10))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark.operators.pick import latest_link
 from ledgerspark.schemas import schema_of
+from ledgerspark.sources.publish import publish_version
 from ledgerspark.sources.tables import not_deleted
 
 # Fixed: the names readers of the calendar know.
@@ -80,3 +81,14 @@ def absence_calendar(master: DataFrame, absences: DataFrame) -> DataFrame:
     do not appear: the master's own ERP id has to be present.
     """
     return master.join(absences, "emp_id", "inner")
+
+
+def run_absence(tables: dict[str, DataFrame], as_of: date, target: str) -> DataFrame:
+    """The absence job: master data, open absences of the year and the wide table, published under ``target``.
+
+    Each is published whole, so a run that fails leaves the former tables; the wide table is
+    made from what was published and comes back.
+    """
+    master = publish_version(employee_master(tables), f"{target}/maestro")
+    counts = publish_version(open_absences(tables["ausentismo"], as_of), f"{target}/ausentismo", ["Anio"])
+    return publish_version(absence_calendar(master, counts), f"{target}/cronograma", ["Anio"])

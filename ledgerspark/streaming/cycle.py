@@ -7,9 +7,11 @@ micro-batch that is run again leaves one copy of its rows.
 
 What a cycle reads does not grow with the log. A run's own rows are read from its
 own partition. Orders that moved but are not dispatched are in ``state``, the ids of
-dispatched ones in ``dispatched`` by the month of the order, of which only the months
-of the orders at hand are read; both are brought up to date when a run ends. A run that
-did not get there is named in ``open_runs`` and is finished by the next cycle. The
+dispatched ones in ``dispatched``, a table in buckets of the id and of nothing else: an
+order that comes again is found whatever else about it changed, and the history of ids is
+read where it lies, only the orders at hand are shuffled to its buckets. Both are brought
+up to date when a run ends. A run that did not get there is named in ``open_runs`` and is
+finished by the next cycle. The
 small tables that change (inbox, state, open runs) have two slots: a new version goes
 to the older slot, so the newest complete one can always be read.
 
@@ -21,11 +23,12 @@ the same run, which sends the same correlation ids.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -49,10 +52,12 @@ def columns(listed: str) -> StructType:
 
 
 RUN_LOG = columns(f"{O.LOG_SCHEMA}, step string")
-DETAILS = columns("order_id string, month string, first_run_ts timestamp")
-STATE = columns(f"{O.LOG_SCHEMA}, first_run_ts timestamp, month string")
+DETAILS = columns("order_id string, first_run_ts timestamp")
+STATE = columns(f"{O.LOG_SCHEMA}, first_run_ts timestamp")
 OPEN_RUNS = columns("run string")
 OUTCOMES = columns(f"{O.OUTCOME_SCHEMA}, parts int")
+# Of the table of dispatched ids; a store keeps the number it was begun with.
+BUCKETS = 16
 
 
 @dataclass(frozen=True)
@@ -123,10 +128,6 @@ def _marked(spark: SparkSession, path: str, key: str) -> bool:
     return not read_or_empty(spark, f"{path}/run={key}", columns("there boolean")).isEmpty()
 
 
-def month_of(created: str) -> Column:
-    return F.coalesce(F.date_format(created, "yyyy-MM"), F.lit("none"))
-
-
 def _load(spark: SparkSession, path: str, schema: StructType, before: str | None = None) -> tuple[DataFrame, str, int]:
     """Rows of the newest version of a table (below ``before`` if given), its name and its slot."""
     named = StructType([*schema.fields, *columns("_there boolean, _version string, _slot int").fields])
@@ -154,14 +155,18 @@ def read_state(spark: SparkSession, store: Store) -> DataFrame:
     return _load(spark, store.state, STATE)[0]
 
 
+def dispatched_ids(spark: SparkSession, store: Store) -> str:
+    """Name of the table of dispatched ids; the catalog learns of it in each session that has not met it."""
+    name = f"dispatched_{hashlib.sha256(store.path.encode()).hexdigest()[:24]}"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (order_id STRING) USING parquet CLUSTERED BY (order_id) "
+              f"SORTED BY (order_id) INTO {BUCKETS} BUCKETS LOCATION '{store.dispatched}'")
+    return name
+
+
 def without_dispatched(orders: DataFrame, store: Store) -> DataFrame:
-    """Orders that were not dispatched; only the months of ``orders`` are looked up."""
-    spark = orders.sparkSession
-    known = read_or_empty(spark, store.dispatched, columns("order_id string, month string"))
-    dated = orders.withColumn("_month", month_of("created_at"))
-    months = [r[0] for r in dated.select("_month").distinct().collect()]  # as many as there are months
-    known = known.where(F.col("month").isin(months)).select("order_id", F.col("month").alias("_month"))
-    return dated.join(known, ["order_id", "_month"], "left_anti").select(*orders.columns)
+    """Orders that were not dispatched; the table of ids is read by its buckets and not shuffled."""
+    known = orders.sparkSession.table(dispatched_ids(orders.sparkSession, store))
+    return orders.join(known, "order_id", "left_anti").select(*orders.columns)
 
 
 def _open_runs(spark: SparkSession, store: Store, add: str | None = None, drop: str | None = None) -> list[str]:
@@ -204,10 +209,9 @@ def _compact(spark: SparkSession, store: Store, key: str) -> None:
     """Fold a run's transitions into the state and the dispatched ids."""
     details = read_or_empty(spark, f"{store.details}/run={key}", DETAILS)
     moved = O.current_status(read_run(spark, store, key)).join(details, "order_id", "left")
-    moved = moved.withColumn("month", F.coalesce("month", F.lit("none")))
-    gone = moved.where(F.col("status") == DISPATCHED)
-    # ids that are added twice by a repeat do no harm
-    gone.select("order_id", "month").hint("rebalance", "month").write.mode("append").partitionBy("month").parquet(store.dispatched)
+    gone = moved.where(F.col("status") == DISPATCHED).select("order_id")
+    # a file a bucket; ids that are added twice by a repeat do no harm
+    gone.repartition(BUCKETS, "order_id").write.insertInto(dispatched_ids(spark, store))
     state, version, slot = _load(spark, store.state, STATE)
     kept = state.join(moved.select("order_id"), "order_id", "left_anti")
     still = moved.where(F.col("status") != DISPATCHED).withColumn("seq", F.lit(0).cast("long"))
@@ -256,8 +260,7 @@ def run_cycle(
             return False
         first = state.select("order_id", F.col("first_run_ts").alias("_first"))
         details = orders.join(claimed, "order_id", "left_semi").join(first, "order_id", "left").select(
-            "order_id", month_of("created_at").alias("month"),
-            F.coalesce("_first", F.lit(run_ts).cast("timestamp")).alias("first_run_ts"))
+            "order_id", F.coalesce("_first", F.lit(run_ts).cast("timestamp")).alias("first_run_ts"))
         details.write.mode("overwrite").parquet(f"{store.details}/run={key}")
     elif _marked(spark, store.sending, key) and not replay_safe and read_or_empty(
             spark, f"{store.outcomes}/run={key}", OUTCOMES).isEmpty():

@@ -356,7 +356,8 @@ def test_employee_master_links(spark, rows):
 
 
 # Their results are read from what they wrote; other tests cover their steps.
-WRITERS = {"publish_roundtrip", "publish_versions", "run_ledger_roundtrip", "stream_changes", "stream_sync", "sync_retry"}
+WRITERS = {"publish_roundtrip", "publish_versions", "run_ledger_roundtrip", "stream_changes", "stream_sync", "sync_retry",
+           "stream_moved_dates", "snapshot_versions", "cascade_refresh", "run_absence", "run_params"}
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in WRITERS])
@@ -396,6 +397,33 @@ def test_technical_result_run_twice_gives_the_same(spark, rows, tmp_path):
     assert rows(read_current(spark, f"{tmp_path}/out/{params.table('distribucion_prima')}")) == first
     states = [r.estado for r in spark.read.parquet(ledger).orderBy("estado").collect()]
     assert states == ["FAILED", "SUCCEEDED", "SUCCEEDED"]
+    # upstream tables are read whole, as they stood at the last upstream run five hours earlier by the clock
+    from ledgerspark.constants import RESOURCE_FINANCIAL_DATA, RESOURCE_MANAGED_RESULT
+    from ledgerspark.sources.publish import publish_version
+    from ledgerspark.sources.run_ledger import record_run
+
+    def managed(*accounts):
+        columns = ", ".join(
+            f"{c} {'date' if c == 'periodo' else 'string'}" for c in facts.MANAGED_RESULT_COLUMNS)
+        return spark.createDataFrame([
+            tuple({"periodo": date(2024, 4, 1), "id_producto": "1", "des_cuenta_contable": a}.get(c)
+                  for c in facts.MANAGED_RESULT_COLUMNS) for a in accounts], columns)
+
+    financial = spark.createDataFrame(
+        [tuple({"periodo": date(2024, 4, 1), "des_riesgo_negocio": "Vida"}.get(c) for c in facts.FINANCIAL_COLUMNS)] * 2,
+        ", ".join(f"{c} {'date' if c == 'periodo' else 'string'}" for c in facts.FINANCIAL_COLUMNS))
+    upstream = {"resultado_gerencial": f"{tmp_path}/up/rg", "dato_financiero": f"{tmp_path}/up/df"}
+    run_end = datetime(2024, 5, 30, 12)
+    publish_version(managed("10", "20", "20"), upstream["resultado_gerencial"], at=datetime(2024, 5, 30, 16))
+    publish_version(managed("99"), upstream["resultado_gerencial"], at=datetime(2024, 5, 30, 18))
+    publish_version(financial, upstream["dato_financiero"], at=datetime(2024, 5, 30))
+    for resource in (RESOURCE_MANAGED_RESULT, RESOURCE_FINANCIAL_DATA):
+        record_run(spark, ledger, resource, "SUCCEEDED", run_end)
+    run_technical_result(sources, params, f"{tmp_path}/out", ledger, now, upstream)
+    kept = read_current(spark, f"{tmp_path}/out/{params.table('resultado_gerencial')}").collect()
+    assert sorted(r.des_cuenta_contable for r in kept) == ["10", "20", "20"]
+    assert {r.time_travel_rtg for r in kept} == {datetime(2024, 5, 30, 17)}
+    assert read_current(spark, f"{tmp_path}/out/{params.table('dato_financiero')}").count() == 2
     # March falls in three windows and May in one, for each of two ledger lines.
     assert len(first) == 8 and {r.id_poliza for r in again.collect()} == {"P"}
     assert {r.porc_nivel_14 for r in again.where("periodo_trim = DATE'2024-05-01'").collect()} == {D("6.00")}

@@ -217,6 +217,35 @@ def test_changed_orders_late_items_and_what_a_batch_reads(spark, tmp_path, monke
     assert max(sizes) <= sizes[0]
 
 
+def test_an_order_whose_date_moves_is_sent_once(spark, tmp_path):
+    store, items = cycle.Store(f"{tmp_path}/s"), item_rows(spark, a=1, b=1, c=1)
+    for n, days in enumerate((0, 40, None, 400)):
+        dated = order_rows(spark, "a", "b").withColumn(
+            "created_at", F.lit(None).cast("timestamp") if days is None else F.col("created_at") + F.make_dt_interval(days=F.lit(days)))
+        sent = cycle.run_cycle(dated, items, store, "f", f"r{n}", T0 + timedelta(hours=n), ["OK"], None)
+        assert sent == (n == 0)
+    assert spark.read.parquet(store.messages).count() == 2
+    # a session whose catalog has not met the store finds the ids too
+    spark.sql(f"DROP TABLE {cycle.dispatched_ids(spark, store)}")
+    assert [r.order_id for r in cycle.without_dispatched(order_rows(spark, "a", "c"), store).collect()] == ["c"]
+
+
+def test_dispatched_ids_are_not_shuffled(spark, tmp_path):
+    store, ids = cycle.Store(f"{tmp_path}/s"), [f"o{n}" for n in range(300)]
+    for part in (ids[:200], ids[100:]):
+        spark.createDataFrame([(i,) for i in part], "order_id string").repartition(
+            cycle.BUCKETS, "order_id").write.insertInto(cycle.dispatched_ids(spark, store))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = cycle.without_dispatched(order_rows(spark, *ids, "new"), store)
+        plan = left._jdf.queryExecution().executedPlan().toString()
+        assert [r.order_id for r in left.collect()] == ["new"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the orders' own, to as many partitions as there are buckets
+    assert plan.count("Exchange") == 1 and "SelectedBucketsCount: 16 out of 16" in plan and ", 16)" in plan
+
+
 def test_flows_share_staging_without_interference(spark, tmp_path):
     store = cycle.Store(f"{tmp_path}/s")
     orders = order_rows(spark, "a", "b")
