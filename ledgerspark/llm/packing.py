@@ -2,9 +2,10 @@
 
 The histogram of all lengths decides: dynamic programming over it finds the bounds of
 ``buckets`` buckets with the least padding when every row is filled up to its bucket's
-bound. Lengths are counted one by one up to ``EXACT`` and in 128 steps an octave above,
-so the histogram that reaches the driver has a few thousand rows at any size; a bound is
-the largest length counted in its step, and the padding that is minimised is the true one.
+bound. Every length is counted by itself, so the bounds are the best there are; the
+histogram that reaches the driver has a row a different length, of which there are no
+more than the longest text has tokens, however many texts there are. The programme takes
+time in proportion to them.
 
 Batches are made inside each bucket: as many rows as the token budget holds at the
 bucket's bound, one for a longer row. A bucket may hold most rows, so its rows are
@@ -13,7 +14,7 @@ sizes of the slots before it are added. Rows with equal id and length are counte
 and so cannot fill a slot.
 
 Null and empty texts have one token, the end. Ties are ordered by hash, then id. Only
-lengths and ids are shuffled. Other columns do not matter.
+lengths and ids are shuffled. Other columns do not matter. An empty table gives no row.
 """
 
 from __future__ import annotations
@@ -30,8 +31,6 @@ from ledgerspark.sources.scratch import stable
 
 BUCKETS = 8
 TOKEN_BUDGET = 65_536
-EXACT = 1 << 11
-OCTAVE_STEPS = 7  # as a power of two
 SLOT_ROWS = 4096
 #: Copies of one row that are written out by one task.
 COPIES = 1_000_000
@@ -49,48 +48,59 @@ def token_lengths(docs: DataFrame, path: str) -> DataFrame:
     return map_batches(docs.select("doc_id", "text"), work, schema)
 
 
-def step_of(length):
-    """Histogram key of a length: itself, or above EXACT the end of its step."""
-    octave = F.floor(F.log2(length.cast("double")))
-    width = F.pow(F.lit(2.0), octave - OCTAVE_STEPS).cast("long")
-    return F.when(length <= EXACT, length).otherwise(F.ceil(length / width).cast("long") * width)
-
-
 def best_bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
     """Upper bounds of at most ``buckets`` buckets with the least total padding.
 
-    ``lengths`` ascend; rows counted at a length are no longer than it. The cost of a
-    bucket from i to j is lengths[j] times its rows; what the rows hold is the same for
-    all choices. Of equal costs the lower bound is taken.
+    ``lengths`` ascend. The cost of a bucket from i to j is lengths[j] times its rows; what
+    the rows hold is the same for all choices. With one more bucket, the best cost up to j is
+    the least of the lines best[i] - upto[i] * x at x = lengths[j], plus a number of j alone.
+    The slopes fall with i and x grows with j, so a hull of lines is walked along once.
+    Whole numbers throughout; of equal costs the lower bound is taken.
     """
-    if not len(lengths):
-        return []
-    upto = np.concatenate(([0.0], np.cumsum(counts, dtype=float)))
-    size = lengths.astype(float)
-    best = np.concatenate(([0.0], np.full(len(size), np.inf)))
+    size, upto = [int(x) for x in lengths], [0]
+    for n in counts:
+        upto.append(upto[-1] + int(n))
+    best: list[int | None] = [0, *[None] * len(size)]
     came_from = []
     for _ in range(min(buckets, len(size))):
-        now, origin = np.full(len(size) + 1, np.inf), np.zeros(len(size) + 1, np.int64)
-        now[0] = 0.0
+        now, origin = [0, *[0] * len(size)], [0] * (len(size) + 1)
+        hull: list[int] = []
+        at = 0
         for j in range(1, len(size) + 1):
-            cost = best[:j] - size[j - 1] * upto[:j]
-            origin[j] = int(np.argmin(cost))
-            now[j] = cost[origin[j]] + size[j - 1] * upto[j]
+            if best[j - 1] is not None:
+                at = min(at, _added(hull, j - 1, best, upto))
+            x = size[j - 1]
+            while at + 1 < len(hull) and best[hull[at + 1]] - upto[hull[at + 1]] * x < best[hull[at]] - upto[hull[at]] * x:
+                at += 1
+            origin[j] = hull[at]
+            now[j] = best[hull[at]] - upto[hull[at]] * x + x * upto[j]
         best = now
         came_from.append(origin)
     bounds, at = [], len(size)
     for origin in reversed(came_from):
         if at == 0:
             break
-        bounds.append(int(lengths[at - 1]))
+        bounds.append(size[at - 1])
         at = origin[at]
     return bounds[::-1]
 
 
+def _added(hull: list[int], line: int, best: list, upto: list[int]) -> int:
+    """Put a line on the hull, without those it makes needless; return the last place."""
+    while len(hull) > 1:
+        a, b = hull[-2], hull[-1]
+        # where the new line crosses a, against where b does
+        if (best[line] - best[a]) * (upto[b] - upto[a]) < (best[b] - best[a]) * (upto[line] - upto[a]):
+            hull.pop()
+        else:
+            break
+    hull.append(line)
+    return len(hull) - 1
+
+
 def plan_bounds(lengths: DataFrame, buckets: int) -> list[int]:
-    histogram = lengths.groupBy(step_of(F.col("n_tokens")).alias("step")).agg(
-        F.max("n_tokens").alias("longest"), F.count(F.lit(1)).alias("n")).toPandas().sort_values("step")
-    return best_bounds(histogram["longest"].to_numpy(np.int64), histogram["n"].to_numpy(np.int64), buckets)
+    histogram = lengths.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values("n_tokens")
+    return best_bounds(histogram["n_tokens"].to_numpy(np.int64), histogram["n"].to_numpy(np.int64), buckets)
 
 
 def numbered(rows: DataFrame, group: str, keys: list[str], slot_rows: int) -> DataFrame:
