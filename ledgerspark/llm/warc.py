@@ -17,7 +17,7 @@ counts of equal digests meet in one place, after map-side sums.
 
 Null payloads are empty, a null url is ``about:blank``. Rows repeated with the largest
 id are all responses. Null ids come first and revisit an equal record that has an id.
-Other columns are not written.
+Other columns are not written. Without pages the manifest has no file.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerspark.llm.common import same
+from ledgerspark.llm.common import parts_for, same
 
 PER_SHARD = 40
 SHARD_BYTES = 64 << 20
@@ -229,6 +229,15 @@ def write_archives(pages: DataFrame, archive: Archive, shard_bytes: int = SHARD_
     return listed
 
 
+def spread(manifest: DataFrame, task_bytes: int = ROLL_BYTES) -> DataFrame:
+    """The files of ``manifest`` dealt to as many tasks as hold ``task_bytes`` each, and at least as the session has.
+
+    The number is given, so the few bytes of names are not joined to one partition.
+    """
+    total = manifest.agg(F.sum("bytes")).first()[0] or 0
+    return manifest.repartition(parts_for(manifest, total, task_bytes), "name")
+
+
 def commit(manifest: DataFrame, archive: Archive) -> None:
     """Moves the listed files to their names, then marks the folder. May be repeated."""
     def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,7 +252,7 @@ def commit(manifest: DataFrame, archive: Archive) -> None:
                     raise OSError(f"{row['name']} is not complete")
             yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
 
-    moved = manifest.mapInArrow(move, "n long").agg(F.sum("n")).first()[0] or 0
+    moved = spread(manifest).mapInArrow(move, "n long").agg(F.sum("n")).first()[0] or 0
     files, path = archive.at("_COMMITTED")
     with files.open_output_stream(path) as out:
         out.write(f"{moved}\n".encode())
@@ -287,7 +296,7 @@ def parsed(fields: dict[str, str], block: bytes) -> dict | None:
 
 
 def read_archives(manifest: DataFrame, archive: Archive, payloads: bool = False) -> DataFrame:
-    """A row for each page's record in the files of ``manifest``, a file to a task."""
+    """A row for each page's record in the files of ``manifest``, whole files to a task."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     schema = EXTENDED if payloads else RECORD
@@ -310,5 +319,4 @@ def read_archives(manifest: DataFrame, archive: Archive, payloads: bool = False)
                             rows, size = [], 0
                 yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
-    names = manifest.select("name").repartition("name")
-    return names.mapInArrow(run, schema)
+    return spread(manifest.select("name", "bytes")).select("name").mapInArrow(run, schema)

@@ -78,3 +78,12 @@ def test_empty_table(spark, tmp_path):
     empty = spark.createDataFrame([], SCHEMA)
     archive = warc.Archive(str(tmp_path / "none"))
     assert warc.read_archives(warc.write_archives(empty, archive), archive).collect() == []
+
+
+def test_files_are_read_by_many_tasks(spark, tmp_path):
+    data = [(i, "u", f"{i}-" + "".join(chr(97 + i * j % 26) for j in range(400)), None, 0) for i in range(60)]
+    manifest, archive = write(spark, data, tmp_path / "a", shard_bytes=4000)
+    assert manifest.count() > 8
+    assert warc.spread(manifest.select("name", "bytes"), task_bytes=600).rdd.getNumPartitions() > 8
+    back = warc.read_archives(manifest, archive)
+    assert back.rdd.getNumPartitions() >= 4 and back.count() == 60
