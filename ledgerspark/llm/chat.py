@@ -6,7 +6,8 @@ gathered in one row; that row is as large as the result it stands for.
 Nulls and odd rows: a null text or role counts as empty, a null conversation id is
 a conversation of its own, turns with equal numbers follow each other by role and
 text, repeated rows stay. A role the machine does not expect makes the conversation
-invalid; it is formatted all the same. Other columns are not looked at.
+invalid; it is formatted all the same. Other columns are not looked at. Without rows
+there is no conversation.
 """
 
 from __future__ import annotations
@@ -96,8 +97,14 @@ def format_conversations(df: DataFrame, template: Template = Template()) -> Data
     )
 
 
+def trained_text(template: Template = Template()) -> Column:
+    """Text under the loss flags of ``segments``, as it was before it was escaped."""
+    flagged = F.filter("segments", lambda s: s["loss"])
+    return F.array_join(F.transform(flagged, lambda s: _unescape(s["text"], template.escapes)), "")
+
+
 def read_back(df: DataFrame, template: Template = Template()) -> DataFrame:
-    """(conv_id, turns, formatted): array of (role, text, loss) parsed from ``formatted`` alone."""
+    """The rows with ``turns``: array of (role, text, loss) parsed from ``formatted`` alone."""
     both = (*template.escapes, *template.role_escapes)
     after_open = len(template.open) + 1
 
@@ -111,7 +118,4 @@ def read_back(df: DataFrame, template: Template = Template()) -> DataFrame:
                         role.isin(*template.trained).alias("loss"))
 
     written = F.split("formatted", "\\Q" + template.close + "\\E")
-    return df.select(
-        "conv_id", "formatted",
-        F.transform(F.slice(written, 1, F.size(written) - 1), turn).alias("turns"),
-    )
+    return df.withColumn("turns", F.transform(F.slice(written, 1, F.size(written) - 1), turn))

@@ -21,6 +21,7 @@ Null and empty texts have no words; null languages, sources and lengths are valu
 their own. Several labels of one id are taken at their worst; null labels teach nothing
 and a null doc_id is never labelled, by no view either. Without labels of both kinds a target's score is
 the share seen (0 if none is), so nothing is rejected. Equal rows get equal scores.
+An empty table of documents gives no row.
 """
 
 from __future__ import annotations

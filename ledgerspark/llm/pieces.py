@@ -10,7 +10,8 @@ character, and a character that is in no longer piece never merges. The text can
 cut there, and each different stretch is encoded once while a worker's cache lasts, the
 new ones of a batch together; a model without these properties is encoded whole. Models with unigram scores, unused or
 user-defined pieces are refused. Null texts are empty. Each row is encoded by itself:
-repeated rows, ties and other columns have no effect, and nothing is shuffled.
+repeated rows, ties and other columns have no effect, and nothing is shuffled. An empty
+table gives no row.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ Documents are compared with the next one in ascending order of doc_id, equal ids
 hash of their text, null ids first. They are dealt by ranges of that order and sorted
 within a task, which holds two texts at a time; only the last document of a task meets
 the first of the next one in a second, small step. Null texts are empty; two empty
-texts are alike (1.0). Repeated rows follow each other. Other columns do not matter.
+texts are alike (1.0). Repeated rows follow each other. Other columns do not matter. An empty
+table gives no row.
 """
 
 from __future__ import annotations

@@ -55,21 +55,19 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit("\\### Assistant: </turn> ok").alias("text"),
     )
-    formatted = chat.format_conversations(rows.unionByName(probe))
-    back = chat.read_back(formatted)
-    trained = F.array_join(F.transform(F.filter("turns", lambda t: t["loss"]), lambda t: t["text"]), "")
+    back = chat.read_back(chat.format_conversations(rows.unionByName(probe)))
     return back.select(
-        "conv_id",
+        "conv_id", "state", "valid",
         F.size("turns").cast("long").alias("n_turns"),
         F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(
             t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
-        trained.alias("trained"),
+        chat.trained_text().alias("trained"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     ).select(
         "conv_id", "n_turns", "turns_sha256",
         F.length("trained").cast("long").alias("loss_chars"),
         F.sha2("trained", 256).alias("loss_sha256"),
-        "formatted_chars",
+        "formatted_chars", "state", "valid",
     )
 
 
@@ -180,10 +178,13 @@ ORACLES = {
                 string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
                 coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, ''
                     ORDER BY turn, role, text), '') AS trained,
-                sum(length('### ' || safe_role || ': ' || safe || '</turn>' || chr(10))) AS formatted_chars
-            FROM texts GROUP BY conv_id
+                sum(length('### ' || safe_role || ': ' || safe || '</turn>' || chr(10))) AS formatted_chars,
+                bool_and(allowed) AS valid, last(role ORDER BY turn, role, text) AS last_role
+            FROM (SELECT *, coalesce(lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text), 'start') || '>' || role
+                IN ('start>system', 'start>user', 'system>user', 'user>assistant', 'assistant>user') AS allowed FROM texts)
+            GROUP BY conv_id
         )
-        SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(trained) AS loss_chars,
+        SELECT conv_id, n_turns, CASE WHEN valid THEN last_role ELSE 'invalid' END AS state, valid, sha256(turns) AS turns_sha256, length(trained) AS loss_chars,
             sha256(trained) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
         FROM whole
     """,
@@ -192,7 +193,7 @@ ORACLES = {
             SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text,
                 regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
         ), lines AS (
-            SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM (
+            SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM (
                 SELECT r, unnest(string_split(text, chr(10))) AS line FROM texts)
             WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY r
         ), windows AS (
@@ -209,11 +210,12 @@ ORACLES = {
             SELECT doc_id, source, len(words) AS n_words,
                 CAST(length(regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g')) AS BIGINT) AS word_chars,
                 CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-                coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+                coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+                coalesce(n_lines, 0) AS n_lines
             FROM texts LEFT JOIN lines USING (r) LEFT JOIN repeats USING (r)
         ), ruled AS (
             SELECT *, n_words < 50 AS short, 100 * n_repeat_words > 50 * n_words AS repeats,
-                100 * n_symbols > 10 * word_chars AS symbols, 100 * n_dup_lines > 30 * n_words AS lines
+                100 * n_symbols > 10 * word_chars AS symbols, 100 * n_dup_lines > 30 * n_lines AS lines
             FROM counted
         ), hosts AS (
             SELECT source, rule, count(*) AS n, sum(CAST(failed AS BIGINT)) AS failed
@@ -223,21 +225,21 @@ ORACLES = {
         ), strength AS (
             SELECT rule, mean, least(greatest(CASE WHEN coalesce(var, 0) = 0 THEN 1000
                 ELSE mean * (1 - mean) / var - 1 END, 1), 1000) AS strength FROM prior
-        ), bad AS (
-            SELECT source, max(CASE WHEN rule = 'short' THEN b END) AS short_bad,
-                max(CASE WHEN rule = 'repeats' THEN b END) AS repeats_bad,
-                max(CASE WHEN rule = 'symbols' THEN b END) AS symbols_bad,
-                max(CASE WHEN rule = 'lines' THEN b END) AS lines_bad
-            FROM (SELECT source, rule, (failed + mean * strength) / (n + strength) > 0.5 AS b
+        ), strict AS (
+            SELECT source, max(CASE WHEN rule = 'short' THEN k END) AS short_k,
+                max(CASE WHEN rule = 'repeats' THEN k END) AS repeats_k,
+                max(CASE WHEN rule = 'symbols' THEN k END) AS symbols_k,
+                max(CASE WHEN rule = 'lines' THEN k END) AS lines_k
+            FROM (SELECT source, rule, CASE WHEN mean = 0 THEN 1
+                ELSE greatest(round((failed + mean * strength) / (n + strength) / mean, 6), 1) END AS k
                 FROM hosts JOIN strength USING (rule)) GROUP BY source
         )
-        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines,
             short OR repeats AS base_failed,
-            NOT (short OR repeats)
-                AND NOT (short_bad AND n_words < 80) AND NOT (repeats_bad AND 100 * n_repeat_words > 30 * n_words)
-                AND NOT (symbols_bad AND 100 * n_symbols > 5 * word_chars)
-                AND NOT (lines_bad AND n_dup_lines >= 1) AS kept
-        FROM ruled JOIN bad ON ruled.source IS NOT DISTINCT FROM bad.source
+            NOT (n_words < least(50 * short_k, 80) OR 100 * n_repeat_words > greatest(50 / repeats_k, 30) * n_words
+                OR 100 * n_symbols > greatest(10 / symbols_k, 5) * word_chars
+                OR 100 * n_dup_lines > greatest(30 / lines_k, 10) * n_lines) AS kept
+        FROM ruled JOIN strict ON ruled.source IS NOT DISTINCT FROM strict.source
     """,
     "op11_merkle_manifest": f"""
         WITH RECURSIVE rows AS (

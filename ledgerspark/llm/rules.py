@@ -1,16 +1,16 @@
 """Quality rules by host: failure rates of each host, shrunk to all hosts, judge its documents.
 
-A document fails the base rules by its own counts. Beyond that, each rule's failures
-are added up by host. The rates of all hosts give a beta prior by their mean and
-variance; a host's rate is shrunk to it, so a host with few documents is near the
-mean. A host is bad in a rule when its shrunk rate is above ``host_limit``; its
-documents are then held to the rule's stricter ``soft`` form. Documents that break
-no soft form are kept whatever their host.
+Each rule has a limit, and a document that breaks one goes, wherever it is. Beyond that,
+each rule's failures are added up by host. The rates of all hosts give a beta prior by
+their mean and variance; a host's rate is shrunk to it, so a host with few documents is
+near the mean. How far a host's shrunk rate is above the mean says how strict its verdict
+is: a host with twice the failures of the others has half the room in that rule, down to
+the rule's soft limit. A host at or below the mean holds its documents to the limit itself.
 
 Counting runs in one pass over whole texts. Only (host, counts) rows are shuffled,
 after map-side sums, so a host with a third of all rows is no hot group. Null texts
 have no words; null hosts are one host; equal rows get equal verdicts; other columns,
-also ones with the names used here, do not matter.
+also ones with the names used here, do not matter. An empty table gives no row.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from ledgerspark.llm.common import ASCII_SPACE, map_batches, same, words_of
 from ledgerspark.sources.scratch import stable
 
 SYMBOLS = "#*$%&|<>"
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
 
 @dataclass(frozen=True)
@@ -39,8 +39,7 @@ class Limits:
     soft_min_words: int = 80
     soft_repeat_percent: int = 30
     soft_symbol_percent: int = 5
-    soft_dup_lines: int = 1
-    host_limit: float = 0.5
+    soft_dup_line_percent: int = 10
     max_strength: float = 1000.0
 
 
@@ -69,7 +68,7 @@ def repeat_words(words: list[bytes]) -> int:
     return int(covered.sum())
 
 
-def text_counts(text: str | None) -> tuple[int, int, int, int, int]:
+def text_counts(text: str | None) -> tuple[int, int, int, int, int, int]:
     text = text or ""
     words = words_of(text)
     lines = [line for line in text.split("\n") if line.strip(ASCII_SPACE)]
@@ -79,6 +78,7 @@ def text_counts(text: str | None) -> tuple[int, int, int, int, int]:
         sum(text.count(c) for c in SYMBOLS),
         len(lines) - len(set(lines)),
         repeat_words(words),
+        len(lines),
     )
 
 
@@ -94,69 +94,64 @@ def count_texts(docs: DataFrame, keys: list[str]) -> DataFrame:
     return map_batches(docs.select(*keys, "text"), work, schema)
 
 
-def hard_rules(limits: Limits) -> dict:
-    n, chars = F.col("n_words"), F.col("word_chars")
-    return {
-        "short": n < limits.min_words,
-        "repeats": 100 * F.col("n_repeat_words") > limits.repeat_percent * n,
-        "symbols": 100 * F.col("n_symbols") > limits.symbol_percent * chars,
-        "lines": 100 * F.col("n_dup_lines") > limits.dup_line_percent * n,
-    }
+RULES = ("short", "repeats", "symbols", "lines")
+
+
+def broken(limits: Limits, strict: dict | None = None) -> dict:
+    """For each rule whether a document breaks it; ``strict`` (1 or more) narrows the room towards the soft limit."""
+    room = {name: F.lit(1.0) if strict is None else strict[name] for name in RULES}
+    n = F.col("n_words")
+    least = F.least(limits.min_words * room["short"], F.lit(float(limits.soft_min_words)))
 
+    def above(count: str, of, percent: int, soft: int, name: str):
+        return 100 * F.col(count) > F.greatest(percent / room[name], F.lit(float(soft))) * of
 
-def soft_rules(limits: Limits) -> dict:
-    n, chars = F.col("n_words"), F.col("word_chars")
     return {
-        "short": n < limits.soft_min_words,
-        "repeats": 100 * F.col("n_repeat_words") > limits.soft_repeat_percent * n,
-        "symbols": 100 * F.col("n_symbols") > limits.soft_symbol_percent * chars,
-        "lines": F.col("n_dup_lines") >= limits.soft_dup_lines,
+        "short": n < least,
+        "repeats": above("n_repeat_words", n, limits.repeat_percent, limits.soft_repeat_percent, "repeats"),
+        "symbols": above("n_symbols", F.col("word_chars"), limits.symbol_percent, limits.soft_symbol_percent, "symbols"),
+        "lines": above("n_dup_lines", F.col("n_lines"), limits.dup_line_percent, limits.soft_dup_line_percent, "lines"),
     }
 
 
 def base_failed(limits: Limits):
-    rules = hard_rules(limits)
+    rules = broken(limits)
     return rules["short"] | rules["repeats"]
 
 
 def host_verdicts(counted: DataFrame, host: str, limits: Limits = Limits()) -> DataFrame:
-    """(host, n, and for each rule its shrunk failure rate and whether the host is bad in it).
+    """(host, n, and for each rule its shrunk failure rate and how strict the host's verdict is).
 
     ``counted`` has the host column and the counts. The prior is two numbers a rule.
     """
-    rules = hard_rules(limits)
     hosts = counted.groupBy(F.col(host).alias("host")).agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.sum(rule.cast("long")).alias(f"{name}_failed") for name, rule in rules.items()],
+        *[F.sum(rule.cast("long")).alias(f"{name}_failed") for name, rule in broken(limits).items()],
     )
-    rate = {name: F.col(f"{name}_failed") / F.col("n") for name in rules}
+    rate = {name: F.col(f"{name}_failed") / F.col("n") for name in RULES}
     prior = hosts.agg(
         *[F.avg(r).alias(f"{name}_mean") for name, r in rate.items()],
         *[F.var_samp(r).alias(f"{name}_var") for name, r in rate.items()],
     ).first().asDict()
     shrunk = hosts
-    for name in rules:
+    for name in RULES:
         mean, var = prior[f"{name}_mean"], prior[f"{name}_var"]
         mean = 0.0 if mean is None else float(mean)
         spread = limits.max_strength if not var else mean * (1 - mean) / float(var) - 1
         strength = min(max(spread, 1.0), limits.max_strength)
-        shrunk = shrunk.withColumn(
-            f"{name}_rate", (F.col(f"{name}_failed") + mean * strength) / (F.col("n") + strength)
-        ).withColumn(f"{name}_bad", F.col(f"{name}_rate") > limits.host_limit)
-    return shrunk.drop(*[f"{name}_failed" for name in rules])
+        rate = (F.col(f"{name}_failed") + mean * strength) / (F.col("n") + strength)
+        # six places, so that hosts at the mean are not above it by an error of the last bit
+        strict = F.greatest(F.round(rate / mean, 6), F.lit(1.0)) if mean else F.lit(1.0)
+        shrunk = shrunk.withColumn(f"{name}_rate", rate).withColumn(f"{name}_strict", strict)
+    return shrunk.drop(*[f"{name}_failed" for name in RULES])
 
 
 def judge(counted: DataFrame, verdicts: DataFrame, host: str, limits: Limits = Limits()) -> DataFrame:
     """``counted`` with base_failed and kept; a join on the host, which Spark splits where it is hot."""
-    soft = soft_rules(limits)
-    caught = None
-    for name, rule in soft.items():
-        one = F.col(f"v.{name}_bad") & rule
-        caught = one if caught is None else caught | one
-    return counted.alias("c").join(
-        verdicts.alias("v"), same(F.col(f"c.{host}"), F.col("v.host")), "left"
-    ).select("c.*", base_failed(limits).alias("base_failed"),
-             (~base_failed(limits) & ~F.coalesce(caught, F.lit(False))).alias("kept"))
+    joined = counted.alias("c").join(verdicts.alias("v"), same(F.col(f"c.{host}"), F.col("v.host")), "left")
+    rules = broken(limits, {name: F.coalesce(F.col(f"v.{name}_strict"), F.lit(1.0)) for name in RULES})
+    caught = rules["short"] | rules["repeats"] | rules["symbols"] | rules["lines"]
+    return joined.select("c.*", base_failed(limits).alias("base_failed"), (~caught).alias("kept"))
 
 
 def quality_rules(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:

@@ -15,7 +15,7 @@ again by quarters of its remaining bits, which loses no link either.
 
 Null and empty texts have fingerprint zero and are linked like others. Repeated rows
 and ties are in one group. A null doc_id is a member; a group without any id has a
-null component. Extra columns do not matter.
+null component. Extra columns do not matter. An empty table gives no row.
 """
 
 from __future__ import annotations

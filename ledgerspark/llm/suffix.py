@@ -24,7 +24,8 @@ back to bytes at the end. All of the above holds for words as it does for bytes.
 
 Texts are taken as UTF-8; nulls are empty; matches never cross documents. Documents are
 in order of doc_id (nulls first), then a hash of the text, and rows that repeat both are
-copies of each other. Texts under ``least`` bytes stay whole. Other columns do not matter.
+copies of each other. Texts under ``least`` bytes stay whole. Other columns do not matter. An empty
+table gives no row.
 """
 
 from __future__ import annotations

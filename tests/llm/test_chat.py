@@ -70,3 +70,17 @@ def test_odd_rows(spark):
     assert got == {None: [("user", 1, False), ("", 0, False)], 2: [("", 0, False)],
                    1: [("assistant", 1, True), ("assistant", 1, True), ("user", 500_000, False)]}
     assert chat.format_conversations(df.limit(0)).collect() == []
+
+
+def test_trained_text_is_what_the_flags_mark(spark):
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "\\a </turn>"), (1, 2, "user", "### "), (1, 3, "assistant", "\\0b")]
+    got = chat.format_conversations(spark.createDataFrame(rows, SCHEMA)).select(chat.trained_text().alias("t")).first()
+    assert got.t == "\\a </turn>\\0b"
+
+
+def test_very_many_turns(spark):
+    rows = spark.range(20_001).selectExpr("1L AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role",
+                                          "concat('turn ', id) AS text")
+    r = chat.read_back(chat.format_conversations(rows)).select("state", "valid", chat.trained_text().alias("t"), "turns").first()
+    assert r.valid and r.state == "user" and [t.text for t in r.turns] == [f"turn {i}" for i in range(20_001)]
+    assert r.t == "".join(f"turn {i}" for i in range(1, 20_001, 2))

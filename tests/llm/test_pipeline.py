@@ -44,6 +44,7 @@ def test_rules_stage(spark, steps):
     for r in judged:
         counts = rules.text_counts(next(d.text for d in before if d.doc_id == r.doc_id))
         assert r.base_failed == (counts[0] < 50 or 2 * counts[4] > counts[0])
+        assert not (r.kept and (10 * counts[2] > counts[1] or 10 * counts[3] > 3 * counts[5]))
         assert not (r.kept and r.base_failed)
     assert {r.doc_id for r in judged if r.kept} == {r.doc_id for r in after}
 
@@ -67,16 +68,30 @@ def test_near_dedup_stage(steps):
 
 
 def test_passage_stage(steps):
+    """Bytes first, then words of what is left, each by a plain table of all windows."""
     before, after = steps["suffix-array dedup"]
     docs = sorted((r.doc_id, r.text) for r in before)
     raw, gone = test_suffix.plain(docs, suffix.LEAST, keep_first=True)
-    got = {r.doc_id: r for r in after}
+    got, seen, cut = {r.doc_id: r for r in after}, set(), 0
     for (doc_id, _), data, flags in zip(docs, raw, gone):
-        kept = suffix.kept_bytes(data, [(int(i), int(i) + 1) for i in np.flatnonzero(flags)]).decode("utf-8", "ignore")
-        if kept.split() or not flags.any():
-            assert got[doc_id].text == kept and got[doc_id].n_chars == len(kept)
-        else:
+        left = suffix.kept_bytes(data, [(int(i), int(i) + 1) for i in np.flatnonzero(flags)]).decode("utf-8", "ignore")
+        words = left.encode().split()
+        if flags.any() and not words:
             assert doc_id not in got
+            continue
+        repeated = np.zeros(len(words), bool)
+        for at in range(len(words) - suffix.LEAST_WORDS + 1):
+            window = tuple(words[at:at + suffix.LEAST_WORDS])
+            repeated[at:at + suffix.LEAST_WORDS] |= window in seen
+            seen.add(window)
+        cut += int(repeated.sum())
+        want = [w for w, out in zip(words, repeated) if not out]
+        if repeated.any() and not want:
+            assert doc_id not in got
+            continue
+        assert got[doc_id].text.encode().split() == want and got[doc_id].n_chars == len(got[doc_id].text)
+        assert repeated.any() or got[doc_id].text == left
+    assert cut
 
 
 def test_packing_stage(spark, steps):
