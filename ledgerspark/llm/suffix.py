@@ -54,7 +54,7 @@ GRAM_WORDS = 12
 DENSE = 4096
 HUGE = 50_000
 #: Bytes of text in one suffix array.
-ARRAY_BYTES = 2 << 20
+ARRAY_BYTES = 1 << 20
 STRETCH = (1 << 20) - 4096
 BASE = 0x9E3779B97F4A7C15
 PLACE = np.uint64((1 << 20) - 1)
