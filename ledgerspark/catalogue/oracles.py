@@ -553,3 +553,21 @@ ORACLES["run_ledger_roundtrip"] = ORACLES["upstream_read_time"]
 ORACLES["cascade_refresh"] = ORACLES["cascade_totals"]
 ORACLES["run_absence"] = ORACLES["absence_calendar"]
 ORACLES["current_policies_period"] = f"""SELECT * FROM ({ORACLES["current_policies"]}) WHERE periodo = DATE '1997-01-01'"""
+ORACLES["typed_columns_rejects"] = """SELECT 'order_id' AS columna, count(*) FILTER (TRY_CAST(o_orderkey AS TINYINT) IS NULL) AS rechazados FROM orders
+UNION ALL SELECT 'emp_id', count(*) FILTER (TRY_CAST(o_custkey AS INTEGER) IS NULL) FROM orders
+UNION ALL SELECT 'prioridad_num', count(*) FILTER (TRY_CAST(o_orderpriority AS INTEGER) IS NULL) FROM orders
+UNION ALL SELECT 'estado', count(*) FILTER (TRY_CAST(o_orderstatus AS DATE) IS NULL) FROM orders"""
+# The run takes the policies of its own period instead of all orders.
+OWN_POLICIES = f"""policy AS (
+  SELECT id_poliza, id_certificado, id_poliza_origen, id_contratante, id_titular
+  FROM ({ORACLES["current_policies_period"]})),
+"""
+RUN_DIRECT = DIRECT[:DIRECT.index("policy AS (")] + OWN_POLICIES + DIRECT[DIRECT.index("joined AS ("):]
+ORACLES["run_published"] = f"""WITH {SPINE}, {PRODUCTS}, {LINES}, {PRODUCT_DIM}, {RUN_DIRECT},
+premium AS (SELECT * FROM direct),
+existing AS (SELECT id_poliza FROM policy),
+product AS (SELECT * FROM ranked WHERE ord = 1),
+{cascade_cte()}
+SELECT periodo_trim, count(*) AS filas, CAST(sum(mnt_usd) AS DECIMAL(38,2)) AS mnt_usd, CAST(0 AS BIGINT) AS tablas_de_corrida
+FROM casc GROUP BY periodo_trim
+UNION ALL SELECT NULL, count(*), CAST(sum(mnt_usd) AS DECIMAL(38,2)), CAST(0 AS BIGINT) FROM direct"""

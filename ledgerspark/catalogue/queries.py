@@ -20,11 +20,12 @@ from ledgerspark.params import Params
 from ledgerspark.plans import absence, cascade, dims, facts
 from ledgerspark.plans import premium as premium_plan
 from ledgerspark.plans.allocate import allocate
+from ledgerspark.plans.technical_result import run_technical_result
 from ledgerspark.sources.publish import publish_table, publish_version, read_asof, read_current
 from ledgerspark.sources.run_ledger import record_runs, upstream_asof
 from ledgerspark.sources.scratch import scratch_path
 from ledgerspark.sources.snapshots import shifted, snapshot_asof
-from ledgerspark.sources.tables import not_deleted, typed_mapping
+from ledgerspark.sources.tables import not_deleted, typed_mapping, typed_with_rejects
 from ledgerspark.sources.validity import publish_validity, read_validity
 from ledgerspark.streaming import cycle, orders
 
@@ -123,6 +124,35 @@ def technical_result(t: Tables) -> DataFrame:
     )
 
 
+@query
+def run_published(t: Tables) -> DataFrame:
+    """The published cascade and premium rows of a whole run, after a second run that failed; no run table is left."""
+    spark, target = t.spark, scratch_path(t.spark, "run")
+    work = "work_" + target[-12:]
+    spark.sql(f"CREATE DATABASE {work} LOCATION '{scratch_path(spark, 'work')}'")
+    sources = {
+        "producto": S.products(t), "ramo": S.lines(t), "poliza": S.certificates(t),
+        "bitacora_mc_poliza": S.journal(t), "equivalencia_canal": S.channels(t), "tasa_cambio": S.rates(t),
+        "produccion": S.production(t),
+    }
+    params = Params(START, END, date(1997, 1, 1), ERP_CUT)
+    run_technical_result(sources, params, target, work=work)
+    broken = sources | {"tasa_cambio": sources["tasa_cambio"].withColumn(
+        "val_tasa_cambio", F.raise_error(F.lit("broken")).cast("decimal(18,6)"))}
+    with suppress(Exception):
+        run_technical_result(broken, params, target, work=work)
+    left = spark.sql(f"SHOW TABLES IN {work}").count()
+    cascade_rows = read_current(spark, f"{target}/{params.table('distribucion_prima')}")
+    premium_rows = read_current(spark, f"{target}/{params.table('prima')}")
+    return cascade_rows.groupBy("periodo_trim").agg(
+        F.count(F.lit(1)).alias("filas"), F.sum("mnt_usd").cast("decimal(38,2)").alias("mnt_usd"),
+    ).unionByName(premium_rows.select(
+        F.lit(None).cast("date").alias("periodo_trim"), F.lit(1).alias("_one"), "mnt_usd",
+    ).groupBy("periodo_trim").agg(
+        F.count("_one").alias("filas"), F.sum("mnt_usd").cast("decimal(38,2)").alias("mnt_usd"),
+    )).withColumn("tablas_de_corrida", F.lit(left).cast("long"))
+
+
 def _direct_premium(t: Tables) -> DataFrame:
     products = S.products(t)
     return premium_plan.direct_premium(
@@ -310,6 +340,19 @@ def typed_columns(t: Tables) -> DataFrame:
     ], bad_values_to_null=True)
 
 
+@query
+def typed_columns_rejects(t: Tables) -> DataFrame:
+    """How many values of each column the casts made NULL, counted while the typed table was published."""
+    typed, seen = typed_with_rejects(t.orders, [
+        ("o_orderkey", "long", "order_id", "tinyint"),
+        ("o_custkey", "long", "emp_id", "int"),
+        ("o_orderpriority", "string", "prioridad_num", "int"),
+        ("o_orderstatus", "string", "estado", "date"),
+    ])
+    publish_version(typed, scratch_path(t.spark, "typed"))
+    return t.spark.createDataFrame(sorted(seen.get.items()), "columna string, rechazados long")
+
+
 @query
 def soft_delete_filter(t: Tables) -> DataFrame:
     kind = F.col("event_type")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -48,6 +48,20 @@ def typed_mapping(
     )
 
 
+def typed_with_rejects(df: DataFrame, mappings: Iterable[Mapping]) -> tuple[DataFrame, Observation]:
+    """``typed_mapping`` with bad values as NULL, and how many values of each target column that were.
+
+    The counts are taken while the frame is written or read and are known (``.get``) after
+    that; no job of their own is run.
+    """
+    mappings, seen = list(mappings), Observation()
+    rejected = [
+        F.count_if(F.col(source).isNotNull() & F.col(source).try_cast(kind).isNull()).alias(target)
+        for source, _, target, kind in mappings
+    ]
+    return typed_mapping(df.observe(seen, *rejected), mappings, bad_values_to_null=True), seen
+
+
 def not_deleted(df: DataFrame, flag: str = "anulado") -> DataFrame:
     """Rows whose soft-delete flag is 0; an unknown flag counts as deleted."""
     return df.where(F.col(flag) == 0)

@@ -357,7 +357,7 @@ def test_employee_master_links(spark, rows):
 
 # Their results are read from what they wrote; other tests cover their steps.
 WRITERS = {"publish_roundtrip", "publish_versions", "run_ledger_roundtrip", "stream_changes", "stream_sync", "sync_retry",
-           "stream_moved_dates", "snapshot_versions", "cascade_refresh", "run_absence", "run_params"}
+           "stream_moved_dates", "snapshot_versions", "cascade_refresh", "run_absence", "run_params", "run_published", "typed_columns_rejects"}
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in WRITERS])
