@@ -6,7 +6,6 @@ from collections import Counter
 
 import pytest
 from oracle import compare
-from pyspark.sql import functions as F
 
 from ledgerspark.llm import rules
 
