@@ -546,6 +546,7 @@ FROM premium GROUP BY ALL""",
 FROM orders WHERE o_orderstatus IN ('F', 'O') AND EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""",
     "stream_changes": SENT_ONCE,
     "stream_moved_dates": SENT_ONCE,
+    "stream_items": SENT_ONCE,
     "sync_retry": SENT_ONCE,
 }
 ORACLES["publish_versions"] = ORACLES["publish_roundtrip"]

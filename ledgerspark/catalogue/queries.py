@@ -640,6 +640,26 @@ def stream_moved_dates(t: Tables) -> DataFrame:
     return inbox.sent()
 
 
+@query
+def stream_items(t: Tables) -> DataFrame:
+    """Orders and items as two streams in three arrivals: orders before, between and after their items."""
+    spark, path = t.spark, scratch_path(t.spark, "items")
+    store, items = cycle.Store(f"{path}/store"), S.sync_items(t)
+    counts = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("n_items"))
+    rows = S.sync_orders(t).join(counts, "order_id", "left")
+    third = F.col("order_id").cast("long") % 3
+    for arrival in range(3):
+        rows.where(third == arrival).write.mode("append").parquet(f"{path}/orders")
+        items.where(F.col("line_no") % 3 == arrival).write.mode("append").parquet(f"{path}/lines")
+        cycle.order_stream(
+            spark.readStream.schema(rows.schema).parquet(f"{path}/orders"),
+            spark.readStream.schema(items.schema).parquet(f"{path}/lines"),
+            store, "orders", ["F", "O"], None, f"{path}/checkpoint",
+        ).awaitTermination()
+    status = orders.current_status(cycle.read_log(spark, store)).select("order_id", "status")
+    return _sent(spark, store).join(status, "order_id")
+
+
 @query
 def sync_retry(t: Tables) -> DataFrame:
     """A publisher that breaks before it sends, then settling that breaks after it sent; each is run again."""

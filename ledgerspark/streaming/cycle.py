@@ -12,13 +12,18 @@ order that comes again is found whatever else about it changed, and the history
 read where it lies, only the orders at hand are shuffled to its buckets. Both are brought
 up to date when a run ends. A run that did not get there is named in ``open_runs`` and is
 finished by the next cycle. The
-small tables that change (inbox, state, open runs) have two slots: a new version goes
+small tables that change (inbox, waiting items, state, open runs) have two slots: a new version goes
 to the older slot, so the newest complete one can always be read.
 
 A run is rolled back only before its publisher was entered. After that its messages
 may have gone out: what the publisher reported is stored first and settled from
 there, and what it did not report stays PROCESSING for ``orphans`` or for a repeat of
 the same run, which sends the same correlation ids.
+
+Items may come as a stream of their own. Orders and items then meet in a join of the
+two streams, whatever comes first, and wait there in its state for a bounded time; what
+met, and what waited that long alone, goes to the inbox and to the waiting items. An
+order is claimed when as many items as it declares are there.
 """
 
 from __future__ import annotations
@@ -58,6 +63,10 @@ OPEN_RUNS = columns("run string")
 OUTCOMES = columns(f"{O.OUTCOME_SCHEMA}, parts int")
 # Of the table of dispatched ids; a store keeps the number it was begun with.
 BUCKETS = 16
+# How far the clock may step back between two micro-batches, as on another driver.
+CLOCK_STEP = "10 minutes"
+# What tells the items of an order apart.
+ITEM_KEY = ("order_id", "line_no")
 
 
 @dataclass(frozen=True)
@@ -67,8 +76,8 @@ class Store:
     path: str
 
     def __getattr__(self, name: str) -> str:
-        if name not in ("log", "staging", "messages", "inbox", "details", "outcomes", "sending", "open_runs", "state",
-                        "dispatched"):
+        if name not in ("log", "staging", "messages", "inbox", "waiting_items", "details", "outcomes", "sending",
+                        "open_runs", "state", "dispatched"):
             raise AttributeError(name)
         return f"{self.path}/{name}"
 
@@ -292,6 +301,20 @@ def run_cycle(
     return True
 
 
+def _take_in(arrivals: DataFrame, store: Store, path: str, batch: str, key: list[str], version: list[str]) -> DataFrame:
+    """The latest arrival of each key among this batch and what waits at ``path``, without dispatched orders."""
+    spark = arrivals.sparkSession
+    schema = StructType([*arrivals.schema.fields, *columns("arrived string").fields])
+    waiting, _, slot = _load(spark, path, schema, batch)
+    both = waiting.unionByName(arrivals.withColumn("arrived", F.lit(batch)))
+    rest = [c for c in schema.names if c not in key]
+    later = F.struct(*version, "arrived", *[c for c in rest if c != "arrived"])
+    latest = both.groupBy(*key).agg(F.max_by(F.struct(*rest), later).alias("o")).select(*key, "o.*")
+    open_now = without_dispatched(latest.select(*schema.names), store)
+    target = _save(open_now, path, batch, slot)
+    return spark.read.parquet(target).where("_there").select(*arrivals.columns)
+
+
 def take_in(arrivals: DataFrame, store: Store, batch: str, version: list[str] | None = None) -> DataFrame:
     """Orders that wait to be published: the latest arrival of each, of this batch and the ones before.
 
@@ -300,16 +323,43 @@ def take_in(arrivals: DataFrame, store: Store, batch: str, version: list[str] |
     their other columns, so a replay takes the same one. Whether an order was published
     is told by the dispatched ids alone; those leave the inbox.
     """
-    spark = arrivals.sparkSession
-    schema = StructType([*arrivals.schema.fields, *columns("arrived string").fields])
-    waiting, _, slot = _load(spark, store.inbox, schema, batch)
-    both = waiting.unionByName(arrivals.withColumn("arrived", F.lit(batch)))
-    later = F.struct(*(version or []), "arrived", *[c for c in arrivals.columns if c != "order_id"])
-    rest = F.struct(*[c for c in schema.names if c != "order_id"])
-    latest = both.groupBy("order_id").agg(F.max_by(rest, later).alias("o")).select("order_id", "o.*")
-    open_now = without_dispatched(latest.select(*schema.names), store)
-    path = _save(open_now, store.inbox, batch, slot)
-    return spark.read.parquet(path).where("_there").select(*arrivals.columns)
+    return _take_in(arrivals, store, store.inbox, batch, ["order_id"], version or [])
+
+
+def take_in_items(arrivals: DataFrame, store: Store, batch: str) -> DataFrame:
+    """Items of orders that are not dispatched: the latest arrival of each order and line."""
+    return _take_in(arrivals, store, store.waiting_items, batch, list(ITEM_KEY), [])
+
+
+def unmatched_items(spark: SparkSession, store: Store, items: StructType, orders: StructType) -> DataFrame:
+    """Waiting items whose order is not in the inbox, for reports; with the schemas of both streams."""
+    arrived = columns("arrived string").fields
+    waiting = _load(spark, store.waiting_items, StructType([*items.fields, *arrived]))[0]
+    inbox = _load(spark, store.inbox, StructType([*orders.fields, *arrived]))[0]
+    return waiting.join(inbox.select("order_id"), "order_id", "left_anti")
+
+
+def meet(orders: DataFrame, items: DataFrame, within: str, clock_step: str = CLOCK_STEP) -> DataFrame:
+    """Orders and items of two streams as pairs of structs ``order`` and ``item``, whichever comes first.
+
+    A pair comes out as soon as both are there. What found no partner within that
+    time comes out alone, with the other side null, so nothing is lost and the state
+    holds no more than that time. Time is that of arrival: no row is late, and the rows'
+    own columns, which may be null, do not matter. Rows without an order id come out alone.
+
+    The state is let go by the slower of the two streams; with the session's
+    ``spark.sql.streaming.multipleWatermarkPolicy`` set to ``max`` by the faster one, which
+    is right here because both go by one clock.
+    """
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(
+            F.struct("*").alias(name), F.col("order_id").alias(f"_{name}_id"),
+            F.current_timestamp().alias(f"_{name}_at")).withWatermark(f"_{name}_at", clock_step)
+
+    wait, ordered = F.expr(f"INTERVAL '{within}'"), F.col("_order_at")
+    near = F.col("_item_at").between(ordered - wait, ordered + wait)
+    return side(orders, "order").join(
+        side(items, "item"), (F.col("_order_id") == F.col("_item_id")) & near, "full_outer").select("order", "item")
 
 
 def order_stream(
@@ -325,11 +375,17 @@ def order_stream(
     publisher: Publisher | None = None,
     replay_safe: bool = True,
     version: list[str] | None = None,
+    wait: str = "1 day",
+    clock_step: str = CLOCK_STEP,
 ) -> StreamingQuery:
     """Publish a stream of orders, one cycle per micro-batch.
 
     ``items`` is a function that reads the items as they are when a micro-batch runs,
-    or a frame when they never change. ``trigger`` is passed on to Spark
+    a frame when they never change, or a stream: see ``meet``, which holds orders and
+    items for ``wait`` until they meet. Of a streamed item that comes again under the same
+    order and line the later one counts; one that comes after its order was dispatched is
+    left out. An order is complete with ``n_items`` items, or with any where it has no such
+    column or a null in it. ``trigger`` is passed on to Spark
     (``{"processingTime": "5 minutes"}``); the default works off what is there and
     stops. The source's own rate option, such as ``maxFilesPerTrigger``, bounds what a
     micro-batch takes in. Orders that are not eligible yet, lack items, are left by
@@ -347,16 +403,31 @@ def order_stream(
             .drop("_arrived")
         )
 
-    def cycle(batch: DataFrame, batch_id: int) -> None:
-        run_id = f"b{batch_id:012d}"
-        inbox = take_in(batch, store, run_id, version)
+    streamed = isinstance(items, DataFrame) and items.isStreaming
+    if streamed:
+        arrivals = meet(arrivals, items, wait, clock_step)
+
+    def run(inbox: DataFrame, held: Items, run_id: str) -> None:
         # The run time is part of the message ids: a repeated batch must use the same.
-        claimed = read_run(batch.sparkSession, store, f"{flow}-{run_id}").where(F.col("status") == PROCESSING)
+        claimed = read_run(inbox.sparkSession, store, f"{flow}-{run_id}").where(F.col("status") == PROCESSING)
         run_ts = claimed.agg(F.max("run_ts")).first()[0] or datetime.now(timezone.utc)
         run_cycle(
-            inbox, items, store, flow, run_id, run_ts, eligible, batch_size, publisher, replay_safe
+            inbox, held, store, flow, run_id, run_ts, eligible, batch_size, publisher, replay_safe
         )
 
+    def cycle(batch: DataFrame, batch_id: int) -> None:
+        run_id = f"b{batch_id:012d}"
+        if not streamed:
+            run(take_in(batch, store, run_id, version), items, run_id)
+            return
+        batch.persist()  # the join's state is gone through once
+        try:
+            inbox = take_in(batch.where("order IS NOT NULL").select("order.*"), store, run_id, version)
+            held = take_in_items(batch.where("item IS NOT NULL").select("item.*"), store, run_id)
+        finally:
+            batch.unpersist()
+        run(inbox, held, run_id)
+
     writer = (
         arrivals.writeStream.foreachBatch(cycle)
         .option("checkpointLocation", checkpoint)

@@ -1,8 +1,10 @@
 import json
+import time
 from datetime import datetime, timedelta
 from decimal import Decimal as D
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from ledgerspark.constants import DISPATCHED, FAILED, PENDING, PROCESSING, SUCCEEDED
@@ -338,3 +340,96 @@ def test_run_tables_are_dropped_whatever_happens(spark):
             raise RuntimeError("job failed")
     assert spark.sql("SHOW TABLES IN res").where("NOT isTemporary").count() == 1
     assert drop_run_tables(spark, "res", "run10") == ["run10_x"]
+
+
+DECLARED = f"{ORDERS}, n_items int"
+
+
+def declared_rows(spark, **counts):
+    return spark.createDataFrame([(i, T0, "OK", n) for i, n in counts.items()], DECLARED)
+
+
+class TwoStreams:
+    """Orders and items arriving in two folders, with a stream over both."""
+
+    def __init__(self, spark, path, **options):
+        self.spark, self.path, self.options = spark, path, options
+        self.store = cycle.Store(f"{path}/s")
+
+    def arrive(self, orders=None, items=None, **options):
+        none = {"orders": declared_rows(self.spark, x=1).limit(0), "items": item_rows(self.spark, x=1).limit(0)}
+        for name, rows in (("orders", orders), ("items", items)):
+            rows = none[name] if rows is None else rows
+            rows.coalesce(1).write.mode("append").parquet(f"{self.path}/{name}")
+        streams = [self.spark.readStream.schema(none[n].schema).parquet(f"{self.path}/{n}") for n in none]
+        cycle.order_stream(*streams, self.store, "f", ["OK"], None, f"{self.path}/cp",
+                           **{**self.options, **options}).awaitTermination()
+
+    def sent(self):
+        rows = read_messages(self.spark, self.store)
+        assert len({r.order_id for r in rows}) == len(rows)
+        return {r.order_id: [i["sku"] for i in json.loads(r.message)["data"]["items"]] for r in rows}
+
+
+def read_messages(spark, store):
+    return cycle.read_or_empty(
+        spark, store.messages, cycle.columns("order_id string, message string")).collect()
+
+
+def test_orders_and_items_as_two_streams(spark, tmp_path):
+    both, line = TwoStreams(spark, str(tmp_path)), F.col("line_no")
+    items = item_rows(spark, a=2, b=2, c=1, d=2)
+    both.arrive(declared_rows(spark, a=2, c=1), items.where("order_id = 'b' or order_id = 'c'"))
+    assert both.sent() == {"c": ["s0"]}
+    both.arrive(declared_rows(spark, b=2, d=2), items.where((F.col("order_id") != "b") & (line == 0)))
+    assert both.sent() == {"c": ["s0"], "b": ["s0", "s1"]}
+    # an item comes again, changed; one of a dispatched order comes again
+    again = items.where((F.col("order_id") != "d") & (line == 0)).withColumn("sku", F.lit("new"))
+    both.arrive(items=items.where("order_id = 'a' and line_no = 1").unionByName(again))
+    assert both.sent() == {"c": ["s0"], "b": ["s0", "s1"], "a": ["new", "s1"]}
+    both.arrive(declared_rows(spark, d=1))  # a later arrival of the order declares fewer
+    assert both.sent()["d"] == ["s0"] and set(statuses(spark, both.store).values()) == {DISPATCHED}
+
+
+def test_two_streams_after_the_wait(spark, tmp_path):
+    """What waited in vain leaves the state and goes on waiting in the store."""
+    both = TwoStreams(spark, str(tmp_path), wait="1 second", clock_step="0 seconds")
+    items = item_rows(spark, a=1, b=1)
+    both.arrive(declared_rows(spark, a=1), items.where("order_id = 'b'"))
+    for _ in range(2):  # both clocks move past the wait
+        time.sleep(2)
+        both.arrive(declared_rows(spark, y=1), item_rows(spark, z=1))
+    left = cycle.unmatched_items(spark, both.store, items.schema, declared_rows(spark, a=1).schema)
+    assert "b" in {r.order_id for r in left.collect()} and both.sent() == {}
+    both.arrive(declared_rows(spark, b=1), items.where("order_id = 'a'"))
+    for _ in range(2):
+        time.sleep(2)
+        both.arrive(declared_rows(spark, y=1), item_rows(spark, z=1))
+    assert both.sent() == {"a": ["s0"], "b": ["s0"]}
+
+
+def test_two_streams_broken_batch_is_run_again(spark, tmp_path):
+    both = TwoStreams(spark, str(tmp_path))
+
+    def broken(messages):
+        raise RuntimeError("broker")
+
+    with pytest.raises(StreamingQueryException):
+        both.arrive(declared_rows(spark, a=1, b=2), item_rows(spark, a=1, b=1), publisher=broken)
+    assert both.sent() == {} and statuses(spark, both.store) == {"a": PROCESSING}
+    both.arrive(items=item_rows(spark, b=2).where("line_no = 1"))
+    assert both.sent() == {"a": ["s0"], "b": ["s0", "s1"]}
+
+
+def test_two_streams_null_and_undeclared(spark, tmp_path):
+    """Rows without an order id wait; an order that declares nothing goes out with the items that are there."""
+    both = TwoStreams(spark, str(tmp_path), wait="1 second", clock_step="0 seconds")
+    nobody = spark.createDataFrame([(None, 0, "s", 1, D(1))], ITEMS)
+    orders = spark.createDataFrame([(None, None, "OK", 1), ("a", None, "OK", None)], DECLARED)
+    both.arrive(orders, nobody.unionByName(item_rows(spark, a=1)))
+    for _ in range(2):
+        time.sleep(2)
+        both.arrive(declared_rows(spark, y=1), item_rows(spark, z=1))
+    assert both.sent() == {"a": ["s0"]}
+    left = cycle.unmatched_items(spark, both.store, nobody.schema, orders.schema)
+    assert None in {r.order_id for r in left.collect()}
