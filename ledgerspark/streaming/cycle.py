@@ -65,8 +65,6 @@ OUTCOMES = columns(f"{O.OUTCOME_SCHEMA}, parts int")
 BUCKETS = 16
 # How far the clock may step back between two micro-batches, as on another driver.
 CLOCK_STEP = "10 minutes"
-# What tells the items of an order apart.
-ITEM_KEY = ("order_id", "line_no")
 
 
 @dataclass(frozen=True)
@@ -326,9 +324,14 @@ def take_in(arrivals: DataFrame, store: Store, batch: str, version: list[str] |
     return _take_in(arrivals, store, store.inbox, batch, ["order_id"], version or [])
 
 
-def take_in_items(arrivals: DataFrame, store: Store, batch: str) -> DataFrame:
-    """Items of orders that are not dispatched: the latest arrival of each order and line."""
-    return _take_in(arrivals, store, store.waiting_items, batch, list(ITEM_KEY), [])
+def take_in_items(arrivals: DataFrame, store: Store, batch: str, key: list[str] | None = None) -> DataFrame:
+    """Items of orders that are not dispatched: the latest arrival of each.
+
+    ``key`` names the columns that tell the items of an order apart. Without it all do:
+    equal rows are one item that came again, rows that differ are two.
+    """
+    told = [c for c in key or arrivals.columns if c != "order_id"]
+    return _take_in(arrivals, store, store.waiting_items, batch, ["order_id", *told], [])
 
 
 def unmatched_items(spark: SparkSession, store: Store, items: StructType, orders: StructType) -> DataFrame:
@@ -375,6 +378,7 @@ def order_stream(
     publisher: Publisher | None = None,
     replay_safe: bool = True,
     version: list[str] | None = None,
+    item_key: list[str] | None = None,
     wait: str = "1 day",
     clock_step: str = CLOCK_STEP,
 ) -> StreamingQuery:
@@ -382,9 +386,9 @@ def order_stream(
 
     ``items`` is a function that reads the items as they are when a micro-batch runs,
     a frame when they never change, or a stream: see ``meet``, which holds orders and
-    items for ``wait`` until they meet. Of a streamed item that comes again under the same
-    order and line the later one counts; one that comes after its order was dispatched is
-    left out. An order is complete with ``n_items`` items, or with any where it has no such
+    items for ``wait`` until they meet. ``item_key`` tells the items of an order apart, as in
+    ``take_in_items``: of one that comes again the later arrival counts, and one that comes
+    after its order was dispatched is left out. An order is complete with ``n_items`` items, or with any where it has no such
     column or a null in it. ``trigger`` is passed on to Spark
     (``{"processingTime": "5 minutes"}``); the default works off what is there and
     stops. The source's own rate option, such as ``maxFilesPerTrigger``, bounds what a
@@ -423,7 +427,7 @@ def order_stream(
         batch.persist()  # the join's state is gone through once
         try:
             inbox = take_in(batch.where("order IS NOT NULL").select("order.*"), store, run_id, version)
-            held = take_in_items(batch.where("item IS NOT NULL").select("item.*"), store, run_id)
+            held = take_in_items(batch.where("item IS NOT NULL").select("item.*"), store, run_id, item_key)
         finally:
             batch.unpersist()
         run(inbox, held, run_id)

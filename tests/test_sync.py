@@ -377,7 +377,7 @@ def read_messages(spark, store):
 
 
 def test_orders_and_items_as_two_streams(spark, tmp_path):
-    both, line = TwoStreams(spark, str(tmp_path)), F.col("line_no")
+    both, line = TwoStreams(spark, str(tmp_path), item_key=["line_no"]), F.col("line_no")
     items = item_rows(spark, a=2, b=2, c=1, d=2)
     both.arrive(declared_rows(spark, a=2, c=1), items.where("order_id = 'b' or order_id = 'c'"))
     assert both.sent() == {"c": ["s0"]}
@@ -417,8 +417,10 @@ def test_two_streams_broken_batch_is_run_again(spark, tmp_path):
     with pytest.raises(StreamingQueryException):
         both.arrive(declared_rows(spark, a=1, b=2), item_rows(spark, a=1, b=1), publisher=broken)
     assert both.sent() == {} and statuses(spark, both.store) == {"a": PROCESSING}
-    both.arrive(items=item_rows(spark, b=2).where("line_no = 1"))
-    assert both.sent() == {"a": ["s0"], "b": ["s0", "s1"]}
+    both.arrive(items=item_rows(spark, b=1))  # comes again, which does not make it two
+    assert both.sent() == {"a": ["s0"]}
+    both.arrive(items=item_rows(spark, b=1).withColumn("sku", F.lit("other")))  # another item of the same line
+    assert both.sent() == {"a": ["s0"], "b": ["other", "s0"]}
 
 
 def test_two_streams_null_and_undeclared(spark, tmp_path):
