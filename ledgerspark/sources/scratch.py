@@ -4,9 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerspark.sources.files import delete
+
+#: Folders made in the innermost open scope of this thread.
+_made: ContextVar[list[str] | None] = ContextVar("_made", default=None)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
@@ -29,7 +37,8 @@ def stable(df: DataFrame) -> DataFrame:
     """``df`` computed once, written to the shared folder and read back.
 
     Later reads agree with each other, survive the loss of executors, and take
-    only the columns they need. The folder can go when the application ends.
+    only the columns they need. The folder goes with the scope it is made in
+    (``scratch_scope``); outside of one it can go when the application ends.
     """
     path = scratch_path(df.sparkSession, "stable")
     df.write.parquet(path)
@@ -39,4 +48,33 @@ def stable(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """New folder name under the shared folder."""
     application = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/{application}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{application}/{name}-{uuid.uuid4().hex}"
+    made = _made.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch folders made inside at the end, whether it succeeds or not.
+
+    For work whose results are written elsewhere: no DataFrame made inside may be used later.
+    """
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for path in made:
+            delete(spark, path)
+
+
+def settled(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` returns, as ``stable`` gives it; the scratch it needed on the way goes."""
+    path = scratch_path(spark, "settled")
+    with scratch_scope(spark):
+        df = make()
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
