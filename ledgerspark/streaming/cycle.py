@@ -40,6 +40,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ledgerspark.constants import DISPATCHED, PROCESSING
+from ledgerspark.sources import files
 from ledgerspark.sources.publish import drop_partition, read_or_empty, replace_partition
 from ledgerspark.streaming import orders as O
 
@@ -63,6 +64,8 @@ OPEN_RUNS = columns("run string")
 OUTCOMES = columns(f"{O.OUTCOME_SCHEMA}, parts int")
 # Of the table of dispatched ids; a store keeps the number it was begun with.
 BUCKETS = 16
+# Files a bucket of that table before it is written anew.
+FILES = 64
 # How far the clock may step back between two micro-batches, as on another driver.
 CLOCK_STEP = "10 minutes"
 
@@ -162,14 +165,46 @@ def read_state(spark: SparkSession, store: Store) -> DataFrame:
     return _load(spark, store.state, STATE)[0]
 
 
-def dispatched_ids(spark: SparkSession, store: Store) -> str:
-    """Name of the table of dispatched ids; the catalog learns of it in each session that has not met it."""
-    name = f"dispatched_{hashlib.sha256(store.path.encode()).hexdigest()[:24]}"
+def _generations(spark: SparkSession, store: Store) -> tuple[int, list[int]]:
+    """The generation of the table of dispatched ids that holds, and all that have a folder.
+
+    The first is there from the start, a later one from when it is whole.
+    """
+    numbers = sorted(int(n[2:]) for n in files.names(spark, store.dispatched) if n.startswith("g="))
+    whole = [n for n in numbers if n and files.exists(spark, f"{store.dispatched}/g={n}/_SUCCESS")]
+    return max([0, *whole]), numbers
+
+
+def _ids_table(spark: SparkSession, store: Store, number: int) -> str:
+    name = f"dispatched_{hashlib.sha256(store.path.encode()).hexdigest()[:24]}_{number}"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (order_id STRING) USING parquet CLUSTERED BY (order_id) "
-              f"SORTED BY (order_id) INTO {BUCKETS} BUCKETS LOCATION '{store.dispatched}'")
+              f"SORTED BY (order_id) INTO {BUCKETS} BUCKETS LOCATION '{store.dispatched}/g={number}'")
     return name
 
 
+def dispatched_ids(spark: SparkSession, store: Store) -> str:
+    """Name of the table of dispatched ids; the catalog learns of it in each session that has not met it."""
+    return _ids_table(spark, store, _generations(spark, store)[0])
+
+
+def compact_dispatched(spark: SparkSession, store: Store, most: int | None = None) -> bool:
+    """Write the dispatched ids anew, each once and one file a bucket, if there are more than ``most`` files a bucket.
+
+    The new generation holds from when it is whole, so a failure on the way changes nothing.
+    The former one stays for those who still read it, until the next time.
+    """
+    number, known = _generations(spark, store)
+    ids = spark.table(_ids_table(spark, store, number))
+    if len(ids.inputFiles()) <= (FILES if most is None else most) * BUCKETS:
+        return False
+    for old in known:
+        if old != number:
+            spark.sql(f"DROP TABLE IF EXISTS {_ids_table(spark, store, old)}")
+            files.delete(spark, f"{store.dispatched}/g={old}")
+    ids.distinct().repartition(BUCKETS, "order_id").write.insertInto(_ids_table(spark, store, number + 1))
+    return True
+
+
 def without_dispatched(orders: DataFrame, store: Store) -> DataFrame:
     """Orders that were not dispatched; the table of ids is read by its buckets and not shuffled."""
     known = orders.sparkSession.table(dispatched_ids(orders.sparkSession, store))
@@ -209,6 +244,7 @@ def _finish(spark: SparkSession, store: Store, key: str, flow: str, clock: Calla
         elif not done and not _marked(spark, store.sending, key):
             append_log(O.rollback_run(own, flow, claim[0], clock()), store, flow, run_id, ROLLED_BACK)
     _compact(spark, store, key)
+    compact_dispatched(spark, store)
     _open_runs(spark, store, drop=key)
 
 

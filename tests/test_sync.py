@@ -248,6 +248,39 @@ def test_dispatched_ids_are_not_shuffled(spark, tmp_path):
     assert plan.count("Exchange") == 1 and "SelectedBucketsCount: 16 out of 16" in plan and ", 16)" in plan
 
 
+def test_dispatched_ids_are_compacted(spark, tmp_path, monkeypatch):
+    store = cycle.Store(f"{tmp_path}/s")
+
+    def add(*ids):
+        spark.createDataFrame([(i,) for i in ids], "order_id string").repartition(
+            cycle.BUCKETS, "order_id").write.insertInto(cycle.dispatched_ids(spark, store))
+
+    def known():
+        return sorted(r.order_id for r in spark.table(cycle.dispatched_ids(spark, store)).collect())
+
+    ids = [f"o{n:03}" for n in range(200)]
+    for _ in range(3):
+        add(*ids)
+    assert len(known()) == 600 and not cycle.compact_dispatched(spark, store)
+    # a generation that broke off does not hold, and is written anew
+    spark.createDataFrame([("zz",)], "order_id string").write.parquet(f"{store.dispatched}/g=1")
+    (tmp_path / "s/dispatched/g=1/_SUCCESS").unlink()
+    assert len(known()) == 600
+    assert cycle.compact_dispatched(spark, store, 2) and known() == ids
+    assert len(spark.table(cycle.dispatched_ids(spark, store)).inputFiles()) == cycle.BUCKETS
+    assert not cycle.compact_dispatched(spark, store, 2)
+    add("p1")
+    assert cycle.compact_dispatched(spark, store, 1) and known() == [*ids, "p1"]
+    assert sorted(p.name for p in (tmp_path / "s/dispatched").iterdir()) == ["g=1", "g=2"]
+    # as part of the cycle
+    monkeypatch.setattr(cycle, "FILES", 1)
+    items = item_rows(spark, a=1, b=1, c=1)
+    for n, new in enumerate("abc"):
+        orders = order_rows(spark, *"abc"[:n + 1])
+        assert cycle.run_cycle(orders, items, store, "f", f"r{n}", T0 + timedelta(hours=n), ["OK"], None)
+    assert spark.read.parquet(store.messages).count() == 3 and known() == ["a", "b", "c", *ids, "p1"]
+
+
 def test_flows_share_staging_without_interference(spark, tmp_path):
     store = cycle.Store(f"{tmp_path}/s")
     orders = order_rows(spark, "a", "b")
