@@ -1,7 +1,8 @@
 """Corpus pipeline: from documents to token batches in five stages.
 
 Each stage takes (spark, docs, sf_dir) and works on all its predecessor kept; its result
-is written and read again as the next one's docs. All but the last return the columns
+is written and read again as the next one's docs, and then what it was made from, its
+predecessor's result and its own scratch, is deleted. All but the last return the columns
 of documents:
 
 1. quality rules: documents that fail the rules, or their host's stricter form, go;
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerspark.llm import cotrain, packing, pieces, rules, simhash, suffix
 from ledgerspark.llm.common import table
 from ledgerspark.llm.queries import PIECE_MODEL
-from ledgerspark.sources.scratch import stable
+from ledgerspark.sources.scratch import settled
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -41,7 +42,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return suffix.drop_passages(stable(suffix.drop_passages(docs)), suffix.LEAST_WORDS, suffix.WORDS)
+    left = settled(spark, lambda: suffix.drop_passages(docs))
+    return suffix.drop_passages(left, suffix.LEAST_WORDS, suffix.WORDS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,9 +63,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for position, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if position < len(STAGES) - 1:
-            docs = stable(docs)
-    return docs
+    def after(stages: int) -> DataFrame:
+        if not stages:
+            return table(spark, sf_dir, "documents")
+        stage = STAGES[stages - 1][1]
+        return settled(spark, lambda: stage(spark, after(stages - 1), sf_dir))
+
+    return STAGES[-1][1](spark, after(len(STAGES) - 1), sf_dir)
