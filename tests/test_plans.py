@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerspark.catalogue.queries import QUERIES
 from ledgerspark.plans import absence, allocate, cascade, dims, facts
 from ledgerspark.plans.premium import direct_premium, months_before
+from ledgerspark.sources.publish import publish_table
 
 PREMIUM = (
     "periodo date, des_cuenta_agrupador_1 string, des_cuenta_agrupador_2 string, "
@@ -80,6 +81,18 @@ def test_cascade_invariants(spark):
                      | (F.col("periodo") < F.add_months("periodo_trim", -2))).count() == 0
 
 
+def test_rows_are_shuffled_before_they_are_repeated_for_their_windows(spark, tmp_path, rows):
+    premium, policies, product = sample(spark)
+    out = cascade.cascade_totals(premium, policies, product, START, END)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert -1 < plan.index("Generate explode") < plan.index("Exchange")
+    laid_out = cascade.cascade_totals(premium, policies, product, START, END, lay_out_by=["periodo"])
+    plan = laid_out._jdf.queryExecution().executedPlan().toString()
+    assert -1 < plan.index("Generate explode") < plan.index("Exchange")
+    publish_table(laid_out, str(tmp_path / "cascade"), ["periodo"], laid_out=True)
+    assert rows(spark.read.schema(out.schema).parquet(str(tmp_path / "cascade")).select(*out.columns)) == rows(out)
+
+
 def test_cancelled_certificate_stays_with_zero(spark):
     premium = spark.createDataFrame(
         [movement(3, "L", "p1", "pol1", "1", "USD", 10), movement(3, "L", "p1", "pol1", "1", "USD", -10),
