@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-
+from ledgerspark.catalogue import standins as S
 from ledgerspark.catalogue.queries import QUERIES
 from ledgerspark.plans import absence, allocate, cascade, dims, facts
 from ledgerspark.plans.premium import direct_premium, months_before
@@ -150,6 +150,25 @@ def test_amounts_of_a_group_are_spread_together(spark, rows):
     assert rows(allocate.allocate(amounts, base, product, START, END, range_rows=7)) == rows(out)
 
 
+def test_every_amount_of_the_query_comes_back_whole(spark, rows):
+    folder = "/root/testdata/sf0.001"
+    amounts = S.amounts(S.Tables(spark, folder)).select("id_monto", "monto")
+    assert amounts.count() > 1000
+    out = QUERIES["cascade_allocate"](spark, folder)
+    assert rows(out.groupBy("id_monto").agg(F.sum("asignado").cast("decimal(18,2)"))) == rows(amounts)
+
+
+def test_only_rows_within_reach_are_placed(spark, rows, monkeypatch):
+    premium, policies, product = sample(spark, seed=9, count=3000)
+    base, _ = cascade.written_base(premium, policies, START, END)
+    placed, running = [], allocate.running_totals
+    monkeypatch.setattr(allocate, "running_totals", lambda df, *more: placed.append(df) or running(df, *more))
+    one = amount_rows(spark).where("id_monto = 'coarse'")
+    out = allocate.allocate(one, base, product, date(2024, 1, 1), END, each=("id_monto",))
+    assert out.agg(F.sum("asignado")).first()[0] == D("10.00")
+    assert {(r.periodo.month, r._path_8[:6]) for r in placed[0].collect()} == {(m, "2:a11:") for m in (1, 2, 3)}
+
+
 def test_share_is_a_difference_of_rounded_running_totals(spark):
     premium = spark.createDataFrame(
         [movement(3, "L", "p1", f"pol{i}", "1", "USD", amount) for i, amount in enumerate([1, 1, 1, -4, 8, 0, 2])], PREMIUM)
