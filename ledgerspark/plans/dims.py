@@ -19,6 +19,7 @@ GROUPINGS = [f"agrupacion_n{i}" for i in range(1, 6)]
 
 
 PRODUCT_ORDER = ["id_ramo_contable", "id_ramo"]
+LINE_KEYS = ["own_key", "ledger_key"]
 
 
 def _product_paths(products: DataFrame, origin: str, risk: str) -> DataFrame:
@@ -54,19 +55,26 @@ def product_lines(
     products: DataFrame, lines: DataFrame, origin: str = C.ORIGIN_AX, risk: str = C.RISK_LIFE
 ) -> DataFrame:
     """Rows of ``product_dim`` before they are ranked."""
-    line_codes = explode_left(lines, "arr_equivalencia_contable", "er").select(
+    return _with_lines(_product_paths(products, origin, risk), _line_codes(lines), LINE_KEYS)
+
+
+def _line_codes(lines: DataFrame) -> DataFrame:
+    return explode_left(lines, "arr_equivalencia_contable", "er").select(
         "id_ramo",
         "des_ramo",
         F.col("id_ramo_contable").alias("r_id_ramo_contable"),
         F.col("des_ramo_contable").alias("r_des_ramo_contable"),
-        F.col("er.cod_ramo_contable").alias("cod_ramo_contable"),
+        F.concat(F.lit(C.LINE_PREFIX), F.col("id_ramo_contable")).alias("own_key"),
+        or_missing(F.col("er.cod_ramo_contable")).alias("ledger_key"),
     )
-    prefix = F.lit(C.LINE_PREFIX)
+
+
+def _with_lines(paths: DataFrame, line_codes: DataFrame, keys: list[str]) -> DataFrame:
     return match_any_key(
-        _product_paths(products, origin, risk),
-        F.concat(prefix, F.col("pj.id_ramo_contable")),
+        paths,
+        F.concat(F.lit(C.LINE_PREFIX), F.col("pj.id_ramo_contable")),
         line_codes,
-        [F.concat(prefix, F.col("r_id_ramo_contable")), or_missing(F.col("cod_ramo_contable"))],
+        [F.col(k) for k in keys],
     ).select(
         "pj.nom_riesgo",
         "id_producto",
@@ -81,8 +89,15 @@ def product_lines(
 
 
 def principal_products(products: DataFrame, lines: DataFrame) -> DataFrame:
-    """The rows of ``product_dim`` with ``ord`` 1, without ranking the others or running a job."""
-    matched = product_lines(products, lines)
+    """The rows of ``product_dim`` with ``ord`` 1, without ranking the others or running a job.
+
+    Of the lines a path matches only the first can win, so it is chosen among the lines, and
+    what is sorted by product has a row per path, not one per path and line.
+    """
+    keyed = _line_codes(lines).withColumn("line_key", F.explode(F.array_distinct(F.array(*LINE_KEYS))))
+    first = first_per_key(
+        keyed, ["line_key"], [F.col(c).asc_nulls_first() for c in ("id_ramo", "r_des_ramo_contable", "des_ramo")])
+    matched = _with_lines(_product_paths(products, C.ORIGIN_AX, C.RISK_LIFE), first, ["line_key"])
     return first_per_key(matched, ["id_producto"], rank_order(matched, ["id_producto"], PRODUCT_ORDER))
 
 
@@ -218,14 +233,19 @@ def current_policies(
 
     One row per period, policy and certificate: the one with the lowest holder id,
     a missing holder first; further ties go by product, origin, status and channel.
+    The journal takes its channels first: policies without a journal row have no channel to
+    look for, and in a join of theirs all of them would meet in one task.
     """
     wanted = policies.where(or_missing(F.col("id_poliza")) != C.MISSING_ID)
     if period is not None:
         wanted = wanted.where(F.col("periodo") == F.lit(period))
     po = wanted.alias("po")
     pr = principal(product).select("id_producto", "cod_producto").alias("pr")
-    bi = journal.select("dsc_periodo", "id_poliza", "id_equivalencia_canal").alias("bi")
-    te = channel.select("id_equivalencia_canal", *CHANNEL_COLUMNS).alias("te")
+    entries = journal.select("dsc_periodo", "id_poliza", "id_equivalencia_canal")
+    if period is not None:
+        entries = entries.where(F.col("dsc_periodo") == month_code(F.lit(period)))
+    te = channel.select(F.col("id_equivalencia_canal").alias("_channel"), *CHANNEL_COLUMNS)
+    bi = entries.join(te, F.col("id_equivalencia_canal").cast("string") == F.col("_channel"), "left").alias("bi")
     joined = (
         po.join(pr, F.col("po.id_producto") == F.col("pr.id_producto"), "inner")
         .join(
@@ -234,21 +254,16 @@ def current_policies(
             & (F.col("po.id_poliza") == F.col("bi.id_poliza")),
             "left",
         )
-        .join(
-            te,
-            F.col("bi.id_equivalencia_canal").cast("string") == F.col("te.id_equivalencia_canal"),
-            "left",
-        )
     )
     segment = F.when(
-        F.col("te.id_subcanal_equivalente") == C.PARTNER_SUBCHANNEL, F.col("po.des_subtipocanal")
-    ).otherwise(F.col("te.des_segmentacion_01"))
+        F.col("bi.id_subcanal_equivalente") == C.PARTNER_SUBCHANNEL, F.col("po.des_subtipocanal")
+    ).otherwise(F.col("bi.des_segmentacion_01"))
     out = joined.select(
         *[f"po.{c}" for c in POLICY_COLUMNS],
         "pr.cod_producto",
         "bi.id_equivalencia_canal",
         *[
-            segment.alias(c) if c == "des_segmentacion_01" else F.col(f"te.{c}")
+            segment.alias(c) if c == "des_segmentacion_01" else F.col(f"bi.{c}")
             for c in CHANNEL_COLUMNS
         ],
     )

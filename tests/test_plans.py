@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ledgerspark import constants as C
 from ledgerspark.catalogue import standins as S
 from ledgerspark.catalogue.queries import QUERIES
 from ledgerspark.plans import absence, allocate, cascade, dims, facts
@@ -324,6 +325,38 @@ def test_financial_rows_second_arm_has_no_period(spark, rows):
     assert rows(kept) == [(1,), (3,)]
 
 
+def test_principal_products_are_the_first_ranked(spark, rows):
+    draw = Random(5)
+    element = lambda names: "array<struct<" + ", ".join(f"{n}:string" for n in names) + ">>"
+    some = lambda *values: draw.choice([*values, None])
+    products = spark.createDataFrame([(
+        f"p{draw.randint(0, 15)}", some("x", "y"), [(C.ORIGIN_AX, some("c1", "c2")) for _ in range(draw.randint(0, 2))],
+        [(C.RISK_LIFE, *[some("a", "b") for _ in range(5)], some("1", "2", "S1")) for _ in range(draw.randint(0, 2))],
+    ) for _ in range(60)], "id_producto string, nom_producto string, "
+        f"producto_origen {element(['id_origen', 'cod_producto'])}, "
+        f"producto_jerarquia {element(['nom_riesgo', *dims.GROUPINGS, 'id_ramo_contable'])}")
+    lines = spark.createDataFrame([(
+        some("r1", "r2"), some("d1", "d2"), some("1", "2"), some("D1", "D2"),
+        [(some(*[C.LINE_PREFIX + n for n in ("1", "2", "S1")], "1"),) for _ in range(draw.randint(0, 2))],
+    ) for _ in range(30)], "id_ramo string, des_ramo string, id_ramo_contable string, des_ramo_contable string, "
+        f"arr_equivalencia_contable {element(['cod_ramo_contable'])}")
+    ranked = dims.product_dim(products, lines).where("ord = 1").drop("ord", "ord1")
+    principal = dims.principal_products(products, lines)
+    assert rows(principal) == rows(ranked) and principal.columns == ranked.columns and not principal.isEmpty()
+    # what is ranked by product has met the first line of each key only
+    assert "WindowGroupLimit [line_key" in principal._jdf.queryExecution().executedPlan().toString()
+
+
+def test_channels_join_the_journal_not_the_policies(spark):
+    """Policies without a journal row have no channel: in a join of theirs all would be one key."""
+    query = QUERIES["current_policies"](spark, "/root/testdata/sf0.001")
+    plan = query._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    at = next(i for i, line in enumerate(plan) if "Join LeftOuter" in line and "_channel" in line)
+    depth = len(plan[at]) - len(plan[at].lstrip(" :+-"))
+    under = [line for line in plan[at + 1:at + 12] if len(line) - len(line.lstrip(" :+-")) > depth]
+    assert under and not any("l_orderkey" in line for line in under)
+
+
 def test_current_policies_period_and_first_holder(spark):
     data = {c: "v" for c in dims.POLICY_COLUMNS}
     dates = [c for c in dims.POLICY_COLUMNS if c.startswith("fec") or c == "periodo"]
