@@ -14,12 +14,14 @@ from pyspark.sql.types import StructType
 from ledgerspark.operators.ordered import RANGE_ROWS, with_next
 from ledgerspark.sources.publish import publish_version, read_current
 
+# Rows a task sorts: versions are whole rows of a table, wider than what totals run over.
+VERSION_ROWS = RANGE_ROWS // 4
 VALID_FROM, VALID_TO = "valid_from", "valid_to"
 
 
 def with_validity(
     versions: DataFrame, keys: list[str], version_ts: str, tie_breakers: tuple[str, ...] = (),
-    range_rows: int = RANGE_ROWS,
+    range_rows: int = VERSION_ROWS,
 ) -> DataFrame:
     """Add the time from which a row is the current one of its key, and the one at which the next takes over.
 
@@ -43,8 +45,14 @@ def publish_validity(
     versions: DataFrame, keys: list[str], version_ts: str, path: str, layout: dict[str, Column],
     tie_breakers: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Publish ``versions`` with their intervals, in folders by the columns of ``layout``."""
-    return publish_version(with_validity(versions, keys, version_ts, tie_breakers).withColumns(layout), path, list(layout))
+    """Publish ``versions`` with their intervals, in folders by the columns of ``layout``.
+
+    The intervals are made in ranges of the keys. A key that is also a column of ``layout`` comes
+    first in their order, so the rows of a folder come together and are written where they are.
+    """
+    laid_out = [k for k in keys if k in layout]
+    spans = with_validity(versions, [*laid_out, *[k for k in keys if k not in laid_out]], version_ts, tie_breakers)
+    return publish_version(spans.withColumns(layout), path, list(layout), laid_out=bool(laid_out))
 
 
 def read_validity(spark: SparkSession, path: str, as_of: Column, schema: StructType | None = None) -> DataFrame:
