@@ -299,6 +299,25 @@ def test_premium_months_with_missing_id_merge(spark):
     assert usd == [(False, D("1.50")), (False, D("1.50")), (True, D("3.00"))]
 
 
+def test_premium_is_grouped_where_it_met_its_policy(spark):
+    moves = [dict(pol=f"P{i % 5}", cert=[None, "1", "0"][i % 3]) for i in range(30)]
+    policies = spark.createDataFrame(
+        [(date(2024, 5, 1), f"P{i}", c, f"O{i}{c}", "C", "T") for i in range(4) for c in ("0", "1")],
+        "periodo date, id_poliza string, id_certificado string, id_poliza_origen string, "
+        "id_contratante string, id_titular string")
+    products = product_rows(spark)
+    out = direct_premium(
+        production(spark, *moves), dims.product_dim_no_line(products), dims.product_to_ledger(products),
+        dims.line_technical_to_ledger(line_rows(spark)), policies, date(2024, 3, 1), date(2024, 5, 1))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and plan[:plan.index("REPARTITION_BY_NUM")].count("Exchange hashpartitioning") == 1
+    # a movement without a certificate takes no policy, not even that of a certificate "0"
+    origins = {(r.id_poliza, r.id_certificado, r.num_poliza_origen) for r in out.collect()}
+    assert origins == {
+        (f"P{i}", c, o) for i in range(5)
+        for c, o in (("0", "0"), ("0", f"O{i}0" if i < 4 else "0"), ("1", f"O{i}1" if i < 4 else "0"))}
+
+
 def test_months_before():
     assert months_before(date(2024, 3, 31), 3) == date(2023, 12, 1)
     assert cascade.last_day(date(2024, 2, 1)) == date(2024, 2, 29)
