@@ -468,3 +468,42 @@ def test_two_streams_null_and_undeclared(spark, tmp_path):
     assert both.sent() == {"a": ["s0"]}
     left = cycle.unmatched_items(spark, both.store, nobody.schema, orders.schema)
     assert None in {r.order_id for r in left.collect()}
+
+
+def test_only_items_of_longer_orders_are_numbered(spark, monkeypatch):
+    orders = order_rows(spark, "a", "b", "c")
+    claims, numbered, rank = O.claim(orders, log_rows(spark).limit(0), "f", T0, T0, ["OK"], None), [], O.rank_within
+
+    def ranked(df, *args):
+        numbered.append({r.order_id for r in df.collect()})
+        return rank(df, *args)
+
+    monkeypatch.setattr(O, "rank_within", ranked)
+    whole = O.stage(claims, orders, item_rows(spark, a=3, b=2, x=9), max_items=3)
+    assert {(r.order_id, r.part, r.parts, len(r["items"])) for r in whole.collect()} == {
+        ("a", 0, 1, 3), ("b", 0, 1, 2), ("c", 0, 1, 0)}
+    assert numbered == [] and "Window" not in whole._jdf.queryExecution().executedPlan().toString()
+    split = O.stage(claims, orders, item_rows(spark, a=3, b=2, x=9), max_items=2)
+    assert {(r.order_id, r.part, r.parts, len(r["items"])) for r in split.collect()} == {
+        ("a", 0, 2, 2), ("a", 1, 2, 1), ("b", 0, 1, 2), ("c", 0, 1, 0)}
+    assert numbered == [{"a"}]
+
+
+def test_a_repeat_sends_what_was_staged(spark, tmp_path, monkeypatch):
+    store, orders, seen, calls = cycle.Store(f"{tmp_path}/s"), order_rows(spark, "a"), [], []
+    stage = O.stage
+    monkeypatch.setattr(cycle.O, "stage", lambda *a: calls.append(a) or stage(*a))
+
+    def broken(messages):
+        seen.append({(r.correlation_id, r.message) for r in messages.collect()})
+        if len(seen) == 1:
+            raise RuntimeError("broker")
+        return messages.select("order_id", "part", F.lit(True).alias("ok"), F.lit(None).cast("string").alias("reason"))
+
+    def run(n):
+        return cycle.run_cycle(orders, item_rows(spark, a=n), store, "f", "r", T0, ["OK"], None, broken, clock=lambda: T0)
+
+    with pytest.raises(RuntimeError):
+        run(1)
+    assert run(2) and seen[0] == seen[1] and len(calls) == 1  # the same id carries the same message
+    assert statuses(spark, store) == {"a": DISPATCHED}
