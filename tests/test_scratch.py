@@ -1,9 +1,13 @@
-"""Scratch folders go with their scope, results stay."""
+"""Scratch folders go with their scope, results stay; shuffle files go with the write they served."""
+
+import gc
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerspark.sources import files
+from ledgerspark.sources.publish import publish_table
 from ledgerspark.sources.scratch import scratch_path, scratch_scope, settled, stable
 
 
@@ -43,3 +47,23 @@ def test_settled_keeps_the_result_alone(spark):
     got = chain(3)
     assert sorted(r.n for r in got.collect()) == [0, 8, 16, 24]
     assert len(folders(spark) - before) == 1
+
+
+def test_shuffle_files_go_with_the_write(spark, tmp_path):
+    def held():
+        disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {os.path.basename(str(f)) for f in disk.getAllFiles().mkString("|").split("|") if "shuffle_" in f}
+
+    gc.disable()
+    try:
+        before = held()
+        counted = spark.range(20_000).groupBy((F.col("id") % 500).alias("k")).agg(F.sum("id").alias("n"))
+        first = stable(counted)
+        kept = settled(spark, lambda: first.join(counted.withColumnRenamed("n", "m"), "k").repartition(3))
+        publish_table(kept, f"{tmp_path}/t", ["k"])
+        assert not held() - before
+        # a frame that was written is computed again when it is asked again
+        assert stable(counted).count() == counted.count() == kept.where("n = m").count() == 500
+    finally:
+        gc.enable()
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
