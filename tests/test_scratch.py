@@ -3,6 +3,7 @@
 import gc
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,3 +68,15 @@ def test_shuffle_files_go_with_the_write(spark, tmp_path):
     finally:
         gc.enable()
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_batches_to_python_are_bounded_in_bytes(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "bytes": [batch.nbytes]})
+
+    texts = spark.range(0, 8_000, 1, 1).select(F.repeat(F.md5(F.col("id").cast("string")), 64).alias("text"))
+    for kept in (stable(texts.mapInArrow(sizes, "rows long, bytes long")),
+                 settled(spark, lambda: texts.mapInArrow(sizes, "rows long, bytes long"))):
+        seen = kept.agg(F.sum("rows"), F.max("bytes")).first()
+        assert seen[0] == 8_000 and seen[1] < 6 << 20
