@@ -235,46 +235,46 @@ def current_policies(
     a missing holder first; further ties go by product, origin, status and channel.
     The journal takes its channels first: policies without a journal row have no channel to
     look for, and in a join of theirs all of them would meet in one task.
+
+    All rows of a policy and period meet the same journal rows, so the first policy row and the first
+    journal row are chosen apart. A policy's certificates are dealt by month and policy once: they are
+    ranked there, and what is left meets the journal there and is not shuffled or sorted again.
     """
     wanted = policies.where(or_missing(F.col("id_poliza")) != C.MISSING_ID)
     if period is not None:
         wanted = wanted.where(F.col("periodo") == F.lit(period))
-    po = wanted.alias("po")
-    pr = principal(product).select("id_producto", "cod_producto").alias("pr")
-    entries = journal.select("dsc_periodo", "id_poliza", "id_equivalencia_canal")
+    pr = principal(product).select(F.col("id_producto").alias("_product"), "cod_producto")
+    known = wanted.select(*POLICY_COLUMNS).join(pr, F.col("id_producto") == F.col("_product")).drop("_product")
+    order = ["id_titular", "id_producto", "id_poliza_origen", "id_contratante", "num_poliza",
+             "id_est_poliza", "id_est_certificado", "id_origen", "fec_inicio_vigencia_certificado", "id_moneda"]
+    of_policy = ["_month", "id_poliza"]
+    po = first_per_key(
+        known.withColumn("_month", month_code(F.col("periodo"))).repartition(*of_policy),
+        [*of_policy, "periodo", "id_certificado"],
+        [F.col(c).asc_nulls_first() for c in order],
+    ).alias("po")
+    entries = journal.select("dsc_periodo", "id_poliza", "id_equivalencia_canal").where(
+        F.col("dsc_periodo").isNotNull() & F.col("id_poliza").isNotNull())
     if period is not None:
         entries = entries.where(F.col("dsc_periodo") == month_code(F.lit(period)))
     te = channel.select(F.col("id_equivalencia_canal").alias("_channel"), *CHANNEL_COLUMNS)
-    bi = entries.join(te, F.col("id_equivalencia_canal").cast("string") == F.col("_channel"), "left").alias("bi")
-    joined = (
-        po.join(pr, F.col("po.id_producto") == F.col("pr.id_producto"), "inner")
-        .join(
-            bi,
-            (month_code(F.col("po.periodo")) == F.col("bi.dsc_periodo"))
-            & (F.col("po.id_poliza") == F.col("bi.id_poliza")),
-            "left",
-        )
-    )
+    channelled = entries.join(te, F.col("id_equivalencia_canal").cast("string") == F.col("_channel"), "left")
+    bi = first_per_key(
+        channelled, ["dsc_periodo", "id_poliza"], [F.col("id_equivalencia_canal").asc_nulls_first()]).alias("bi")
+    joined = po.join(
+        bi, (F.col("po._month") == F.col("bi.dsc_periodo")) & (F.col("po.id_poliza") == F.col("bi.id_poliza")), "left")
     segment = F.when(
         F.col("bi.id_subcanal_equivalente") == C.PARTNER_SUBCHANNEL, F.col("po.des_subtipocanal")
     ).otherwise(F.col("bi.des_segmentacion_01"))
-    out = joined.select(
+    return joined.select(
         *[f"po.{c}" for c in POLICY_COLUMNS],
-        "pr.cod_producto",
+        "po.cod_producto",
         "bi.id_equivalencia_canal",
         *[
             segment.alias(c) if c == "des_segmentacion_01" else F.col(f"bi.{c}")
             for c in CHANNEL_COLUMNS
         ],
     )
-    order = ["id_titular", "id_producto", "id_poliza_origen", "id_contratante", "num_poliza",
-             "id_est_poliza", "id_est_certificado", "id_origen", "id_equivalencia_canal",
-             "fec_inicio_vigencia_certificado", "id_moneda"]
-    return first_per_key(
-        out,
-        ["periodo", "id_poliza", "id_certificado"],
-        [F.col(c).asc_nulls_first() for c in order],
-    )
 
 
 def fx_rates(rates: DataFrame) -> DataFrame:

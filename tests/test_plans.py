@@ -400,6 +400,57 @@ def test_current_policies_period_and_first_holder(spark):
     assert {r.des_segmentacion_01 for r in out} == {"v"} and len(out[0]) == 37
 
 
+def test_certificates_are_ranked_where_they_meet_the_journal(spark):
+    """Rows of policies are dealt to their product and to their policy, not once more to their certificate."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        query = QUERIES["current_policies"](spark, "/root/testdata/sf0.001")
+        plan = query._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    dealt = [line for line in plan.split("\n") if "Exchange hashpartitioning(" in line]
+    assert sum("hashpartitioning(_month" in line for line in dealt) == 1
+    assert not any("id_certificado" in line for line in dealt)
+
+
+def test_first_policy_and_first_journal_row_are_those_of_the_whole_join(spark, rows):
+    rng = Random(5)
+    dates = [c for c in dims.POLICY_COLUMNS if c.startswith("fec") or c == "periodo"]
+    schema = ", ".join(f"{c} {'date' if c in dates else 'string'}" for c in dims.POLICY_COLUMNS)
+
+    def policy():
+        row = {c: None if c in dates else "v" for c in dims.POLICY_COLUMNS} | {
+            "periodo": rng.choice([None, date(2024, 3, 1), date(2024, 3, 2), date(2023, 3, 1)]),
+            "id_poliza": rng.choice(["P", "Q", "R"]), "id_certificado": rng.choice([None, "1", "2"]),
+            "id_titular": rng.choice([None, "a"]), "id_producto": rng.choice([None, "1", "2", "9"]),
+            "id_origen": rng.choice(["x", "y"]), "id_moneda": rng.choice([None, "S", "U"]),
+            "fec_inicio_vigencia_certificado": rng.choice([None, date(2020, 1, 1)])}
+        return tuple(row[c] for c in dims.POLICY_COLUMNS)
+
+    policies = spark.createDataFrame([policy() for _ in range(120)], schema)
+    journal = spark.createDataFrame(
+        [(rng.choice([None, "202403", "202303"]), rng.choice([None, "P", "Q"]), rng.choice([None, 7, 8, 9]))
+         for _ in range(40)], "dsc_periodo string, id_poliza string, id_equivalencia_canal long")
+    channel = spark.createDataFrame(
+        [(i, *[f"{c}{i}" for c in dims.CHANNEL_COLUMNS]) for i in ("7", "8")],
+        ["id_equivalencia_canal", *dims.CHANNEL_COLUMNS])
+    product = spark.createDataFrame([("1", "A1", 1), ("2", "A2", 1), ("9", "A9", 2)], "id_producto string, cod_producto string, ord int")
+    order = ["id_titular", "id_producto", "id_poliza_origen", "id_contratante", "num_poliza", "id_est_poliza",
+             "id_est_certificado", "id_origen", "id_equivalencia_canal", "fec_inicio_vigencia_certificado", "id_moneda"]
+    by_month = journal.withColumnRenamed("id_poliza", "_policy").join(
+        channel.withColumnRenamed("id_equivalencia_canal", "_channel"),
+        F.col("id_equivalencia_canal").cast("string") == F.col("_channel"), "left")
+    whole = policies.join(product.where("ord = 1"), "id_producto").join(
+        by_month, (F.date_format("periodo", "yyyyMM") == F.col("dsc_periodo")) & (F.col("id_poliza") == F.col("_policy")), "left")
+    rank = F.row_number().over(Window.partitionBy("periodo", "id_poliza", "id_certificado").orderBy(
+        *[F.col(c).asc_nulls_first() for c in order]))
+    for period in (None, date(2024, 3, 1)):
+        out = dims.current_policies(policies, product, journal, channel, period)
+        wanted = whole.where("true" if period is None else "periodo = DATE'2024-03-01'").withColumn("n", rank).where("n = 1")
+        assert out.count() > 5
+        assert rows(out) == rows(wanted.select(*out.columns))
+
+
 def test_employee_master_links(spark, rows):
     from datetime import datetime
 
