@@ -94,6 +94,28 @@ def test_rows_are_shuffled_before_they_are_repeated_for_their_windows(spark, tmp
     assert rows(spark.read.schema(out.schema).parquet(str(tmp_path / "cascade")).select(*out.columns)) == rows(out)
 
 
+def test_joins_are_over_when_a_cascade_is_written(spark):
+    """What the joins shuffled is gone by then, and nothing but the rows is shuffled to be laid out."""
+    premium, policies, product = sample(spark)
+    laid_out = cascade.cascade_totals(premium, policies, product, START, END, lay_out_by=["periodo"])
+    plan = laid_out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1
+
+
+@pytest.mark.parametrize("amount", ["4999999999999999.99", "9000000000000000.01"])
+def test_totals_are_exact_on_both_sides_of_eighteen_digits(spark, amount):
+    premium = spark.createDataFrame(
+        [movement(3, "L", "p1", "pol1", "1", "USD", amount), movement(3, "L", "p1", "pol1", "2", "USD", f"-{amount}", amount),
+         movement(4, "L", "p1", "pol1", "1", "USD", "0.01")], PREMIUM)
+    policies = spark.createDataFrame([("pol1",)], "id_poliza string")
+    product = spark.createDataFrame([("p1", "a", "b", "c", "d", "e", 1)], PRODUCT)
+    out = cascade.cascade_totals(premium, policies, product, START, date(2024, 4, 1)).collect()
+    totals = {(r.periodo_trim.month, r.periodo.month): (r.porc_nivel_1, r.porc_nivel_2, r.porc_nivel_13, r.porc_nivel_14) for r in out}
+    twice, cent = D(amount) * 2, D("0.01")
+    assert len(out) == 5 and totals == {
+        (3, 3): (0, 0, twice, twice), (4, 3): (0, cent, twice, twice + cent), (4, 4): (cent, cent, cent, twice + cent)}
+
+
 def test_cancelled_certificate_stays_with_zero(spark):
     premium = spark.createDataFrame(
         [movement(3, "L", "p1", "pol1", "1", "USD", 10), movement(3, "L", "p1", "pol1", "1", "USD", -10),
