@@ -192,6 +192,25 @@ def test_only_rows_within_reach_are_placed(spark, rows, monkeypatch):
     assert {(r.periodo.month, r._path_8[:6]) for r in placed[0].collect()} == {(m, "2:a11:") for m in (1, 2, 3)}
 
 
+def test_rows_meet_the_amounts_of_a_coarse_group_last(spark, rows):
+    """Pairs of a row and an amount are many times either; nothing that holds them is shuffled."""
+    premium, policies, product = sample(spark, seed=9, count=3000)
+    base, _ = cascade.written_base(premium, policies, START, END)
+    amounts = amount_rows(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = allocate.allocate(amounts, base, product, START, END, each=("id_monto",))
+        plan = out._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    met = next(i for i, line in enumerate(plan) if "Join" in line and "_path#" in line)
+    above = next(i for i in range(met, -1, -1) if plan[i].lstrip(" :").startswith(("+- == Initial", "AdaptiveSparkPlan", "Union", "+- Union")))
+    assert not any("Exchange" in line for line in plan[above + 1:met] if "asignado" in line or "monto" in line)
+    assert not any("Generate" in line or "_months" in line for line in plan)  # the amounts' months are written down
+    assert out.where("nivel > 2").count() > 100
+    assert rows(out.groupBy("id_monto").agg(F.sum("asignado").cast("decimal(18,2)"))) == rows(amounts.select("id_monto", "monto"))
+
+
 def test_share_is_a_difference_of_rounded_running_totals(spark):
     premium = spark.createDataFrame(
         [movement(3, "L", "p1", f"pol{i}", "1", "USD", amount) for i, amount in enumerate([1, 1, 1, -4, 8, 0, 2])], PREMIUM)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark.sources import files
 from ledgerspark.sources.publish import publish_table
-from ledgerspark.sources.scratch import scratch_path, scratch_scope, settled, stable
+from ledgerspark.sources.scratch import scratch_path, scratch_scope, settled, settled_all, stable
 
 
 def folders(spark):
@@ -80,3 +80,16 @@ def test_batches_to_python_are_bounded_in_bytes(spark):
                  settled(spark, lambda: texts.mapInArrow(sizes, "rows long, bytes long"))):
         seen = kept.agg(F.sum("rows"), F.max("bytes")).first()
         assert seen[0] == 8_000 and seen[1] < 6 << 20
+
+
+def test_settled_all_keeps_the_results_alone(spark):
+    made = []
+
+    def make():
+        made.append(stable(spark.range(5)))
+        return [made[0].where("id > 2"), made[0].where("id < 2"), made[0].limit(0)]
+
+    kept = settled_all(spark, make)
+    assert [sorted(r.id for r in df.collect()) for df in kept] == [[3, 4], [0, 1], []]
+    with pytest.raises(Exception, match="exist"):
+        made[0].count()
