@@ -424,6 +424,21 @@ def test_orders_and_items_as_two_streams(spark, tmp_path):
     assert both.sent()["d"] == ["s0"] and set(statuses(spark, both.store).values()) == {DISPATCHED}
 
 
+def test_a_batch_without_rows_leaves_what_waits_as_it_is(spark, tmp_path):
+    """The batch that only moves the watermark on claims what was left over, and writes neither inbox nor items anew."""
+    both = TwoStreams(spark, str(tmp_path))
+    parts = {"orders": declared_rows(spark, a=1, b=1, c=2), "items": item_rows(spark, a=1, b=1, c=1)}
+    for name, part in parts.items():
+        part.coalesce(1).write.parquet(f"{both.path}/{name}")
+    cycle.order_stream(*[spark.readStream.schema(p.schema).parquet(f"{both.path}/{n}") for n, p in parts.items()],
+                       both.store, "f", ["OK"], 1, f"{both.path}/cp").awaitTermination()
+    assert both.sent() == {"a": ["s0"], "b": ["s0"]}
+    for path in (both.store.inbox, both.store.waiting_items):
+        assert [r[0] for r in spark.read.parquet(path).select("_version").distinct().collect()] == ["b000000000000"]
+    both.arrive(items=item_rows(spark, c=2).where("line_no = 1"))
+    assert both.sent() == {"a": ["s0"], "b": ["s0"], "c": ["s0", "s1"]}
+
+
 def test_two_streams_after_the_wait(spark, tmp_path):
     """What waited in vain leaves the state and goes on waiting in the store."""
     both = TwoStreams(spark, str(tmp_path), wait="1 second", clock_step="0 seconds")
